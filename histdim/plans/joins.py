@@ -1,0 +1,42 @@
+"""Join strategy helpers: broadcast only behind a size check.
+
+A ``broadcast()`` hint overrides Spark's own threshold, so it is only given
+when the optimizer's size estimate of the side (file sizes and column
+widths after pruning and filters) is below a bound. Above it the join is left
+to the planner: sort-merge, which AQE still turns into a broadcast at run
+time if the *measured* shuffle output is small, or splits if it is skewed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound for an explicit broadcast; Spark's own default is 10 MiB.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_size_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (what ``explain('cost')`` prints),
+    or None when the plan has no statistics."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # no JVM plan (e.g. Connect) or no statistics
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Return ``broadcast(df)`` when its estimated size is known and below
+    ``max_bytes`` (default: the larger of the session's broadcast threshold and
+    ``DEFAULT_BROADCAST_BYTES``), else ``df`` unchanged."""
+    if max_bytes is None:
+        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        try:
+            max_bytes = max(int(str(conf).rstrip("b").rstrip("B")), DEFAULT_BROADCAST_BYTES)
+        except ValueError:
+            max_bytes = DEFAULT_BROADCAST_BYTES
+    size = estimated_size_bytes(df)
+    if size is not None and 0 <= size <= max_bytes:
+        return F.broadcast(df)
+    return df
