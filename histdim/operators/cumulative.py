@@ -1,16 +1,21 @@
 """Cumulative current-state dimension ``actors``.
 
-Every function maps DataFrames to a DataFrame and runs no action.
+Every function maps DataFrames to a DataFrame. Only the hot-key step of
+``debut_load`` / ``cumulate_range`` (``skew=True``) runs jobs while the plan
+is built: it writes the per-actor table once and reads back at most 1,000
+hot keys.
 
 Plans, as checked with ``explain``:
 
 * ``snapshot``: the year filter reaches the Parquet scan, then one
   aggregate on (actorid, actor) with partial aggregation before its exchange.
 * ``debut_load``: the reference loops over 52 years with an insert-if-absent;
-  here one pass: a map-side-combined ``min(year)`` per actor, joined back on
-  actorid (AQE turns it into a broadcast when the measured per-actor table is
-  small, otherwise sort-merge with skew splitting), the rows after the debut
-  year are dropped, and the final aggregate reuses the join's partitioning.
+  here one pass: a map-side-combined ``min(year)`` and count per actor,
+  written once to the checkpoint folder, joined back on actorid (AQE turns
+  it into a broadcast when the measured per-actor table is small, otherwise
+  sort-merge; actors holding more than 0.1% of all films meet a broadcast of
+  their own rows instead, see ``plans.skew``), the rows after the debut year
+  are dropped, and the final aggregate reuses the join's partitioning.
 * ``cumulate``: one step of a yearly upsert, a full outer join of yesterday's
   state with this year's films; ``cumulate_range`` is its closed form for a
   backfill and needs no loop.
@@ -22,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import quality_class
+from ..plans.skew import DEFAULT_HOT_SHARE, hot_keys, split_hot_join
+from ..plans.staging import stage
 from ..schemas import ACTORS, conform
 
 
@@ -67,7 +74,21 @@ def snapshot(films: DataFrame, year: int) -> DataFrame:
     return _state(films.where(F.col("year") <= F.lit(year)), F.lit(year))
 
 
-def debut_load(films: DataFrame, lo: int, hi: int) -> DataFrame:
+def _join_anchor(scoped: DataFrame, per_actor: DataFrame, skew: bool, hot_share: float,
+                 hot_min_rows: int) -> DataFrame:
+    """Join each film to its actor's anchor year. ``per_actor`` (one row per
+    actor, with its film count ``_n``) is written once to the checkpoint
+    folder; actors holding more than ``hot_share`` of the films are joined
+    against a broadcast of their anchor rows (``plans.skew``)."""
+    if not skew:
+        return scoped.join(per_actor.drop("_n"), "actorid", "inner")
+    per_actor = stage(per_actor, "per-actor-anchor")
+    hot = hot_keys(per_actor, "actorid", "_n", hot_share, hot_min_rows)
+    return split_hot_join(scoped, per_actor.drop("_n"), "actorid", "actorid", hot)
+
+
+def debut_load(films: DataFrame, lo: int, hi: int, skew: bool = True,
+               hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
     """The ``actors`` table the reference's yearly insert loop leaves.
 
     Each actor keeps the snapshot of the first loop year it appears in
@@ -75,13 +96,14 @@ def debut_load(films: DataFrame, lo: int, hi: int) -> DataFrame:
     """
     scoped = films.where(F.col("year") <= F.lit(hi))
     debut = (scoped.groupBy("actorid")
-             .agg(F.greatest(F.lit(lo), F.min("year")).alias("_debut")))
-    kept = (scoped.join(debut, "actorid", "inner")
+             .agg(F.greatest(F.lit(lo), F.min("year")).alias("_debut"), F.count(F.lit(1)).alias("_n")))
+    kept = (_join_anchor(scoped, debut, skew, hot_share, hot_min_rows)
             .where(F.col("year") <= F.col("_debut")))
     return _state(kept, F.col("_debut"))
 
 
-def cumulate_range(films: DataFrame, lo: int, hi: int) -> DataFrame:
+def cumulate_range(films: DataFrame, lo: int, hi: int, skew: bool = True,
+                   hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
     """Closed form of ``cumulate`` folded from an empty state over [lo, hi].
 
     Actors with a film in the range; films of the range, newest first; class
@@ -89,8 +111,8 @@ def cumulate_range(films: DataFrame, lo: int, hi: int) -> DataFrame:
     year is ``hi``.
     """
     scoped = films.where(F.col("year").between(F.lit(lo), F.lit(hi)))
-    last = scoped.groupBy("actorid").agg(F.max("year").alias("_last"))
-    kept = scoped.join(last, "actorid", "inner")
+    last = scoped.groupBy("actorid").agg(F.max("year").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    kept = _join_anchor(scoped, last, skew, hot_share, hot_min_rows)
     return _state(kept, F.col("_last"), is_active=F.col("_anchor") == F.lit(hi))
 
 

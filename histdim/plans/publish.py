@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from ..operators.scd2 import apply_changes, stage_changes
 from ..schemas import ACTORS_HISTORY_SCD, SCD_KEY, conform
-from ..session import ensure_checkpoint_dir
 from . import contracts
+from .staging import stage
 
 
 # --------------------------------------------------------------- file system
@@ -76,15 +76,6 @@ def append(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequenc
     write_table(df, path, schema, partition_by, mode="append")
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and
-    return a DataFrame reading it back (lineage cut, survives executor loss)."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING`` as the table it leaves.
 
