@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from histdim import (apply_changes, as_of, bail_rates, build_fact, cohorts, consistent,  # noqa: E402
                      cumulate, cumulate_range, debut_load, dedup_details, duplicate_report,
                      fact_with_teams, films_as_of, scd2_backfill, snapshot, stage_changes,
-                     transitions, trend, with_film_ids)
+                     transitions, trend, versions_at, with_film_ids)
 from histdim.plans.contracts import key_violations  # noqa: E402
 from histdim.plans.publish import insert_absent  # noqa: E402
 from histdim.schemas import FACT_KEY  # noqa: E402
@@ -119,6 +119,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cohorts": lambda s, d: cohorts(_scd(s, d)),
         "trend": lambda s, d: trend(_scd(s, d)),
         "films_as_of": lambda s, d: films_as_of(_films(s, d), FILMS_YEAR),
+        "film_versions": lambda s, d: versions_at(
+            _scd(s, d), _films(s, d).select("actorid", "filmid", "year"), "year"),
         # facts (J7-J11, B12)
         "duplicate_report": lambda s, d: duplicate_report(fx.game_details(s, d)),
         "dedup_details": lambda s, d: dedup_details(fx.game_details(s, d), fx.games(s, d)),

@@ -41,6 +41,21 @@ def as_of(scd: DataFrame, year: int) -> DataFrame:
     return scd.where((F.col("end_year") >= y) & (F.col("start_year") <= y))
 
 
+def versions_at(scd: DataFrame, events: DataFrame, at: str = "year", key: str = "actorid") -> DataFrame:
+    """D10 for a table of dates: each row of ``events`` with the version of
+    its actor valid at its ``at`` year (``start_year <= at <= end_year``),
+    NULL version columns where none is.
+
+    An equi join on the key with the interval as a join condition: Spark
+    plans a sort-merge (or broadcast) join on ``key`` and tests the interval
+    inside each key group, which holds an actor's few versions, so no
+    nested-loop join arises.
+    """
+    v = scd.select(F.col(key).alias("_k"), "quality_class", "is_active", "start_year", "end_year")
+    cond = ((events[key] == v["_k"]) & (v["start_year"] <= events[at]) & (v["end_year"] >= events[at]))
+    return events.join(v, cond, "left").drop("_k")
+
+
 def _with_previous(scd: DataFrame) -> DataFrame:
     w = Window.partitionBy("actorid").orderBy("start_year")
     return scd.withColumn("prev_class", F.lag("quality_class").over(w))

@@ -76,6 +76,11 @@ def append(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequenc
     write_table(df, path, schema, partition_by, mode="append")
 
 
+def with_stamp(df: DataFrame, year: int, column: str = "current_year") -> DataFrame:
+    """The load stamp as a literal column."""
+    return df.withColumn(column, F.lit(year).cast("int"))
+
+
 def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING`` as the table it leaves.
 
