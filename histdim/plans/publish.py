@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scd2 import apply_changes, stage_changes
-from ..schemas import ACTORS_HISTORY_SCD, SCD_KEY, conform
+from ..schemas import ACTORS_HISTORY_SCD, FACT_KEY, FCT_GAME_DETAILS, SCD_KEY, conform
 from . import contracts
 from .staging import stage
 
@@ -131,6 +131,14 @@ def publish_backfill(scd: DataFrame, path: str) -> None:
     publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], checks=[scd_checks])
 
 
+def publish_fact(fact: DataFrame, path: str, enforce_key: bool = True) -> None:
+    """Fact load (J9's INSERT) partitioned by ``dim_season``. The declared key
+    (date, team, player) differs from the dedup grain (S12); with
+    ``enforce_key`` a violation fails the load as the primary key would."""
+    checks = [lambda df: contracts.assert_key(df, FACT_KEY)] if enforce_key else []
+    publish(fact, path, FCT_GAME_DETAILS, ["dim_season"], checks=checks)
+
+
 def publish_increment(spark: SparkSession, path: str, feed: DataFrame, last: int, next_year: int,
                       null_safe: bool = False) -> dict:
     """J5 + J6 on the stored SCD: refuse a rerun (S20), stage the change

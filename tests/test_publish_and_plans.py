@@ -96,3 +96,23 @@ def test_key_and_domain_contracts(spark):
     assert contracts.key_violations(df, ["actorid", "start_year"]).count() == 2
     with pytest.raises(contracts.ContractError):
         contracts.assert_domain(df, "quality_class")
+
+
+def test_fact_publish_enforces_declared_key(spark, scratch):
+    from histdim import build_fact
+    from histdim.plans.publish import publish_fact
+    from histdim.sources.tables import read_fact
+    fact = build_fact(fx.game_details(spark, SF), fx.games(spark, SF))
+    with pytest.raises(contracts.ContractError):
+        publish_fact(fact, f"{scratch}/fact")        # 4 keys repeat at sf0.001 (S12)
+    publish_fact(fact, f"{scratch}/fact", enforce_key=False)
+    stored = read_fact(spark, f"{scratch}/fact")
+    assert stored.count() == 5992
+    assert "PartitionFilters" in _plan(stored.where("dim_season = 1997"))
+
+
+def test_scale_settings():
+    from histdim.session import scale_settings
+    conf = scale_settings(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
