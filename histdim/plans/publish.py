@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.cumulative import cumulate
 from ..operators.scd2 import apply_changes, stage_changes
-from ..schemas import ACTORS_HISTORY_SCD, FACT_KEY, FCT_GAME_DETAILS, SCD_KEY, conform
+from ..schemas import ACTORS, ACTORS_HISTORY_SCD, ACTORS_KEY, FACT_KEY, FCT_GAME_DETAILS, SCD_KEY, conform
 from . import contracts
 from .staging import stage
 
@@ -131,6 +132,17 @@ def publish_backfill(scd: DataFrame, path: str) -> None:
     publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], checks=[scd_checks])
 
 
+def publish_cumulative(spark: SparkSession, path: str, films: DataFrame, year: int) -> None:
+    """J3 as a yearly job: read yesterday's ``actors`` table (empty on the
+    first run), fold in the films of ``year``, check the key and publish the
+    new state in place of the old (the staged swap lets the job read and
+    replace the same table)."""
+    prev = (spark.read.schema(ACTORS).parquet(path) if _exists(spark, path)
+            else spark.createDataFrame([], ACTORS))
+    publish(cumulate(prev, films, year), path, ACTORS,
+            checks=[lambda df: contracts.assert_key(df, ACTORS_KEY)])
+
+
 def publish_fact(fact: DataFrame, path: str, enforce_key: bool = True) -> None:
     """Fact load (J9's INSERT) partitioned by ``dim_season``. The declared key
     (date, team, player) differs from the dedup grain (S12); with

@@ -116,3 +116,16 @@ def test_scale_settings():
     conf = scale_settings(100 * 2**40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_publish_cumulative_yearly_job(spark, scratch):
+    from histdim import cumulate_range, with_film_ids
+    from histdim.plans.publish import publish_cumulative
+    from histdim.schemas import ACTORS
+    films = fx.actor_films(spark, SF)
+    path = f"{scratch}/actors"
+    for y in (1996, 1997, 1998):
+        publish_cumulative(spark, path, films, y)
+    stored = with_film_ids(spark.read.schema(ACTORS).parquet(path))
+    want = with_film_ids(cumulate_range(films, 1996, 1998, skew=False))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, want.collect()))
