@@ -124,4 +124,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Nullability is not asserted here (Parquet keeps no NOT NULL): the key
     contract in ``plans.contracts`` checks it as a Spark job.
     """
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    current = {f.name: f.dataType for f in df.schema.fields}
+    if list(current) == schema.fieldNames() and all(current[f.name] == f.dataType for f in schema.fields):
+        return df
+    return df.select([f.name if current.get(f.name) == f.dataType
+                      else df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -15,8 +15,20 @@ from pyspark.sql import functions as F
 from ..schemas import ACTOR_FILMS, GAME_DETAILS, GAMES, TEAMS, conform
 
 
+# Declared read schemas of the driver tables: only the columns used, so the
+# scan reads nothing else and no file footer is opened for inference. The
+# order date is a timestamp without time zone in the files.
+RAW_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double",
+    "part": "p_partkey bigint, p_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
