@@ -27,8 +27,11 @@ def hot_keys(per_key: DataFrame, key: str, count_col: str, share: float = DEFAUL
              min_rows: int = 100_000) -> list:
     """Keys of ``per_key`` (one row per key with its row count) that hold
     more than ``share`` of all rows and at least ``min_rows`` rows."""
-    total = per_key.agg(F.sum(count_col)).first()[0] or 0
+    stats = per_key.agg(F.sum(count_col).alias("total"), F.max(count_col).alias("top")).first()
+    total, top = stats["total"] or 0, stats["top"] or 0
     threshold = max(int(total * share), min_rows)
+    if top <= threshold:  # the common case: one small job, nothing is hot
+        return []
     limit = int(1 / share) + 1
     rows = (per_key.where(F.col(count_col) > F.lit(threshold)).select(key)
             .limit(limit).collect())

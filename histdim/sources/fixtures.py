@@ -27,8 +27,26 @@ RAW_SCHEMAS = {
 }
 
 
+# Large driver tables and the key they are spread by when a scan yields fewer
+# tasks than cores (see ``_spread``); both are spread by the order key, so the
+# ``games`` join of the two needs no further exchange.
+SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` over all cores when its scan has fewer
+    splits than the default parallelism (a file stored as one row group is
+    read by one task, and so would be everything up to the first shuffle).
+    A table at cluster scale has thousands of splits: then this is a no-op."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
 
 
 def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:

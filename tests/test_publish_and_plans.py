@@ -67,16 +67,19 @@ def _static_plan(spark, df):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_backfill_exchanges(spark):
+def test_backfill_exchanges(spark, monkeypatch):
     # one hash exchange for the yearly aggregate (after its partial step), one
     # for the windows; the version aggregate reuses the window's partitioning.
+    # (Inputs as at cluster scale: no spreading of single-split scans.)
+    monkeypatch.setattr(fx, "_spread", lambda df, key: df)
     films = fx.actor_films(spark, SF)
     plan = _static_plan(spark, scd2_backfill(films, 1996, 2000))
     assert plan.count("Exchange hashpartitioning") == 2, plan
 
 
-def test_fact_dedup_limits_before_shuffle(spark):
+def test_fact_dedup_limits_before_shuffle(spark, monkeypatch):
     from histdim import build_fact
+    monkeypatch.setattr(fx, "_spread", lambda df, key: df)
     f = build_fact(fx.game_details(spark, SF), fx.games(spark, SF))
     plan = _static_plan(spark, f)
     # the partial top-1 runs before the exchange of the log
