@@ -1,9 +1,9 @@
 """Cumulative current-state dimension ``actors``.
 
 Every function maps DataFrames to a DataFrame. Only the hot-key step of
-``debut_load`` / ``cumulate_range`` (``skew=True``) runs jobs while the plan
-is built: it writes the per-actor table once and reads back at most 1,000
-hot keys.
+``debut_load`` / ``cumulate_range`` (``skew=True``, or ``'auto'`` on inputs
+of 1 GiB and more) runs jobs while the plan is built: it writes the
+per-actor table once and reads back at most 1,000 hot keys.
 
 Plans, as checked with ``explain``:
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import quality_class
-from ..plans.skew import DEFAULT_HOT_SHARE, hot_keys, split_hot_join
+from ..plans.skew import DEFAULT_HOT_SHARE, hot_keys, split_hot_join, worth_checking
 from ..plans.staging import stage
 from ..schemas import ACTORS, conform
 
@@ -74,12 +74,15 @@ def snapshot(films: DataFrame, year: int) -> DataFrame:
     return _state(films.where(F.col("year") <= F.lit(year)), F.lit(year))
 
 
-def _join_anchor(scoped: DataFrame, per_actor: DataFrame, skew: bool, hot_share: float,
+def _join_anchor(scoped: DataFrame, per_actor: DataFrame, skew, hot_share: float,
                  hot_min_rows: int) -> DataFrame:
-    """Join each film to its actor's anchor year. ``per_actor`` (one row per
-    actor, with its film count ``_n``) is written once to the checkpoint
-    folder; actors holding more than ``hot_share`` of the films are joined
-    against a broadcast of their anchor rows (``plans.skew``)."""
+    """Join each film to its actor's anchor year. With hot-key handling
+    (``skew=True``, or ``'auto'`` on inputs of 1 GiB and more) ``per_actor``
+    (one row per actor, with its film count ``_n``) is written once to the
+    checkpoint folder, and actors holding more than ``hot_share`` of the
+    films are joined against a broadcast of their anchor rows (``plans.skew``)."""
+    if skew == "auto":
+        skew = worth_checking(scoped)
     if not skew:
         return scoped.join(per_actor.drop("_n"), "actorid", "inner")
     per_actor = stage(per_actor, "per-actor-anchor")
@@ -87,7 +90,7 @@ def _join_anchor(scoped: DataFrame, per_actor: DataFrame, skew: bool, hot_share:
     return split_hot_join(scoped, per_actor.drop("_n"), "actorid", "actorid", hot)
 
 
-def debut_load(films: DataFrame, lo: int, hi: int, skew: bool = True,
+def debut_load(films: DataFrame, lo: int, hi: int, skew="auto",
                hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
     """The ``actors`` table the reference's yearly insert loop leaves.
 
@@ -102,7 +105,7 @@ def debut_load(films: DataFrame, lo: int, hi: int, skew: bool = True,
     return _state(kept, F.col("_debut"))
 
 
-def cumulate_range(films: DataFrame, lo: int, hi: int, skew: bool = True,
+def cumulate_range(films: DataFrame, lo: int, hi: int, skew="auto",
                    hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
     """Closed form of ``cumulate`` folded from an empty state over [lo, hi].
 

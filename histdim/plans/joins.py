@@ -26,6 +26,16 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the base relations under ``df`` (file sizes for Parquet
+    scans), from Catalyst's leaf statistics; None when unavailable."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` when its estimated size is known and below
     ``max_bytes`` (default: the larger of the session's broadcast threshold and

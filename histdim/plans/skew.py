@@ -22,6 +22,18 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_SHARE = 0.001  # at most 1,000 hot keys
 
+# Below this input size a hot key fits one task comfortably, and looking for
+# hot keys (one staged write, one job) costs more than it can save.
+SKEW_CHECK_MIN_BYTES = 1 << 30
+
+
+def worth_checking(df: DataFrame, min_bytes: int = SKEW_CHECK_MIN_BYTES) -> bool:
+    """Whether ``df`` reads enough data for hot-key handling to pay off;
+    unknown sizes count as large."""
+    from .joins import input_bytes
+    size = input_bytes(df)
+    return size is None or size >= min_bytes
+
 
 def hot_keys(per_key: DataFrame, key: str, count_col: str, share: float = DEFAULT_HOT_SHARE,
              min_rows: int = 100_000) -> list:

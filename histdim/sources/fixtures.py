@@ -38,10 +38,12 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
     splits than the default parallelism (a file stored as one row group is
     read by one task, and so would be everything up to the first shuffle).
     A table at cluster scale has thousands of splits: then this is a no-op."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, key)
-    return df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session)
+        return df
+    return df.repartition(n, key) if splits < n else df
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
