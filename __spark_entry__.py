@@ -50,8 +50,13 @@ def _scd(spark, d):
     return scd2_backfill(_films(spark, d), LO, HI)
 
 
-def _active_feed(spark, d):
-    return snapshot(_films(spark, d), NEXT).where("is_active")
+def _active_feed(films):
+    return snapshot(films, NEXT).where("is_active")
+
+
+def _film_versions(spark, d):
+    films = _films(spark, d)
+    return versions_at(scd2_backfill(films, LO, HI), films.select("actorid", "filmid", "year"), "year")
 
 
 def _fact(spark, d, **kw):
@@ -71,23 +76,25 @@ def _insert_absent(spark, d):
 
 def _stage(feed_fn, null_safe=False):
     def q(spark, d):
-        return stage_changes(_scd(spark, d), feed_fn(spark, d), HI, null_safe=null_safe)
+        films = _films(spark, d)
+        return stage_changes(scd2_backfill(films, LO, HI), feed_fn(films), HI, null_safe=null_safe)
     return q
 
 
 def _apply(feed_fn):
     def q(spark, d):
-        scd = _scd(spark, d)
-        return apply_changes(scd, stage_changes(scd, feed_fn(spark, d), HI), HI, NEXT)
+        films = _films(spark, d)
+        scd = scd2_backfill(films, LO, HI)
+        return apply_changes(scd, stage_changes(scd, feed_fn(films), HI), HI, NEXT)
     return q
 
 
-def _debut_feed(spark, d):
-    return debut_load(_films(spark, d), LO, HI)
+def _debut_feed(films):
+    return debut_load(films, LO, HI)
 
 
-def _snapshot_feed(spark, d):
-    return snapshot(_films(spark, d), NEXT)
+def _snapshot_feed(films):
+    return snapshot(films, NEXT)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -119,8 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cohorts": lambda s, d: cohorts(_scd(s, d)),
         "trend": lambda s, d: trend(_scd(s, d)),
         "films_as_of": lambda s, d: films_as_of(_films(s, d), FILMS_YEAR),
-        "film_versions": lambda s, d: versions_at(
-            _scd(s, d), _films(s, d).select("actorid", "filmid", "year"), "year"),
+        "film_versions": _film_versions,
         # facts (J7-J11, B12)
         "duplicate_report": lambda s, d: duplicate_report(fx.game_details(s, d)),
         "dedup_details": lambda s, d: dedup_details(fx.game_details(s, d), fx.games(s, d)),

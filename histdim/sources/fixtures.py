@@ -9,6 +9,8 @@ them reads the whole tables. Column choices are those of ``FIXTURES.md`` §2.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +35,34 @@ RAW_SCHEMAS = {
 SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
 
+def _conf_bytes(spark: SparkSession, key: str, default: int) -> int:
+    m = re.fullmatch(r"(\d+)\s*([kmg]?)b?", str(spark.conf.get(key, str(default))).strip().lower())
+    if not m:
+        return default
+    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30}[m.group(2)]
+
+
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` over all cores when its scan has fewer
-    splits than the default parallelism (a file stored as one row group is
-    read by one task, and so would be everything up to the first shuffle).
-    A table at cluster scale has thousands of splits: then this is a no-op."""
+    """Hash-partition ``df`` by ``key`` over all cores when its scan yields
+    fewer splits than the default parallelism.
+
+    Spark splits files into pieces of ``max(openCostInBytes, bytes / cores)``
+    (capped by ``maxPartitionBytes``), so a table smaller than cores x
+    ``openCostInBytes`` gets fewer splits than cores; and a file stored as one
+    row group is read by one task whatever the split count. Everything up to
+    the first shuffle would then run in a task or two. The size comes from
+    the file listing Catalyst already holds (no job). A table at cluster
+    scale is far larger: then this is a no-op."""
+    from ..plans.joins import input_bytes
     try:
         n = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session)
+    except Exception:  # no local SparkContext handle (e.g. a remote session)
         return df
-    return df.repartition(n, key) if splits < n else df
+    size = input_bytes(df)
+    open_cost = _conf_bytes(df.sparkSession, "spark.sql.files.openCostInBytes", 4 << 20)
+    if size is not None and size < n * open_cost:
+        return df.repartition(n, key)
+    return df
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
