@@ -117,8 +117,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stage_changes_snapshot": _stage(_snapshot_feed),
         "stage_changes_active": _stage(_active_feed),
         "stage_changes_null_safe": _stage(_snapshot_feed, null_safe=True),
+        "stage_changes_debut_null_safe": _stage(_debut_feed, null_safe=True),
         "apply_changes": _apply(_debut_feed),
         "apply_changes_active": _apply(_active_feed),
+        "apply_changes_snapshot": _apply(_snapshot_feed),
         # analyses (K1-K6)
         "as_of_1998": lambda s, d: as_of(_scd(s, d), AS_OF),
         "transitions": lambda s, d: transitions(_scd(s, d)),
