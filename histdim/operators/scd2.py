@@ -37,18 +37,20 @@ def yearly_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
 def dense_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
     """J4b input: a row for every year from an actor's first film year in
     [lo, hi] to ``hi``. A year without films carries the class of the last
-    year with films and has ``is_active`` false (task text, S27)."""
+    year with films and has ``is_active`` false (task text, S27).
+
+    No join: each observed year is expanded over the gap up to the actor's
+    next observed year (``lead``), so the plan keeps the observed backfill's
+    two exchanges, and the streak windows reuse this window's partitioning.
+    """
     observed = yearly_snapshots(films, lo, hi)
-    spans = (observed.groupBy("actorid", "actor").agg(F.min("year").alias("_first"))
-             .select("actorid", "actor",
-                     F.explode(F.sequence(F.col("_first"), F.lit(hi))).alias("year")))
-    w = (Window.partitionBy("actorid").orderBy("year")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    dense = spans.join(observed, ["actorid", "actor", "year"], "left")
-    return dense.select(
-        "actorid", "actor", "year",
-        F.last("quality_class", ignorenulls=True).over(w).alias("quality_class"),
-        F.coalesce(F.col("is_active"), F.lit(False)).alias("is_active"))
+    w = Window.partitionBy("actorid").orderBy("year")
+    until = F.coalesce(F.lead("year").over(w) - F.lit(1), F.lit(hi))
+    expanded = (observed.withColumn("_until", until)
+                .select("actorid", "actor", "quality_class", F.col("year").alias("_seen"),
+                        F.explode(F.sequence(F.col("year"), F.col("_until"))).alias("year")))
+    return expanded.select("actorid", "actor", "year", "quality_class",
+                           (F.col("year") == F.col("_seen")).alias("is_active"))
 
 
 def collapse_streaks(snaps: DataFrame, current_year: int) -> DataFrame:
