@@ -149,3 +149,24 @@ def test_stored_films_prune_by_year(spark, scratch):
     a = sorted(map(tuple, scd2_backfill(films, 1996, 2000).collect()))
     b = sorted(map(tuple, scd2_backfill(fx.actor_films(spark, SF), 1996, 2000).collect()))
     assert a == b
+
+
+def test_read_open_and_years(spark, scratch):
+    from histdim.sources.tables import read_open, years
+    films = fx.actor_films(spark, SF)
+    path = f"{scratch}/scd"
+    publish_backfill(scd2_backfill(films, 1996, 2000), path)
+    open_rows = read_open(spark, path, 2000)
+    assert open_rows.count() == 120
+    assert "PartitionFilters: [isnotnull(end_year" in _plan(open_rows)
+    assert [r.year for r in years(spark, 1996, 2000).collect()] == [1996, 1997, 1998, 1999, 2000]
+
+
+def test_versions_at_gives_null_outside_versions(spark):
+    from histdim import versions_at
+    from histdim.schemas import ACTORS_HISTORY_SCD
+    scd = spark.createDataFrame([("a", "A", "star", True, 1990, 1992, 2000)], ACTORS_HISTORY_SCD)
+    ev = spark.createDataFrame([("a", 1991), ("a", 1995), ("b", 1991)], "actorid string, year int")
+    got = sorted((r.actorid, r.year, r.quality_class) for r in versions_at(scd, ev).collect())
+    assert got == [("a", 1991, "star"), ("a", 1995, None), ("b", 1991, None)]
+    assert "NestedLoopJoin" not in versions_at(scd, ev)._jdf.queryExecution().sparkPlan().toString()
