@@ -50,13 +50,37 @@ def hot_keys(per_key: DataFrame, key: str, count_col: str, share: float = DEFAUL
     return [r[0] for r in rows]
 
 
-def split_hot_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], key: str,
-                   hot: list, how: str = "inner") -> DataFrame:
+def split_hot_join(big: DataFrame, small: DataFrame, on, key: str, hot: list, how: str = "inner",
+                   small_key: str | None = None) -> DataFrame:
     """``big.join(small, on, how)`` with the rows of ``hot`` key values joined
-    against a broadcast of ``small``'s matching rows (bounded by ``hot``)."""
+    against a broadcast of ``small``'s matching rows (bounded by ``hot``).
+    ``on`` is a column name, a list of names or a join condition; ``key`` /
+    ``small_key`` name the key column on each side."""
     if not hot:
         return big.join(small, on, how)
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    hot_part = big.where(is_hot).join(F.broadcast(small.where(is_hot)), on, how)
-    rest = big.where(~is_hot).join(small.where(~is_hot), on, how)
+    values = list(hot)
+    big_hot = F.coalesce(big[key].isin(values), F.lit(False))
+    small_hot = F.coalesce(small[small_key or key].isin(values), F.lit(False))
+    hot_part = big.where(big_hot).join(F.broadcast(small.where(small_hot)), on, how)
+    rest = big.where(~big_hot).join(small.where(~small_hot), on, how)
     return hot_part.unionByName(rest)
+
+
+def skew_join(big: DataFrame, small: DataFrame, on, key: str, how: str = "inner",
+              small_key: str | None = None, counts_from: DataFrame | None = None, skew="auto",
+              share: float = DEFAULT_HOT_SHARE, min_rows: int = 100_000) -> DataFrame:
+    """A join whose ``small`` side has few rows per key but arrives already
+    partitioned (so AQE cannot split a skewed key): on large inputs the keys
+    holding more than ``share`` of ``counts_from`` (default ``big``; an
+    upstream relation with at least as many rows per key works as well and
+    avoids computing ``big`` twice) are joined against a broadcast of their
+    partner rows. ``how`` must keep ``big``'s rows (inner or left)."""
+    source = big if counts_from is None else counts_from
+    if skew == "auto":
+        skew = worth_checking(source)
+    if not skew:
+        return big.join(small, on, how)
+    from .staging import stage
+    per_key = stage(source.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "per-key-counts")
+    hot = hot_keys(per_key, key, "_n", share, min_rows)
+    return split_hot_join(big, small, on, key, hot, how, small_key)
