@@ -150,6 +150,24 @@ def films_as_of(films: DataFrame, year: int) -> DataFrame:
                     "f.filmid", "f.film", "f.votes", "f.rating"))
 
 
+def resolve_names(films: DataFrame, policy: str = "latest", skew="auto") -> DataFrame:
+    """Give every actorid one name before the pipelines group by
+    (actorid, actor). ``'latest'``: the name on the actor's most recent film
+    (ties by filmid); ``'check'``: leave the rows and fail if an id has two
+    names. The per-id name is a map-side-combined ``max_by`` joined back."""
+    if policy == "check":
+        from ..plans.contracts import assert_one_name
+        assert_one_name(films)
+        return films
+    if policy != "latest":
+        raise ValueError("policy must be 'latest' or 'check'")
+    names = (films.groupBy("actorid")
+             .agg(F.max_by("actor", F.struct("year", "filmid")).alias("_name")))
+    from ..plans.skew import skew_join
+    joined = skew_join(films, names, "actorid", "actorid", "inner", skew=skew)
+    return conform(joined.withColumn("actor", F.col("_name")), films.schema)
+
+
 def with_film_ids(actors: DataFrame) -> DataFrame:
     """Flatten the films array to its ordered filmid list and length, for
     comparison and reporting (an exact image of the array order)."""

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from ..operators.cumulative import cumulate
 from ..operators.scd2 import apply_changes, stage_changes
-from ..schemas import ACTORS, ACTORS_HISTORY_SCD, ACTORS_KEY, FACT_KEY, FCT_GAME_DETAILS, SCD_KEY, conform
+from ..schemas import (ACTORS, ACTORS_HISTORY_SCD, ACTORS_KEY, CHANGE_TYPES, FACT_KEY, FCT_GAME_DETAILS,
+                       SCD_KEY, conform)
 from . import contracts
 from .staging import stage
 
@@ -158,6 +159,7 @@ def publish_increment(spark: SparkSession, path: str, feed: DataFrame, last: int
     scd = read_scd(spark, path)
     contracts.assert_not_applied(scd, next_year)
     changes = stage(stage_changes(scd, feed, last, null_safe), "changes_staging")
+    contracts.assert_domain(changes, "change_type", CHANGE_TYPES)
     touched = apply_changes(scd, changes, last, next_year, touched_only=True)
     tag = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__inc-{tag}"
