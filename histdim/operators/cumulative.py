@@ -1,9 +1,10 @@
 """Cumulative current-state dimension ``actors``.
 
-Every function maps DataFrames to a DataFrame. Only the hot-key step of
-``debut_load`` / ``cumulate_range`` (``skew=True``, or ``'auto'`` on inputs
-of 1 GiB and more) runs jobs while the plan is built: it writes the
-per-actor table once and reads back at most 1,000 hot keys.
+Every function maps DataFrames to a DataFrame. Jobs run while a plan is
+built only for the hot-key step of ``debut_load``, ``cumulate_range`` and
+``resolve_names`` (``skew=True``, or ``'auto'`` on inputs of 1 GiB and more),
+which writes a per-actor table once and reads back at most 1,000 hot keys,
+and for ``resolve_names(policy='check')``.
 
 Plans, as checked with ``explain``:
 
@@ -11,11 +12,11 @@ Plans, as checked with ``explain``:
   aggregate on (actorid, actor) with partial aggregation before its exchange.
 * ``debut_load``: the reference loops over 52 years with an insert-if-absent;
   here one pass: a map-side-combined ``min(year)`` and count per actor,
-  written once to the checkpoint folder, joined back on actorid (AQE turns
-  it into a broadcast when the measured per-actor table is small, otherwise
-  sort-merge; actors holding more than 0.1% of all films meet a broadcast of
-  their own rows instead, see ``plans.skew``), the rows after the debut year
-  are dropped, and the final aggregate reuses the join's partitioning.
+  joined back on actorid (AQE turns it into a broadcast when the measured
+  per-actor table is small, otherwise sort-merge; on large inputs actors
+  holding more than 0.1% of all films meet a broadcast of their own rows
+  instead, see ``plans.skew``), the rows after the debut year are dropped,
+  and the final aggregate reuses the join's partitioning.
 * ``cumulate``: one step of a yearly upsert, a full outer join of yesterday's
   state with this year's films; ``cumulate_range`` is its closed form for a
   backfill and needs no loop.

@@ -28,6 +28,7 @@ from ..operators.cumulative import cumulate
 from ..operators.scd2 import apply_changes, stage_changes
 from ..schemas import (ACTORS, ACTORS_HISTORY_SCD, ACTORS_KEY, CHANGE_TYPES, FACT_KEY, FCT_GAME_DETAILS,
                        SCD_KEY, conform)
+from ..sources.tables import read_scd
 from . import contracts
 from .staging import stage
 
@@ -117,11 +118,6 @@ def publish(df: DataFrame, path: str, schema: T.StructType | None = None,
     _delete(spark, old)
 
 
-def read_scd(spark: SparkSession, path: str) -> DataFrame:
-    """A3 source: the SCD table; filters on ``end_year`` prune partitions."""
-    return spark.read.schema(ACTORS_HISTORY_SCD).parquet(path)
-
-
 def scd_checks(df: DataFrame) -> None:
     contracts.assert_key(df, SCD_KEY)
     contracts.assert_domain(df, "quality_class")
