@@ -22,6 +22,7 @@ from histdim import (apply_changes, as_of, bail_rates, build_fact, cohorts, cons
                      transitions, trend, versions_at, with_film_ids)
 from histdim.plans.contracts import key_violations  # noqa: E402
 from histdim.plans.publish import insert_absent  # noqa: E402
+from histdim.plans.staging import stage  # noqa: E402
 from histdim.schemas import FACT_KEY  # noqa: E402
 from histdim.sources import fixtures as fx  # noqa: E402
 from histdim.sources.oracle_sql import oracle_queries  # noqa: E402
@@ -82,10 +83,14 @@ def _stage(feed_fn, null_safe=False):
 
 
 def _apply(feed_fn):
+    """The increment as the reference runs it: the backfilled SCD is a table,
+    the change classification a staging table read twice (both written once
+    to the shared checkpoint folder), then UPDATE + INSERT as one DataFrame."""
     def q(spark, d):
         films = _films(spark, d)
-        scd = scd2_backfill(films, LO, HI)
-        return apply_changes(scd, stage_changes(scd, feed_fn(films), HI), HI, NEXT)
+        scd = stage(scd2_backfill(films, LO, HI), "actors_history_scd")
+        changes = stage(stage_changes(scd, feed_fn(films), HI), "changes_staging")
+        return apply_changes(scd, changes, HI, NEXT)
     return q
 
 
