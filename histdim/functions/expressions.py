@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from ..schemas import QUALITY_CLASSES
-
 # Quality-class thresholds (strictly greater than).
 STAR_ABOVE = 8
 GOOD_ABOVE = 7
@@ -19,6 +17,10 @@ AVERAGE_ABOVE = 6
 # Rank of each class for trend analysis, worst to best.
 CLASS_RANK = {"bad": 0, "average": 1, "good": 2, "star": 3}
 
+# Comment markers of the raw log and the fact flags they set
+# (did not play, did not dress, not with team); matched case-sensitively.
+COMMENT_MARKERS = {"dim_did_not_play": "DNP", "dim_did_not_dress": "DND", "dim_not_with_team": "NWT"}
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -43,10 +45,6 @@ def class_rank(cls) -> Column:
     return expr
 
 
-def in_class_domain(cls) -> Column:
-    return _col(cls).isin(*QUALITY_CLASSES)
-
-
 def lag_or_self(name: str, window: Window) -> Column:
     """``LAG(c, 1, c)``: the default applies to a missing previous row, not
     to a NULL value in it (S7). Python's ``F.lag`` takes no Column default."""

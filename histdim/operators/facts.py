@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import comment_flag, is_home, minutes
+from ..functions.expressions import COMMENT_MARKERS, comment_flag, is_home, minutes
 from ..plans.skew import skew_join
 from ..schemas import FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAILS, GAMES, conform
 
@@ -90,9 +90,7 @@ def to_fact(deduped: DataFrame, on_malformed: str = "error") -> DataFrame:
         F.col("player_name").alias("dim_player_name"),
         F.col("start_position").alias("dim_start_position"),
         is_home("team_id", "home_team_id").alias("dim_is_playing_at_home"),
-        comment_flag("comment", "DNP").alias("dim_did_not_play"),
-        comment_flag("comment", "DND").alias("dim_did_not_dress"),
-        comment_flag("comment", "NWT").alias("dim_not_with_team"),
+        *[comment_flag("comment", marker).alias(flag) for flag, marker in COMMENT_MARKERS.items()],
         minutes("min", on_malformed).alias("m_min"),
         *measures,
     )
