@@ -53,7 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) a fresh scratch folder is created and registered.
+    in local mode (tests) a fresh scratch folder is created and registered.
+    On a cluster an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -67,6 +68,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder shared by all "
+                               "executors (a machine-local scratch folder is only used in local mode)")
         conf_dir = tempfile.mkdtemp(prefix="histdim-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is None:
         return conf_dir
