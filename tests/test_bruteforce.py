@@ -97,3 +97,30 @@ def test_debut_load_matches_brute_force(spark, hist):
     rows = _rows(hist)
     got = sorted(tuple(r) for r in with_film_ids(debut_load(films_df(spark, rows), LO, HI)).collect())
     assert got == _brute_debut(rows)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 2), st.integers(1, 3),
+                          st.sampled_from([None, "", "DNP - x", "NWT - y"]),
+                          st.sampled_from([None, "10:30", "5:05"]), st.integers(0, 9)),
+                min_size=1, max_size=30))
+def test_dedup_survivor_matches_brute_force(spark, rows):
+    """The survivor per (game, team, player) is the smallest row under the
+    tie-break (every non-grain column ascending, NULLs last)."""
+    from histdim import dedup_details
+    from helpers import detail, details_df, games_df
+    from histdim.operators.facts import detail_tiebreak
+    recs = [detail(g, t, p, comment=c, min=m, pts=pts) for g, t, p, c, m, pts in rows]
+    games = games_df(spark, [(g, "2016-10-14", 2016, 10, 20) for g in (1, 2)])
+    got = sorted(tuple(r)[4:] for r in dedup_details(details_df(spark, recs), games).collect())
+    names = ["game_id", "team_id", "player_id"] + detail_tiebreak()
+    keyed = {}
+    for r in recs:
+        if r[0] not in (1, 2):
+            continue
+        d = dict(zip(names, r))
+        sort_key = tuple((d[c] is None, d[c] if d[c] is not None else 0) for c in detail_tiebreak())
+        best = keyed.get(r[:3])
+        if best is None or sort_key < best[0]:
+            keyed[r[:3]] = (sort_key, r)
+    assert got == sorted(v[1] for v in keyed.values())
