@@ -124,3 +124,54 @@ def test_dedup_survivor_matches_brute_force(spark, rows):
         if best is None or sort_key < best[0]:
             keyed[r[:3]] = (sort_key, r)
     assert got == sorted(v[1] for v in keyed.values())
+
+
+CLASSES = ["star", "good", "average", "bad"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 8), st.sampled_from(CLASSES), st.booleans(), st.booleans()),
+                max_size=12, unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.integers(0, 8), st.sampled_from(CLASSES), st.sampled_from([True, None])),
+                max_size=12, unique_by=lambda t: t[0]),
+       st.booleans())
+def test_increment_matches_brute_force(spark, versions, feed, null_safe):
+    """Staging and UPDATE + INSERT against a Python reading of the rules:
+    new / retired / changed (``<>`` or null-safe) / unchanged; unchanged
+    open versions extended, new and changed actors get [next, next]."""
+    from histdim import apply_changes, stage_changes
+    from histdim.schemas import ACTORS, ACTORS_HISTORY_SCD
+    last, nxt = 2000, 2001
+    scd_rows = []
+    for a, c, act, is_open in versions:
+        scd_rows.append((f"a{a}", f"Na{a}", "bad", True, 1990, 1995, last))  # a closed version
+        if is_open:
+            scd_rows.append((f"a{a}", f"Na{a}", c, act, 1996, last, last))
+    feed_rows = [(f"a{a}", f"Na{a}", [], c, act) for a, c, act in feed]
+    scd = spark.createDataFrame(scd_rows, ACTORS_HISTORY_SCD)
+    fdf = spark.createDataFrame(feed_rows, ACTORS)
+    stage = stage_changes(scd, fdf, last, null_safe=null_safe)
+    got_stage = sorted(map(tuple, stage.collect()), key=str)
+    got_next = sorted(map(tuple, apply_changes(scd, stage, last, nxt).collect()), key=str)
+
+    def ne(x, y):
+        if null_safe:
+            return x != y
+        return None if x is None or y is None else x != y
+
+    open_ = {r[0]: r for r in scd_rows if r[5] == last}
+    fd = {r[0]: r for r in feed_rows}
+    want_stage = []
+    for k in sorted(set(open_) | set(fd)):
+        if k not in open_:
+            want_stage.append((k, fd[k][1], fd[k][3], fd[k][4], "new"))
+        elif k not in fd:
+            want_stage.append((k, None, None, None, "retired"))
+        else:
+            ch = ne(open_[k][2], fd[k][3]) or ne(open_[k][3], fd[k][4])
+            want_stage.append((k, fd[k][1], fd[k][3], fd[k][4], "changed" if ch else "unchanged"))
+    assert got_stage == sorted(want_stage, key=str)
+    unchanged = {r[0] for r in want_stage if r[4] == "unchanged"}
+    want_next = [r[:5] + ((nxt, nxt) if r[0] in unchanged and r[5] == last else r[5:]) for r in scd_rows]
+    want_next += [(k, a, c, act, nxt, nxt, nxt) for k, a, c, act, t in want_stage if t in ("new", "changed")]
+    assert got_next == sorted(want_next, key=str)
