@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # no Python stack capture on every Column call while plans are built
     "spark.python.sql.dataFrameDebugging.enabled": "false",
