@@ -170,3 +170,24 @@ def test_versions_at_gives_null_outside_versions(spark):
     got = sorted((r.actorid, r.year, r.quality_class) for r in versions_at(scd, ev).collect())
     assert got == [("a", 1991, "star"), ("a", 1995, None), ("b", 1991, None)]
     assert "NestedLoopJoin" not in versions_at(scd, ev)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_failed_increment_check_leaves_table_unchanged(spark, scratch, monkeypatch):
+    """The partition swap happens only after the staged partitions pass their
+    checks: a failing check leaves the published table as it was."""
+    from histdim.plans import publish as pub
+    films = fx.actor_films(spark, SF)
+    path = f"{scratch}/scd"
+    publish_backfill(scd2_backfill(films, 1996, 2000), path)
+    before = sorted(map(tuple, read_scd(spark, path).collect()))
+
+    def failing(df, key):
+        raise contracts.ContractError("injected")
+    monkeypatch.setattr(pub.contracts, "assert_key", failing)
+    with pytest.raises(contracts.ContractError):
+        publish_increment(spark, path, snapshot(films, 2001).where("is_active"), 2000, 2001)
+    monkeypatch.undo()
+    assert sorted(map(tuple, read_scd(spark, path).collect())) == before
+    # and the increment can still run afterwards
+    publish_increment(spark, path, snapshot(films, 2001).where("is_active"), 2000, 2001)
+    assert read_scd(spark, path).where("end_year = 2001").count() > 0
