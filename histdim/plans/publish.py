@@ -62,6 +62,32 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p) or []
+    return sorted(str(st.getPath().toString()) for st in found)
+
+
+def recover(spark: SparkSession, path: str) -> str:
+    """Finish or undo a swap of ``publish`` that stopped between its two
+    renames (the table folder moved away, the staged one not yet in place).
+    The staged copy is promoted when its write completed (``_SUCCESS``),
+    else the old copy returns. Returns what was done."""
+    base = path.rstrip("/")
+    if _exists(spark, base):
+        return "ok"
+    for old in _glob(spark, f"{base}.__old-*"):
+        tag = old.rsplit(".__old-", 1)[1]
+        staged = f"{base}.__staging-{tag}"
+        if _exists(spark, f"{staged}/_SUCCESS"):
+            _rename(spark, staged, base)
+            _delete(spark, old)
+            return "promoted"
+        _rename(spark, old, base)
+        return "restored"
+    return "absent"
+
+
 # ------------------------------------------------------------------- writes
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
@@ -104,8 +130,10 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Da
 def publish(df: DataFrame, path: str, schema: T.StructType | None = None,
             partition_by: Sequence[str] = (), checks=()) -> None:
     """Write to a staging directory, run ``checks`` (callables on
-    the staged DataFrame that raise), then swap it in for ``path``."""
+    the staged DataFrame that raise), then swap it in for ``path``. A swap
+    interrupted earlier is completed or undone first (``recover``)."""
     spark = df.sparkSession
+    recover(spark, path)
     tag = uuid.uuid4().hex
     staging, old = f"{path.rstrip('/')}.__staging-{tag}", f"{path.rstrip('/')}.__old-{tag}"
     write_table(df, staging, schema, partition_by)

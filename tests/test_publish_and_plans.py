@@ -191,3 +191,24 @@ def test_failed_increment_check_leaves_table_unchanged(spark, scratch, monkeypat
     # and the increment can still run afterwards
     publish_increment(spark, path, snapshot(films, 2001).where("is_active"), 2000, 2001)
     assert read_scd(spark, path).where("end_year = 2001").count() > 0
+
+
+def test_recover_interrupted_swap(spark, scratch):
+    import os
+    from histdim.plans.publish import recover
+    films = fx.actor_films(spark, SF)
+    path = f"{scratch}/scd"
+    publish_backfill(scd2_backfill(films, 1996, 2000), path)
+    n = read_scd(spark, path).count()
+    # interrupted after the first rename, staged copy complete: promote it
+    os.rename(path, f"{path}.__old-t1")
+    publish_backfill(scd2_backfill(films, 1996, 1999), f"{scratch}/other")
+    os.rename(f"{scratch}/other", f"{path}.__staging-t1")
+    assert recover(spark, path) == "promoted"
+    assert read_scd(spark, path).count() != n and not os.path.exists(f"{path}.__old-t1")
+    # interrupted with an incomplete staged copy: the old table comes back
+    os.rename(path, f"{path}.__old-t2")
+    os.makedirs(f"{path}.__staging-t2")
+    assert recover(spark, path) == "restored"
+    assert read_scd(spark, path).count() > 0
+    assert recover(spark, path) == "ok"
