@@ -76,10 +76,21 @@ def transitions(scd: DataFrame) -> DataFrame:
 
 
 def consistent(scd: DataFrame, cls: str, y1: int, y2: int) -> DataFrame:
-    """K3: actors holding class ``cls`` over the whole of [y1, y2] in one
-    version (gap years inside a version count as held, S5)."""
-    return (scd.where((F.col("quality_class") == F.lit(cls)) & (F.col("start_year") <= F.lit(y1))
-                      & (F.col("end_year") >= F.lit(y2)))
+    """K3: actors holding class ``cls`` over the whole of [y1, y2].
+
+    Consecutive versions of the same class form one run, so a class held
+    across versions that differ only in ``is_active`` (dense backfill) still
+    counts; gap years inside a run count as held (S5). In the observed
+    backfill consecutive versions always differ in class, and a run is one
+    version. Returns each qualifying run with its first and last year."""
+    w = Window.partitionBy("actorid").orderBy("start_year")
+    prev = F.lag("quality_class").over(w)
+    starts = (prev.isNull() | (prev != F.col("quality_class"))).cast("int")
+    runs = (scd.withColumn("_run", F.sum(starts).over(w))
+            .groupBy("actorid", "actor", "quality_class", "_run")
+            .agg(F.min("start_year").alias("start_year"), F.max("end_year").alias("end_year")))
+    return (runs.where((F.col("quality_class") == F.lit(cls)) & (F.col("start_year") <= F.lit(y1))
+                       & (F.col("end_year") >= F.lit(y2)))
             .select("actorid", "actor", "quality_class", "start_year", "end_year"))
 
 

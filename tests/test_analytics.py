@@ -39,3 +39,13 @@ def test_cohorts(spark):
 def test_trend(spark):
     got = {r["year"]: (r["n_up"], r["n_down"], r["n_flat"]) for r in as_dicts(trend(_scd(spark)))}
     assert got == {1993: (1, 0, 0), 1996: (1, 0, 0), 1998: (0, 1, 0)}
+
+
+def test_consistent_across_inactive_years_in_dense_mode(spark):
+    from histdim import scd2_backfill
+    from helpers import films_df
+    films = films_df(spark, [("a", "A", 1990, 9.0), ("a", "A", 1992, 9.0), ("b", "B", 1990, 9.0),
+                             ("b", "B", 1991, 1.0), ("b", "B", 1992, 9.0)])
+    dense = scd2_backfill(films, 1990, 1992, years="dense")
+    got = [(r["actorid"], r["start_year"], r["end_year"]) for r in as_dicts(consistent(dense, "star", 1990, 1992))]
+    assert got == [("a", 1990, 1992)]
