@@ -1,0 +1,45 @@
+import zlib
+
+from histdim.llm.sharding import shard_by_bytes
+
+
+def brute(rows, n):
+    out, end = [], 0
+    key = [(i is None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for i, t in rows]
+    total = sum(k[3] for k in key)
+    for null, i, crc, size in sorted(key):
+        end += size
+        out.append([None if null else i, size, crc, min(n - 1, (2 * end - size) * n // (2 * total))])
+    first = {}
+    for k, row in enumerate(out):
+        row.append(k - first.setdefault(row[3], k))
+    return sorted(map(tuple, out), key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_against_brute_force(spark, make_docs):
+    rows = [(k * 7 % 101, "w" * (k * k % 37)) for k in range(101)]
+    assert got(shard_by_bytes(make_docs(rows, 5), 16)) == brute(rows, 16)
+
+
+def test_shards_are_contiguous_and_balanced(spark, make_docs):
+    rows = [(k, "x" * (k % 50)) for k in range(2000)]
+    by = {}
+    for i, size, _, shard, slot in got(shard_by_bytes(make_docs(rows, 7), 16)):
+        by.setdefault(shard, []).append((i, size, slot))
+    spans = [sorted(by[s]) for s in range(16)]
+    assert all(a[-1][0] < b[0][0] for a, b in zip(spans, spans[1:]))
+    assert all([r[2] for r in s] == list(range(len(s))) for s in spans)
+    sizes = [sum(r[1] for r in s) for s in spans]
+    assert max(sizes) - min(sizes) <= 2 * 51
+
+
+def test_odd_rows_and_empty_table(spark, odd_docs, make_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert got(shard_by_bytes(odd_docs, 4)) == brute(rows, 4)
+    assert shard_by_bytes(make_docs([]), 4).count() == 0
+    hot = [(9, "same")] * 300 + [(k, "t") for k in range(100)]
+    assert got(shard_by_bytes(make_docs(hot), 8)) == brute(hot, 8)
