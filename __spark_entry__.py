@@ -102,8 +102,25 @@ def _snapshot_feed(films):
     return snapshot(films, NEXT)
 
 
+def _llm_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; none where that
+    subpackage (with corpus_pipeline.py) is not installed."""
+    try:
+        import corpus_pipeline
+        from histdim.llm.queries import ORACLE, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline" and not str(e.name).startswith("histdim.llm"):
+            raise
+        return {}, {}
+    sql = dict(ORACLE)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_llm_queries()[0],
         # sources (A1, A4-A6)
         "actor_films": lambda s, d: fx.actor_films(s, d),
         "games": lambda s, d: fx.games(s, d),
@@ -146,4 +163,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries(LO, HI, NEXT, AS_OF, FACT_DATE, FILMS_YEAR, CONSISTENT_SPAN)
+    return {**_llm_queries()[1],
+            **oracle_queries(LO, HI, NEXT, AS_OF, FACT_DATE, FILMS_YEAR, CONSISTENT_SPAN)}
