@@ -27,3 +27,5 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op9_mixing": op9_mixing,
 }
+
+ORACLE: dict[str, str] = {}
