@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import fingerprints, mixing, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,19 @@ def op1_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_fingerprints(spark, sf_dir):
+    printed = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return printed.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+                          fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+                          fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                          "near_edited", "near_next")
+
+
+def op6_simhash(spark, sf_dir):
+    groups = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, max_bits=2)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_mixing(spark, sf_dir):
     taken = mixing.mix(_table(spark, sf_dir, "documents"), (5.0, 2.0, 1.0), max_epochs=3)
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -25,6 +38,8 @@ def op9_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_simhash": op6_simhash,
     "op9_mixing": op9_mixing,
 }
 

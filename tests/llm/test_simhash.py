@@ -1,0 +1,116 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from histdim.llm import simhash
+from histdim.llm.components import components
+
+
+def simhash_of(text, width=3):
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    grams = [" ".join(w[i:i + width]) for i in range(len(w) - width + 1)] if len(w) >= width else [" ".join(w)] * bool(w)
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(ids_fps, bits=2):
+    """Smallest id of each row's group, by all pairs."""
+    fps = sorted({f for _, f in ids_fps})
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+    for i, a in enumerate(fps):
+        for b in fps[i + 1:]:
+            if (a ^ b).bit_count() <= bits:
+                parent[find(a)] = find(b)
+    least = {}
+    for i, f in ids_fps:
+        if i is not None:
+            least[find(f)] = min(i, least.get(find(f), i))
+    return [least.get(find(f)) for _, f in ids_fps]
+
+
+def near_set(n, seed):
+    """Random fingerprints, chains of 1 and 2 bit steps and a crowd around one word."""
+    rnd = random.Random(seed)
+    out = [rnd.getrandbits(64) for _ in range(n)]
+    for f in out[:n // 3]:
+        for _ in range(rnd.randrange(4)):
+            for _ in range(rnd.randrange(1, 5)):
+                f ^= 1 << rnd.randrange(64)
+            out.append(f)
+    core = rnd.getrandbits(64)
+    out += [core ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for _ in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("bits,per_task", [(2, 2048), (2, 3), (1, 2048), (0, 2048)])
+def test_links_against_all_pairs(spark, bits, per_task):
+    fps = near_set(250, bits)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    nodes = spark.createDataFrame([(f,) for f in sorted(set(signed))], "fp bigint").repartition(3)
+    found = components(simhash.links(nodes, bits, per_task)).collect()
+    root = {r.node: r.root for r in found}
+    first = {}
+    got = [first.setdefault(root.get(f, f), f) for f in signed]
+    want, seen = groups(list(enumerate(fps)), bits), {}
+    assert got == [seen.setdefault(w, f) for w, f in zip(want, signed)]
+
+
+def test_every_close_pair_meets_at_a_home():
+    rnd = random.Random(1)
+    fps = np.array([rnd.getrandbits(63) for _ in range(300)], dtype=np.int64)
+    near = fps ^ np.array([(1 << rnd.randrange(64 - 1)) ^ (1 << rnd.randrange(64 - 1)) for _ in fps], dtype=np.int64)
+    homes = simhash.anchors_of(fps, 0)[1]
+    rows, anchors, home = simhash.anchors_of(near, 2)
+    visited = {(r, a) for r, a in zip(rows.tolist(), anchors.tolist())}
+    assert all((i, a) in visited for i, a in enumerate(homes.tolist()))
+    assert home.sum() == len(near) and len(visited) == len(rows)
+
+
+def test_against_brute_force(make_docs):
+    rnd = random.Random(3)
+    base = [" ".join(rnd.choice("abcdefgh") * 3 + str(rnd.randrange(60)) for _ in range(rnd.randrange(400))) for _ in range(60)]
+    rows = [(k, t) for k, t in enumerate(base)]
+    for k, t in enumerate(base):
+        w = t.split()
+        if len(w) > 30:
+            w[rnd.randrange(len(w))] = "Changed"
+            rows += [(1000 + k, " ".join(w)), (2000 + k, t.upper())]
+    rows += [(5000, None), (4999, ""), (5001, " \n"), (None, "zz"), (None, None), (1, base[1])]
+    want = [(i, f"{simhash_of(t):016x}") for i, t in rows]
+    ids = groups([(i, int(f, 16)) for i, f in want])
+    got = simhash.near_duplicates(make_docs(rows, 4)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str((*w, c)) for w, c in zip(want, ids))
+
+
+def test_components_of_paths_and_cycles(spark):
+    links = [(k, k + 1) for k in range(100, 160)] + [(7, 9), (9, 8), (8, 7), (3, 3)]
+    got = dict(map(tuple, components(spark.createDataFrame(links, "u bigint, v bigint")).collect()))
+    assert got == {**{k: 100 for k in range(100, 161)}, 7: 7, 8: 7, 9: 7}
+
+
+def test_keep_first(make_docs):
+    rows = [(3, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "A b c D"), (9, "other words here"), (None, "other words here"),
+            (None, "quite different thing"), (8, None), (7, "")]
+    docs = make_docs(rows)
+    out = simhash.keep_first(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(str, [(r.doc_id, r.text) for r in out.collect()])) == sorted(map(str, [
+        (1, "a b c d"), (9, "other words here"), (None, "quite different thing"), (7, "")]))
+
+
+def test_odd_rows_and_empty_table(odd_docs, make_docs):
+    assert simhash.near_duplicates(odd_docs).count() == odd_docs.count()
+    assert simhash.keep_first(odd_docs).columns == odd_docs.columns
+    assert simhash.near_duplicates(make_docs([])).count() == 0
+    assert simhash.keep_first(make_docs([])).count() == 0
