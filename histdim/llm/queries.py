@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, sharding, simhash
+from . import bpe, fingerprints, mixing, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op1_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_bpe(spark, sf_dir):
+    import public_tokenizers
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 def op4_fingerprints(spark, sf_dir):
     printed = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
     return printed.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
@@ -31,6 +37,10 @@ def op6_simhash(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_secrets(spark, sf_dir):
+    return secrets.digests(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark, sf_dir):
     taken = mixing.mix(_table(spark, sf_dir, "documents"), (5.0, 2.0, 1.0), max_epochs=3)
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -38,8 +48,10 @@ def op9_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op6_simhash": op6_simhash,
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
 
