@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, mixing, secrets, sharding, simhash
+from ..session import ensure_checkpoint_dir
+from . import bpe, fingerprints, mixing, secrets, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,34 @@ def op4_fingerprints(spark, sf_dir):
                           "near_edited", "near_next")
 
 
+def op5_warc(spark, sf_dir):
+    """Archives written to, and read back from, the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    page = F.expr("cast(nullif(record_id, '') as bigint)")
+    return warc.read(spark, path).select(
+        page.alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("cast(nullif(refers_to, '') as bigint)").alias("refers_to"))
+
+
+# SHA-1 in base32: five hexadecimal digits are four digits of the result.
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+groups AS (SELECT hex, min(page_id) AS first_id FROM p GROUP BY hex),
+chunks AS (SELECT hex, k, CAST('0x' || substr(hex, 5 * k + 1, 5) AS INTEGER) AS v FROM groups, range(8) AS r(k)),
+digests AS (SELECT hex, string_agg(concat(
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 15) & 31 AS INTEGER) + 1, 1),
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 10) & 31 AS INTEGER) + 1, 1),
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 5) & 31 AS INTEGER) + 1, 1),
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v & 31 AS INTEGER) + 1, 1)), '' ORDER BY k) AS digest
+    FROM chunks GROUP BY hex)
+SELECT page_id, strlen(body) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM p JOIN groups USING (hex) JOIN digests USING (hex)
+"""
+
+
 def op6_simhash(spark, sf_dir):
     groups = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, max_bits=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,9 +81,12 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": OP5_SQL,
+}
