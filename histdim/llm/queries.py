@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, fingerprints, mixing, secrets, sharding, simhash, warc
+from . import ann, bpe, fingerprints, mixing, secrets, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op9_mixing(spark, sf_dir):
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_ann(spark, sf_dir):
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_bpe": op3_bpe,
@@ -85,6 +89,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_ann": op10_ann,
 }
 
 ORACLE: dict[str, str] = {
