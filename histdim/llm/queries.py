@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import ann, bpe, fingerprints, mixing, secrets, sharding, simhash, warc
+from . import ann, bpe, fingerprints, mixing, quality, secrets, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op6_simhash(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_secrets(spark, sf_dir):
     return secrets.digests(_table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_ann": op10_ann,
