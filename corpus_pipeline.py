@@ -1,12 +1,66 @@
-"""The training-data pipeline: STAGES applied in turn to the documents table."""
+"""The training-data pipeline: STAGES applied in turn to the documents table.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and read again as the next stage's docs. Stages keep the
+columns of documents; the last one returns the encoded corpus.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from histdim.llm import bpe, mixing, quality, secrets, simhash
+from histdim.session import ensure_checkpoint_dir
+
+WEIGHTS = (5.0, 2.0, 1.0)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier keeps."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.kept(docs, quality.fit(docs, labels))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group, the one with the smallest id."""
+    return simhash.keep_first(docs, width=3, max_bits=2)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets masked."""
+    return secrets.redacted(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, each as often as it takes it."""
+    return mixing.mixed_documents(docs, WEIGHTS, max_epochs=3)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document: doc_id, n_tokens, ids."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", near_duplicates),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mix),
+    ("byte-level BPE encoding", encoding),
+]
+# XXH64, the classifier and the tokenizer are beyond SQL; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``, each written to the shared folder."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        out = f"{base}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return docs

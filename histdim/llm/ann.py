@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_arrow
 
 TABLES, HASHES, WIDTH, PROBES = 6, 4, 1.4, 16
 # Members or queries of one bucket that a task holds at once.
@@ -98,7 +98,7 @@ def _hashed(vectors: DataFrame, hashes: Hashes, dim: int, longest: float, probes
                     x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                     keys = hashes.probes(np.c_[x, np.zeros(len(x))], probes).reshape(len(x), -1)
                 yield _rows(keys, ids, own, probes is not None)
-    return vectors.mapInArrow(run, ROW)
+    return map_arrow(vectors, run, ROW)
 
 
 def _one_bucket(vectors: DataFrame, dim: int, query: bool) -> DataFrame:
@@ -106,7 +106,7 @@ def _one_bucket(vectors: DataFrame, dim: int, query: bool) -> DataFrame:
         for b in batches:
             own, ids = _matrix(b.column(1), dim), b.column(0).to_numpy(zero_copy_only=False)
             yield _rows(np.zeros((len(ids), 1), dtype=np.int64), ids, own, query)
-    return vectors.mapInArrow(run, ROW)
+    return map_arrow(vectors, run, ROW)
 
 
 def _rows(keys: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: bool) -> pa.RecordBatch:
@@ -189,8 +189,8 @@ def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int)
     dealt = (rows.join(crowded, "bucket", "left")
              .withColumn("_c", F.explode(F.when(F.col("_q").isNull(), alone).otherwise(cells)))
              .select("bucket", "_c.i", "_c.j", "query", "vec_id", "vec"))
-    return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
+    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return map_arrow(dealt, run, "query_id bigint, vec_id bigint, score double")
 
 
 def _result(best: tuple) -> pa.RecordBatch:

@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 # Entries kept in a worker's memo tables; a full table is emptied.
 PIECES_KEPT = 800_000
 PAIRS_KEPT = 2_000_000
@@ -141,7 +143,7 @@ def codec(raw: bytes, pattern: str) -> BytePairCodec:
 def _with_texts(docs: DataFrame, run, id_col: str, text_col: str, fields: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, {fields}")
+    return map_arrow(rows, run, f"doc_id {kind}, {fields}")
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -174,7 +176,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
             data = [b"".join(own.tokens[i] for i in ids or ()) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, data binary")
+    return map_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, data binary")
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",

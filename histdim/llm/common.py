@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the Python workers' path, as the
+    session may run in another folder. Where executors have files of their own
+    the package is installed or comes with ``--py-files``."""
+    env = df.sparkSession.sparkContext.environment
+    path = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in path:
+        env["PYTHONPATH"] = os.pathsep.join([*path, ROOT])
+    return df.mapInArrow(run, schema)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

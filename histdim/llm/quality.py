@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 # Bounds of the sample that the model is fitted on, in documents.
 LABELLED = 4000
 UNLABELLED = 6000
@@ -184,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled
             yield pa.RecordBatch.from_arrays([part.column("label"), part.column("doc_id"), pa.array(views.tolist(), pa.list_(pa.float64()))],
                                              ["label", "id", "x"])
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = rows.mapInArrow(run, f"label int, id {kind}, x array<double>")
+    sample = map_arrow(rows, run, f"label int, id {kind}, x array<double>")
     # a repeated id could bring any number of rows: take one of each
     sample = sample.groupBy("id").agg(F.min(F.struct("label", "x")).alias("s")).orderBy("id").select("s.*").collect()
     if not sample:
@@ -208,7 +210,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
                                              ["doc_id", "content_score", "metadata_score", "score", "keep"])
     rows = docs.select(F.col(id_col).alias("doc_id"), *COLUMNS)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, content_score double, metadata_score double, score double, keep boolean")
+    return map_arrow(rows, run, f"doc_id {kind}, content_score double, metadata_score double, score double, keep boolean")
 
 
 def kept(docs: DataFrame, model: Model) -> DataFrame:
@@ -216,7 +218,7 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
             yield part.filter(pa.array(model.score(*_views(part.to_pydict()))[2] >= KEEP_FROM))
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import ann, bpe, fingerprints, mixing, quality, secrets, sharding, simhash, warc
+from . import ann, bpe, fingerprints, mixing, quality, secrets, sharding, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,53 @@ def op1_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def url_lists(pages: DataFrame) -> DataFrame:
+    """Dated list entries derived from the pages' own URLs: every third page
+    dates an addition or a removal of its host, its domain or its language path."""
+    url, i = F.col("url"), F.col("page_id")
+    host = url_filter.host_of(url)
+    domain = F.substring_index(host, ".", -2)
+    section = F.concat(host, F.regexp_extract(url, "^[a-z]+://[^/]+(/[^/]+/)", 1))
+    return pages.where(i % 3 == 0).select(
+        F.element_at(F.array(*map(F.lit, ("adult", "malware", "spam"))), (i % 5 % 3 + 1).cast("int")).alias("list"),
+        F.when(i % 4 == 0, section).when(i % 4 == 1, host).when(i % 4 == 2, F.concat(host, F.lit("/de/")))
+        .when(i % 7 == 0, domain).otherwise(host).alias("pattern"),
+        (i * 60).alias("at"), F.when(i % 2 == 0, "add").otherwise("remove").alias("action"))
+
+
+def op2_url_filter(spark, sf_dir):
+    """Captures are the pages, fetched in an order other than their ids'."""
+    pages = _table(spark, sf_dir, "pages")
+    captures = pages.withColumn("fetched", F.col("page_id") * 7919 % 100003 * 60)
+    judged = url_filter.judge(captures, url_lists(pages))
+    return judged.select("page_id", "fetched", "matches", "lists", "blocked")
+
+
+OP2_SQL = r"""
+WITH u AS (SELECT page_id, url, (page_id * 7919 % 100003) * 60 AS fetched,
+        regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1), '\.+$', '') AS host,
+        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+entries AS (SELECT CASE page_id % 5 % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' ELSE 'spam' END AS list,
+        CASE WHEN page_id % 4 = 0 THEN host || regexp_extract(url, '^[a-z]+://[^/]+(/[^/]+/)', 1)
+             WHEN page_id % 4 = 1 THEN host
+             WHEN page_id % 4 = 2 THEN host || '/de/'
+             WHEN page_id % 7 = 0 THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1)
+             ELSE host END AS pattern,
+        page_id * 60 AS dated_at, CASE WHEN page_id % 2 = 0 THEN 'add' ELSE 'remove' END AS action
+    FROM u WHERE page_id % 3 = 0),
+dated AS (SELECT list, pattern, dated_at, max(action) AS action FROM entries GROUP BY ALL),
+latest AS (SELECT u.page_id, d.list, d.pattern, arg_max(d.action, d.dated_at) AS action
+    FROM u JOIN dated d ON d.dated_at <= u.fetched
+        AND (u.host = d.pattern OR ends_with(u.host, '.' || d.pattern)
+             OR (d.pattern LIKE '%/' AND starts_with(u.host || u.path, d.pattern)))
+    GROUP BY ALL),
+hits AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+    FROM latest WHERE action = 'add' GROUP BY page_id)
+SELECT u.page_id, u.fetched, coalesce(n, 0) AS matches, coalesce(lists, '') AS lists, n IS NOT NULL AS blocked
+FROM u LEFT JOIN hits USING (page_id)
+"""
+
+
 def op3_bpe(spark, sf_dir):
     import public_tokenizers
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -88,6 +135,7 @@ def op10_ann(spark, sf_dir):
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_url_filter": op2_url_filter,
     "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
@@ -99,5 +147,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_url_filter": OP2_SQL,
     "op5_warc": OP5_SQL,
 }

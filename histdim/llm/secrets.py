@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 KINDS = ("assign", "access", "hex", "named")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
 
@@ -221,13 +223,13 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
     place = docs.columns.index(text_col)
     size = docs.columns.index(length_col) if length_col in docs.columns else None
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def _over_texts(docs: DataFrame, run, id_col: str, text_col: str, fields: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_b"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
+    return map_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
 
 def _texts(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple[pa.Array, list[bytes]]]:

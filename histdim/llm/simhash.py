@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_arrow, partitions
 from .components import components
 
 SEED = 42
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_th"), text.cast("binary").alias("_b"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, _th bigint, fp bigint")
+    return map_arrow(rows, run, f"doc_id {kind}, _th bigint, fp bigint")
 
 
 @lru_cache
@@ -201,11 +201,12 @@ def links(nodes: DataFrame, max_bits: int, homes_per_task: int = HOMES_PER_TASK)
     def compare(batches):
         return _compare(batches, max_bits)
 
-    fps = nodes.select("fp")
-    crowded = cut(fps.mapInArrow(at_home, "anchor bigint").groupBy("anchor").count()
+    # dealt out again: each row becomes many, so small partitions are not small tasks
+    fps = nodes.select("fp").repartition(partitions(nodes), "fp")
+    crowded = cut(map_arrow(fps, at_home, "anchor bigint").groupBy("anchor").count()
                   .where(F.col("count") > homes_per_task)
                   .select("anchor", F.ceil(F.col("count") / homes_per_task).cast("int").alias("_parts")))
-    rows = fps.mapInArrow(replicate, "anchor bigint, fp bigint, home boolean")
+    rows = map_arrow(fps, replicate, "anchor bigint, fp bigint, home boolean")
     if crowded.count() <= 100_000:  # 12 bytes each; a longer list is joined by a shuffle
         crowded = F.broadcast(crowded)
     # a home is compared in its own part and visits the others
@@ -215,8 +216,8 @@ def links(nodes: DataFrame, max_bits: int, homes_per_task: int = HOMES_PER_TASK)
     parts = F.when(F.col("_parts").isNull(), F.array(F.struct(F.lit(0).alias("part"), F.col("home")))).otherwise(each)
     dealt = (rows.join(crowded, "anchor", "left").select("anchor", "fp", F.explode(parts).alias("p"))
              .select("anchor", "p.part", "fp", "p.home"))
-    return (dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-            .mapInArrow(compare, "u bigint, v bigint"))
+    dealt = dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    return map_arrow(dealt, compare, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
