@@ -10,17 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import class_rank
-from ..plans.joins import broadcast_if_small
-from ..plans.skew import skew_join
+from ..plans.skew import salted_join
 
 
 def fact_with_teams(fact: DataFrame, teams: DataFrame) -> DataFrame:
-    """``SELECT t.*, gd.* FROM fact gd JOIN teams t ON t.team_id =
-    gd.dim_team_id``: a star join; the dimension is broadcast only if its size
-    estimate is below the bound, otherwise the planner (and AQE) decides."""
-    t = broadcast_if_small(teams)
-    joined = fact.join(t, t["team_id"] == fact["dim_team_id"], "inner")
-    return joined.select(*[t[c] for c in teams.columns], *[fact[c] for c in fact.columns])
+    """Every fact row with its team, the team's columns first. The
+    planner broadcasts the dimension below the session's threshold; otherwise
+    both sides are shuffled and AQE splits a skewed team."""
+    joined = fact.join(teams, teams["team_id"] == fact["dim_team_id"], "inner")
+    return joined.select(*[teams[c] for c in teams.columns], *[fact[c] for c in fact.columns])
 
 
 def bail_rates(fact: DataFrame, by: str = "dim_player_name") -> DataFrame:
@@ -42,22 +40,18 @@ def as_of(scd: DataFrame, year: int) -> DataFrame:
     return scd.where((F.col("end_year") >= y) & (F.col("start_year") <= y))
 
 
-def versions_at(scd: DataFrame, events: DataFrame, at: str = "year", key: str = "actorid",
-                skew="auto") -> DataFrame:
+def versions_at(scd: DataFrame, events: DataFrame, at: str = "year", key: str = "actorid") -> DataFrame:
     """D10 for a table of dates: each row of ``events`` with the version of
     its actor valid at its ``at`` year (``start_year <= at <= end_year``),
-    NULL version columns where none is.
+    NULL version columns where none is or the key is NULL.
 
-    An equi join on the key with the interval as a join condition: Spark
-    plans a sort-merge (or broadcast) join on ``key`` and tests the interval
-    inside each key group, which holds an actor's few versions, so no
-    nested-loop join arises. An actor holding more than 0.1% of the events
-    (on inputs of 1 GiB and more) meets a broadcast of its own versions.
+    An equi join on the key with the interval as a join condition: the
+    interval is tested among an actor's few versions, so no nested-loop join
+    arises. An actor's events are dealt over salts by their other columns.
     """
-    v = scd.select(F.col(key).alias("_k"), "quality_class", "is_active", "start_year", "end_year")
-    cond = ((F.col(key) == F.col("_k")) & (F.col("start_year") <= F.col(at))
-            & (F.col("end_year") >= F.col(at)))
-    return skew_join(events, v, cond, key, "left", small_key="_k", skew=skew).drop("_k")
+    v = scd.select(F.col("actorid").alias(key), "quality_class", "is_active", "start_year", "end_year")
+    valid = (F.col("_s.start_year") <= F.col(f"_b.{at}")) & (F.col("_s.end_year") >= F.col(f"_b.{at}"))
+    return salted_join(events, v, key, events.columns, valid, "left")
 
 
 def _with_previous(scd: DataFrame) -> DataFrame:

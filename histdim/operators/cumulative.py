@@ -1,40 +1,35 @@
 """Cumulative current-state dimension ``actors``.
 
-Every function maps DataFrames to a DataFrame. Jobs run while a plan is
-built only for the hot-key step of ``debut_load``, ``cumulate_range`` and
-``resolve_names`` (``skew=True``, or ``'auto'`` on inputs of 1 GiB and more),
-which writes a per-actor table once and reads back at most 1,000 hot keys,
-and for ``resolve_names(policy='check')``.
+Every function maps DataFrames to a lazy DataFrame; no job runs while a plan
+is built, and one plan serves every input size. Rows are grouped by actorid;
+the name follows the policy ``names`` (see ``names``).
 
 Plans, as checked with ``explain``:
 
 * ``snapshot``: the year filter reaches the Parquet scan, then one
-  aggregate on (actorid, actor) with partial aggregation before its exchange.
-* ``debut_load``: the reference loops over 52 years with an insert-if-absent;
-  here one pass: a map-side-combined ``min(year)`` and count per actor,
-  joined back on actorid (AQE turns it into a broadcast when the measured
-  per-actor table is small, otherwise sort-merge; on large inputs actors
-  holding more than 0.1% of all films meet a broadcast of their own rows
-  instead, see ``plans.skew``), the rows after the debut year are dropped,
-  and the final aggregate reuses the join's partitioning.
+  aggregate on actorid with partial aggregation before its exchange.
+* ``debut_load``: the reference loops over 52 years with an insert-if-absent.
+  Here films up to the first year are all kept by a pushed filter; of later
+  films those of the actor's first year are found by an equi join on (actorid,
+  year) with the map-side combined minimum, which spreads an actor over its
+  years and lets AQE split a skewed part.
 * ``cumulate``: one step of a yearly upsert, a full outer join of yesterday's
   state with this year's films; ``cumulate_range`` is its closed form for a
-  backfill and needs no loop.
+  backfill: a yearly aggregate per actor and then one over the years.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import quality_class
-from ..plans.skew import DEFAULT_HOT_SHARE, hot_keys, split_hot_join, worth_checking
-from ..plans.staging import stage
 from ..schemas import ACTORS, conform
+from .names import one_name
 
 
 def films_array(year: Column | None = None) -> Column:
-    """``ARRAY_AGG(ROW(film, votes, rating, filmid) ORDER BY year DESC)``.
+    """An actor's films as an array of structs, newest first.
 
     Ties inside a year are broken by ``filmid`` (S23), so the order is total.
     The year only steers the sort and is dropped from the result structs.
@@ -47,67 +42,51 @@ def films_array(year: Column | None = None) -> Column:
                                           x["rating"].alias("rating"), x["fid"].alias("filmid")))
 
 
-def _state(films: DataFrame, anchor: Column, is_active: Column | None = None) -> DataFrame:
+def _name(names: str) -> Column:
+    return one_name(names, "actorid", "actor", F.struct("year", "filmid")).alias("actor")
+
+
+def _state(films: DataFrame, anchor: Column, names: str) -> DataFrame:
     """Aggregate an actor's films up to ``anchor`` (a column or literal year).
 
     Class and activity come from the films *in* the anchor year (S3); the
     array holds every film kept by the caller's filter.
     """
     in_anchor = F.col("year") == anchor
-    agg = films.groupBy("actorid", "actor").agg(
-        films_array().alias("films"),
+    agg = films.groupBy("actorid").agg(
+        _name(names), films_array().alias("films"),
         F.avg(F.when(in_anchor, F.col("rating"))).alias("_avg"),
         F.count(F.when(in_anchor, F.lit(1))).alias("_n"),
-        F.max(anchor).alias("_anchor"),
     )
-    active = F.when(F.col("_n") > 0, F.lit(True)) if is_active is None else is_active
     return conform(agg.select("actorid", "actor", "films",
                               quality_class("_avg").alias("quality_class"),
-                              active.alias("is_active")), ACTORS)
+                              F.when(F.col("_n") > 0, F.lit(True)).alias("is_active")), ACTORS)
 
 
-def snapshot(films: DataFrame, year: int) -> DataFrame:
+def snapshot(films: DataFrame, year: int, names: str = "error") -> DataFrame:
     """Every actor with a film up to ``year``, as of ``year``.
 
     ``is_active`` is true with films in ``year`` and NULL without (the
     reference's left join gives a NULL count, S2); never false.
     """
-    return _state(films.where(F.col("year") <= F.lit(year)), F.lit(year))
-
-
-def _join_anchor(scoped: DataFrame, per_actor: DataFrame, skew, hot_share: float,
-                 hot_min_rows: int) -> DataFrame:
-    """Join each film to its actor's anchor year. With hot-key handling
-    (``skew=True``, or ``'auto'`` on inputs of 1 GiB and more) ``per_actor``
-    (one row per actor, with its film count ``_n``) is written once to the
-    checkpoint folder, and actors holding more than ``hot_share`` of the
-    films are joined against a broadcast of their anchor rows (``plans.skew``)."""
-    if skew == "auto":
-        skew = worth_checking(scoped)
-    if not skew:
-        return scoped.join(per_actor.drop("_n"), "actorid", "inner")
-    per_actor = stage(per_actor, "per-actor-anchor")
-    hot = hot_keys(per_actor, "actorid", "_n", hot_share, hot_min_rows)
-    return split_hot_join(scoped, per_actor.drop("_n"), "actorid", "actorid", hot)
-
-
-def debut_load(films: DataFrame, lo: int, hi: int, skew="auto",
-               hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
+    return _state(films.where(F.col("year") <= F.lit(year)), F.lit(year), names)
+
+
+def debut_load(films: DataFrame, lo: int, hi: int, names: str = "error") -> DataFrame:
     """The ``actors`` table the reference's yearly insert loop leaves.
 
     Each actor keeps the snapshot of the first loop year it appears in
     (insert-if-absent, S1): debut year ``greatest(lo, min(year))`` (S2).
     """
-    scoped = films.where(F.col("year") <= F.lit(hi))
-    debut = (scoped.groupBy("actorid")
-             .agg(F.greatest(F.lit(lo), F.min("year")).alias("_debut"), F.count(F.lit(1)).alias("_n")))
-    kept = (_join_anchor(scoped, debut, skew, hot_share, hot_min_rows)
-            .where(F.col("year") <= F.col("_debut")))
-    return _state(kept, F.col("_debut"))
+    early = films.where(F.col("year") <= F.lit(lo))
+    first = (films.where(F.col("year") <= F.lit(hi)).groupBy("actorid")
+             .agg(F.min("year").alias("year")).where(F.col("year") > F.lit(lo)))
+    late = (films.where((F.col("year") > F.lit(lo)) & (F.col("year") <= F.lit(hi)))
+            .join(first, ["actorid", "year"], "left_semi").select(*films.columns))
+    return _state(early.unionByName(late), F.greatest(F.col("year"), F.lit(lo)), names)
 
 
-def cumulate_range(films: DataFrame, lo: int, hi: int, skew="auto",
-                   hot_share: float = DEFAULT_HOT_SHARE, hot_min_rows: int = 100_000) -> DataFrame:
+def cumulate_range(films: DataFrame, lo: int, hi: int, names: str = "error") -> DataFrame:
     """Closed form of ``cumulate`` folded from an empty state over [lo, hi].
 
     Actors with a film in the range; films of the range, newest first; class
@@ -115,19 +94,26 @@ def cumulate_range(films: DataFrame, lo: int, hi: int, skew="auto",
     year is ``hi``.
     """
     scoped = films.where(F.col("year").between(F.lit(lo), F.lit(hi)))
-    last = scoped.groupBy("actorid").agg(F.max("year").alias("_last"), F.count(F.lit(1)).alias("_n"))
-    kept = _join_anchor(scoped, last, skew, hot_share, hot_min_rows)
-    return _state(kept, F.col("_last"), is_active=F.col("_anchor") == F.lit(hi))
+    yearly = scoped.groupBy("actorid", "year").agg(
+        _name(names), films_array().alias("films"), F.avg("rating").alias("_avg"))
+    agg = yearly.groupBy("actorid").agg(
+        one_name(names, "actorid", "actor", F.col("year")).alias("actor"),
+        F.array_sort(F.collect_list(F.struct((-F.col("year")).alias("k"), "films"))).alias("_years"),
+        F.max_by("_avg", "year").alias("_avg"), F.max("year").alias("_last"))
+    return conform(agg.select("actorid", "actor",
+                              F.flatten(F.transform("_years", lambda y: y["films"])).alias("films"),
+                              quality_class("_avg").alias("quality_class"),
+                              (F.col("_last") == F.lit(hi)).alias("is_active")), ACTORS)
 
 
-def cumulate(prev: DataFrame, films: DataFrame, year: int) -> DataFrame:
+def cumulate(prev: DataFrame, films: DataFrame, year: int, names: str = "error") -> DataFrame:
     """One yearly step of the cumulative table (full outer join).
 
     With films in ``year``: class from that year's average, ``is_active``
     true, the year's films (by filmid) in front of the previous array.
     Without: previous class and films, ``is_active`` false.
     """
-    this = _state(films.where(F.col("year") == F.lit(year)), F.lit(year)).alias("t")
+    this = _state(films.where(F.col("year") == F.lit(year)), F.lit(year), names).alias("t")
     last = prev.select("actorid", "actor", "films", "quality_class").alias("p")
     joined = last.join(this, F.col("p.actorid") == F.col("t.actorid"), "full_outer")
     seen = F.col("t.actorid").isNotNull()
@@ -143,30 +129,12 @@ def cumulate(prev: DataFrame, films: DataFrame, year: int) -> DataFrame:
 
 
 def films_as_of(films: DataFrame, year: int) -> DataFrame:
-    """K6: each actor's filmography up to ``year`` in array order, one row per
-    film with its 1-based position (S23 order: year desc, filmid)."""
-    snap = _state(films.where(F.col("year") <= F.lit(year)), F.lit(year))
-    return (snap.select("actorid", "actor", F.posexplode("films").alias("pos", "f"))
-            .select("actorid", "actor", (F.col("pos") + 1).cast("int").alias("pos"),
-                    "f.filmid", "f.film", "f.votes", "f.rating"))
-
-
-def resolve_names(films: DataFrame, policy: str = "latest", skew="auto") -> DataFrame:
-    """Give every actorid one name before the pipelines group by
-    (actorid, actor). ``'latest'``: the name on the actor's most recent film
-    (ties by filmid); ``'check'``: leave the rows and fail if an id has two
-    names. The per-id name is a map-side-combined ``max_by`` joined back."""
-    if policy == "check":
-        from ..plans.contracts import assert_one_name
-        assert_one_name(films)
-        return films
-    if policy != "latest":
-        raise ValueError("policy must be 'latest' or 'check'")
-    names = (films.groupBy("actorid")
-             .agg(F.max_by("actor", F.struct("year", "filmid")).alias("_name")))
-    from ..plans.skew import skew_join
-    joined = skew_join(films, names, "actorid", "actorid", "inner", skew=skew)
-    return conform(joined.withColumn("actor", F.col("_name")), films.schema)
+    """K6: each actor's filmography up to ``year``, newest first, one row per
+    film with its 1-based position (S23 order: year desc, filmid). Numbered by
+    a window, which spills, so that no actor's films are gathered in an array."""
+    w = Window.partitionBy("actorid").orderBy(F.desc("year"), "filmid")
+    return (films.where(F.col("year") <= F.lit(year)).withColumn("pos", F.row_number().over(w))
+            .select("actorid", "actor", "pos", "filmid", "film", "votes", "rating"))
 
 
 def with_film_ids(actors: DataFrame) -> DataFrame:
@@ -177,3 +145,12 @@ def with_film_ids(actors: DataFrame) -> DataFrame:
         F.size("films").cast("int").alias("n_films"),
         F.array_join(F.transform("films", lambda f: f["filmid"]), ",").alias("film_ids"),
     )
+
+
+def with_film_rows(actors: DataFrame) -> DataFrame:
+    """As ``with_film_ids``, with every field of the films in array order
+    (``film_rows``, ratings in tenths)."""
+    one = F.transform("films", lambda f: F.concat_ws(
+        "|", f["filmid"], f["film"], f["votes"].cast("string"), F.round(f["rating"] * 10).cast("int").cast("string")))
+    return actors.select("actorid", "actor", "quality_class", "is_active",
+                         F.size("films").cast("int").alias("n_films"), F.array_join(one, ",").alias("film_rows"))

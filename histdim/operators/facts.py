@@ -4,10 +4,11 @@ The reference joins the log to ``games`` and keeps the first row per grain
 (game_id, team_id, player_id) ordered by game date. Every row of a grain has
 the same game_id, so the join partner is the same game for all of them: the
 survivor is (first version of the game) x (first detail row of the grain).
-The plan therefore deduplicates both inputs *before* the join, each as a
-top-1 per key whose partial ``WindowGroupLimit`` drops copies on the map side
-before the shuffle, and joins the two small results on game_id. A total
-tie-break over all columns makes the survivor the same on every run (S11).
+The log is therefore shuffled once, by the game and a salt taken from the rest
+of the grain: its top-1 per grain runs inside those partitions, and so does
+the join with the games, which are repeated once per salt. A game that holds a
+third of the log is dealt over all salts. A total tie-break over all columns
+makes the survivor the same on every run (S11).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import COMMENT_MARKERS, comment_flag, is_home, minutes
-from ..plans.skew import skew_join
+from ..plans.skew import SALT, repeated, salt_of
 from ..schemas import FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAILS, GAMES, conform
 
 DETAIL_GRAIN = ("game_id", "team_id", "player_id")
@@ -56,26 +57,27 @@ def detail_tiebreak() -> list[str]:
 
 
 def dedup_details(details: DataFrame, games: DataFrame, game_date=None,
-                  season: int | None = None, skew="auto") -> DataFrame:
-    """The reference's ``deduped`` relation: game columns then ``gd.*``, one
+                  season: int | None = None) -> DataFrame:
+    """The reference's ``deduped`` relation: game columns then the log's, one
     row per grain, details without a game dropped (inner join, S13).
 
-    ``game_date`` / ``season`` filter the games first, as the reference's
-    WHERE does before its ROW_NUMBER (C18); the runtime Bloom filter of the
-    join then prunes the log before its shuffle. A game holding more than
-    0.1% of the log (counted on the raw log, on inputs of 1 GiB and more)
-    meets a broadcast of its own game row (``plans.skew``).
+    ``game_date`` / ``season`` filter the games first, as the reference does
+    before its ROW_NUMBER (C18); a semi join with the games left then keeps
+    the log's other rows out of the shuffle's sort and window.
     """
     g = conform(games, GAMES)
     if game_date is not None:
         g = g.where(F.col("game_date_est") == F.lit(game_date).cast("date"))
     if season is not None:
         g = g.where(F.col("season") == F.lit(season))
-    first_game = dedup(g, ["game_id"], list(GAME_COLUMNS))
-    raw = conform(details, GAME_DETAILS)
-    first_detail = dedup(raw, list(DETAIL_GRAIN), detail_tiebreak())
-    joined = skew_join(first_detail, first_game, "game_id", "game_id", "inner",
-                       counts_from=raw, skew=skew)
+    log = conform(details, GAME_DETAILS).withColumn(SALT, salt_of(("team_id", "player_id")))
+    log = log.repartition("game_id", SALT)
+    first_game = repeated(dedup(g, ["game_id"], list(GAME_COLUMNS)))
+    if game_date is not None or season is not None:
+        log = log.join(first_game.select("game_id", SALT), ["game_id", SALT], "left_semi")
+    grain = ["game_id", SALT, *(c for c in DETAIL_GRAIN if c != "game_id")]
+    first_detail = dedup(log, grain, detail_tiebreak())
+    joined = first_detail.join(first_game, ["game_id", SALT])
     return joined.select(*GAME_COLUMNS, *[f.name for f in GAME_DETAILS.fields])
 
 
@@ -98,6 +100,6 @@ def to_fact(deduped: DataFrame, on_malformed: str = "error") -> DataFrame:
 
 
 def build_fact(details: DataFrame, games: DataFrame, game_date=None, season: int | None = None,
-               on_malformed: str = "error", skew="auto") -> DataFrame:
+               on_malformed: str = "error") -> DataFrame:
     """``INSERT INTO fct_game_details`` as a DataFrame."""
-    return to_fact(dedup_details(details, games, game_date, season, skew), on_malformed)
+    return to_fact(dedup_details(details, games, game_date, season), on_malformed)

@@ -1,7 +1,7 @@
 """Type-2 history ``actors_history_scd``.
 
 Backfill plan: yearly snapshots are a partial + final aggregate on
-(actorid, actor, year), which folds an actor's films into one row per year
+(actorid, year), which folds an actor's films into one row per year
 before anything crosses the network; the gaps-and-islands windows then
 shuffle those small rows by actorid (a hot actor has at most one row per
 year there), and the version aggregate reuses that partitioning.
@@ -18,23 +18,34 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import change_type, changed_from_prev, quality_class
 from ..schemas import ACTORS_HISTORY_SCD, CHANGES_STAGING, conform
+from .names import one_name
 
 _TRACKED = ("quality_class", "is_active")
 
 
-def yearly_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
+def yearly_snapshots(films: DataFrame, lo: int, hi: int, names: str = "error") -> DataFrame:
     """One row per (actor, year with films in [lo, hi]): the year's class and
     activity. Only observed years get a row (inner series join, S5), so
     ``is_active`` is always true here."""
     scoped = films.where(F.col("year").between(F.lit(lo), F.lit(hi)))
-    agg = scoped.groupBy("actorid", "actor", "year").agg(
+    agg = scoped.groupBy("actorid", "year").agg(
+        one_name(names, "actorid", "actor", F.col("filmid")).alias("actor"),
         F.avg("rating").alias("_avg"), F.count("year").alias("_n"))
     return agg.select("actorid", "actor", "year",
                       quality_class("_avg").alias("quality_class"),
                       (F.col("_n") > 0).alias("is_active"))
 
 
-def dense_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
+def year_feed(films: DataFrame, year: int, names: str = "error") -> DataFrame:
+    """The increment's feed: the state of every actor with films in ``year``,
+    from that year's films alone (one partition of films stored by year)."""
+    scoped = films.where(F.col("year") == F.lit(year))
+    agg = scoped.groupBy("actorid").agg(
+        one_name(names, "actorid", "actor", F.col("filmid")).alias("actor"), F.avg("rating").alias("_avg"))
+    return agg.select("actorid", "actor", quality_class("_avg").alias("quality_class"), F.lit(True).alias("is_active"))
+
+
+def dense_snapshots(films: DataFrame, lo: int, hi: int, names: str = "error") -> DataFrame:
     """J4b input: a row for every year from an actor's first film year in
     [lo, hi] to ``hi``. A year without films carries the class of the last
     year with films and has ``is_active`` false (task text, S27).
@@ -43,7 +54,7 @@ def dense_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
     next observed year (``lead``), so the plan keeps the observed backfill's
     two exchanges, and the streak windows reuse this window's partitioning.
     """
-    observed = yearly_snapshots(films, lo, hi)
+    observed = yearly_snapshots(films, lo, hi, names)
     w = Window.partitionBy("actorid").orderBy("year")
     until = F.coalesce(F.lead("year").over(w) - F.lit(1), F.lit(hi))
     expanded = (observed.withColumn("_until", until)
@@ -53,12 +64,14 @@ def dense_snapshots(films: DataFrame, lo: int, hi: int) -> DataFrame:
                            (F.col("year") == F.col("_seen")).alias("is_active"))
 
 
-def collapse_streaks(snaps: DataFrame, current_year: int) -> DataFrame:
+def collapse_streaks(snaps: DataFrame, current_year: int, names: str = "error") -> DataFrame:
     """gaps and islands. A change indicator from ``LAG(x, 1, x)`` (F1,
     C5), its running sum as streak id (F2, default RANGE frame, S8), then one
-    version per streak with its first and last year (E7, E12)."""
+    version per streak with its first and last year (E7, E12). An actor's
+    years share one name, under the policy ``names``."""
     w = Window.partitionBy("actorid").orderBy("year")
-    flagged = snaps.withColumn("_chg", changed_from_prev(_TRACKED, w))
+    named = one_name(names, "actorid", "actor", F.col("year"), over=Window.partitionBy("actorid"))
+    flagged = snaps.withColumn("actor", named).withColumn("_chg", changed_from_prev(_TRACKED, w))
     streaks = flagged.withColumn("_streak", F.sum("_chg").over(w))
     versions = (streaks.groupBy("actorid", "actor", "quality_class", "is_active", "_streak")
                 .agg(F.min("year").alias("start_year"), F.max("year").alias("end_year"))
@@ -67,15 +80,15 @@ def collapse_streaks(snaps: DataFrame, current_year: int) -> DataFrame:
 
 
 def scd2_backfill(films: DataFrame, lo: int, hi: int, years: str = "observed",
-                  current_year: int | None = None) -> DataFrame:
+                  current_year: int | None = None, names: str = "error") -> DataFrame:
     """J4 (``years='observed'``, the reference) and J4b (``years='dense'``)."""
     if years == "observed":
-        snaps = yearly_snapshots(films, lo, hi)
+        snaps = yearly_snapshots(films, lo, hi, names)
     elif years == "dense":
-        snaps = dense_snapshots(films, lo, hi)
+        snaps = dense_snapshots(films, lo, hi, names)
     else:
         raise ValueError("years must be 'observed' or 'dense'")
-    return collapse_streaks(snaps, hi if current_year is None else current_year)
+    return collapse_streaks(snaps, hi if current_year is None else current_year, names)
 
 
 def open_versions(scd: DataFrame, last: int) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import QUALITY_CLASSES
+from ..schemas import ACTOR_FILMS_KEY, QUALITY_CLASSES
 
 
 class ContractError(ValueError):
@@ -36,15 +36,19 @@ def domain_violations(df: DataFrame, column: str, values: Sequence[str] = QUALIT
 
 
 def name_violations(df: DataFrame, key: str = "actorid", name: str = "actor") -> DataFrame:
-    """Ids carrying more than one name (the pipelines group by both)."""
-    return (df.groupBy(key).agg(F.min(name).alias("min_name"), F.max(name).alias("max_name"))
-            .where(F.col("min_name") != F.col("max_name")))
+    """Ids carrying more than one name, a NULL counting as one."""
+    return (df.groupBy(key).agg(F.min(name).alias("min_name"), F.max(name).alias("max_name"),
+                                F.count_if(F.col(name).isNull()).alias("null_names"))
+            .where((F.col("min_name") != F.col("max_name"))
+                   | (F.col("min_name").isNotNull() & (F.col("null_names") > 0))))
 
 
 def overlap_violations(scd: DataFrame) -> DataFrame:
-    """Versions of one actor whose year intervals overlap, or are inverted."""
-    w = Window.partitionBy("actorid").orderBy("start_year")
-    return (scd.withColumn("_prev_end", F.lag("end_year").over(w))
+    """Versions of one actor that start before an earlier one has ended (any
+    earlier one, not just the last), or end before they start."""
+    w = (Window.partitionBy("actorid").orderBy("start_year", "end_year")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    return (scd.withColumn("_prev_end", F.max("end_year").over(w))
             .where((F.col("_prev_end") >= F.col("start_year")) | (F.col("end_year") < F.col("start_year")))
             .drop("_prev_end"))
 
@@ -67,12 +71,18 @@ def assert_one_name(df: DataFrame, key: str = "actorid", name: str = "actor") ->
     _raise_if_any(name_violations(df, key, name), f"{key} with more than one {name}")
 
 
+def assert_source(films: DataFrame) -> None:
+    """The source table's own key (actorid, filmid)."""
+    assert_key(films, ACTOR_FILMS_KEY)
+
+
 def assert_no_overlap(scd: DataFrame) -> None:
     _raise_if_any(overlap_violations(scd), "overlapping versions")
 
 
-def assert_not_applied(scd: DataFrame, next_year: int) -> None:
-    """Refuse a second increment for ``next_year``. Any version reaching
-    ``next_year`` means it ran (on the partitioned table: partition pruned)."""
-    if scd.where(F.col("end_year") >= F.lit(next_year)).limit(1).count() > 0:
-        raise ContractError(f"increment for {next_year} already applied")
+def assert_next_year(newest: int | None, next_year: int) -> None:
+    """The increment for ``next_year`` extends a table whose newest year is the
+    one before: a second run (S20), a late year and a gap are refused."""
+    if newest is None or next_year != newest + 1:
+        why = "already applied" if newest is not None and next_year <= newest else "leaves a gap"
+        raise ContractError(f"increment for {next_year} {why}: the table's newest year is {newest}")

@@ -1,24 +1,25 @@
 """Writes, mutations and all-or-nothing publish.
 
-Tables are Hive-style partitioned Parquet directories readable with plain
-``spark.read.parquet``. Parquet has no UPDATE, key or transaction, so:
-
-* a full rebuild (backfill) is written to a staging directory next to the
-  table, checked, and swapped in by directory renames (B9, B13);
-* the yearly increment rewrites only the ``end_year`` partitions it touches
-  (``last`` and ``next``): they are computed from the pruned read of
-  partition ``last`` plus the feed, written to staging, checked, and the two
-  partition directories are swapped (B10 + B7 without touching closed
-  versions);
+Parquet has no UPDATE, key or transaction. A published table is a folder of
+loads and a manifest (``sources.manifest``):
+
+* a rebuild (backfill, debut load, fact load) writes a load, checks it and
+  switches the manifest to it (B9, B13);
+* the yearly increment writes a load of the ``end_year`` partitions it touches
+  (``last`` and ``next``), computed from the pruned read of partition ``last``
+  plus the feed, checks it and switches those two partitions at once (B10 +
+  B7 without touching closed versions);
 * intermediate results read more than once are written once to the
   session's shared checkpoint folder (``spark.checkpoint.dir``), which
   survives the loss of an executor, instead of a machine-local cache (B11).
+
+A load stopped at any point leaves the table as it was and may be run again.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,64 +29,12 @@ from ..operators.cumulative import cumulate
 from ..operators.scd2 import apply_changes, stage_changes
 from ..schemas import (ACTORS, ACTORS_HISTORY_SCD, ACTORS_KEY, CHANGE_TYPES, FACT_KEY, FCT_GAME_DETAILS,
                        SCD_KEY, conform)
-from ..sources.tables import read_scd
+from ..sources import manifest
+from ..sources.tables import read_actors, read_scd
 from . import contracts
 from .staging import stage
 
-
-# --------------------------------------------------------------- file system
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(s, d):
-        raise OSError(f"rename {src} -> {dst} failed")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p) or []
-    return sorted(str(st.getPath().toString()) for st in found)
-
-
-def recover(spark: SparkSession, path: str) -> str:
-    """Finish or undo a swap of ``publish`` that stopped between its two
-    renames (the table folder moved away, the staged one not yet in place).
-    The staged copy is promoted when its write completed (``_SUCCESS``),
-    else the old copy returns. Returns what was done."""
-    base = path.rstrip("/")
-    if _exists(spark, base):
-        return "ok"
-    for old in _glob(spark, f"{base}.__old-*"):
-        tag = old.rsplit(".__old-", 1)[1]
-        staged = f"{base}.__staging-{tag}"
-        if _exists(spark, f"{staged}/_SUCCESS"):
-            _rename(spark, staged, base)
-            _delete(spark, old)
-            return "promoted"
-        _rename(spark, old, base)
-        return "restored"
-    return "absent"
+Check = Callable[[DataFrame], None]
 
 
 # ------------------------------------------------------------------- writes
@@ -105,67 +54,84 @@ def append(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequenc
     write_table(df, path, schema, partition_by, mode="append")
 
 
-def with_stamp(df: DataFrame, year: int, column: str = "current_year") -> DataFrame:
-    """The load stamp as a literal column."""
-    return df.withColumn(column, F.lit(year).cast("int"))
-
+def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str], unique: bool = False) -> DataFrame:
+    """Insert the rows of ``batch`` whose key the target lacks, as the
+    table it leaves.
 
-def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``INSERT ... ON CONFLICT (key) DO NOTHING`` as the table it leaves.
-
-    Within the batch one row per key is kept (first by the atomic columns,
-    so the choice is deterministic), then keys already present are removed
-    by an anti join (D8) and the rest appended.
+    Keys already present are removed by an anti join (D8). Within the batch
+    one row per key is kept, the first by all other columns but maps (arrays
+    and structs included), so the choice is fixed; a batch that is ``unique``
+    by its key already (an aggregate by it) is spared that window.
     """
-    others = [f.name for f in batch.schema.fields
-              if f.name not in key and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in others] or [F.lit(1)])
-    one_per_key = batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    fresh = one_per_key.join(target.select(*key), list(key), "left_anti")
+    fresh = batch.join(target.select(*key), list(key), "left_anti")
+    if not unique:
+        others = [f.name for f in batch.schema.fields if f.name not in key and not isinstance(f.dataType, T.MapType)]
+        w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in others] or [F.lit(1)])
+        fresh = fresh.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     return target.unionByName(fresh.select(*target.columns))
 
 
 # ------------------------------------------------------------------ publish
 
-def publish(df: DataFrame, path: str, schema: T.StructType | None = None,
-            partition_by: Sequence[str] = (), checks=()) -> None:
-    """Write to a staging directory, run ``checks`` (callables on
-    the staged DataFrame that raise), then swap it in for ``path``. A swap
-    interrupted earlier is completed or undone first (``recover``)."""
-    spark = df.sparkSession
-    recover(spark, path)
+def _load(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> dict[str, str]:
+    """Write ``df`` as a load of its own; the folders it filled."""
     tag = uuid.uuid4().hex
-    staging, old = f"{path.rstrip('/')}.__staging-{tag}", f"{path.rstrip('/')}.__old-{tag}"
-    write_table(df, staging, schema, partition_by)
-    staged = spark.read.parquet(staging)
+    (conform(df, schema).withColumn(manifest.LOAD, F.lit(tag))
+     .write.mode("append").partitionBy(*partition_by, manifest.LOAD).parquet(path))
+    return manifest.written(df.sparkSession, path, tag, len(partition_by))
+
+
+def _read_folders(spark: SparkSession, path: str, folders: dict[str, str], schema: T.StructType) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    base = path.rstrip("/")
+    found = spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{x}" for x in folders.values()])
+    return found.select(*schema.fieldNames())
+
+
+def publish(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
+            checks: Sequence[Check] = (), year: int | None = None) -> None:
+    """Write a load, run ``checks`` (callables on the written rows
+    that raise), then make it the whole table."""
+    spark = df.sparkSession
+    folders = _load(df, path, schema, partition_by)
+    staged = _read_folders(spark, path, folders, schema)
     for check in checks:
         check(staged)
-    if _exists(spark, path):
-        _rename(spark, path, old)
-    _rename(spark, staging, path)
-    _delete(spark, old)
+    manifest.commit(spark, path, folders, year)
 
 
 def scd_checks(df: DataFrame) -> None:
+    """Key, class domain (B2) and intervals of an SCD."""
     contracts.assert_key(df, SCD_KEY)
     contracts.assert_domain(df, "quality_class")
     contracts.assert_no_overlap(df)
 
 
-def publish_backfill(scd: DataFrame, path: str) -> None:
-    """Full SCD rebuild, partitioned by ``end_year`` and checked before swap."""
-    publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], checks=[scd_checks])
+def actors_checks(df: DataFrame) -> None:
+    """Key and class domain (B2) of the current-state dimension."""
+    contracts.assert_key(df, ACTORS_KEY)
+    contracts.assert_domain(df, "quality_class")
+
+
+def publish_backfill(scd: DataFrame, path: str, year: int) -> None:
+    """Full SCD rebuild up to ``year``, partitioned by ``end_year``."""
+    publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], [scd_checks], year)
+
+
+def publish_actors(actors: DataFrame, path: str, year: int | None = None) -> None:
+    """The ``actors`` table of a debut load or any other state."""
+    publish(actors, path, ACTORS, (), [actors_checks], year)
 
 
 def publish_cumulative(spark: SparkSession, path: str, films: DataFrame, year: int) -> None:
     """J3 as a yearly job: read yesterday's ``actors`` table (empty on the
-    first run), fold in the films of ``year``, check the key and publish the
-    new state in place of the old (the staged swap lets the job read and
-    replace the same table)."""
-    prev = (spark.read.schema(ACTORS).parquet(path) if _exists(spark, path)
-            else spark.createDataFrame([], ACTORS))
-    publish(cumulate(prev, films, year), path, ACTORS,
-            checks=[lambda df: contracts.assert_key(df, ACTORS_KEY)])
+    first run), fold in the films of ``year`` and publish the new state."""
+    live = manifest.current(spark, path)
+    if live is not None and live["year"] is not None:
+        contracts.assert_next_year(live["year"], year)
+    prev = read_actors(spark, path) if live is not None else spark.createDataFrame([], ACTORS)
+    publish_actors(cumulate(prev, films, year), path, year)
 
 
 def publish_fact(fact: DataFrame, path: str, enforce_key: bool = True) -> None:
@@ -173,33 +139,34 @@ def publish_fact(fact: DataFrame, path: str, enforce_key: bool = True) -> None:
     (date, team, player) differs from the dedup grain (S12); with
     ``enforce_key`` a violation fails the load as the primary key would."""
     checks = [lambda df: contracts.assert_key(df, FACT_KEY)] if enforce_key else []
-    publish(fact, path, FCT_GAME_DETAILS, ["dim_season"], checks=checks)
+    publish(fact, path, FCT_GAME_DETAILS, ["dim_season"], checks)
 
 
 def publish_increment(spark: SparkSession, path: str, feed: DataFrame, last: int, next_year: int,
-                      null_safe: bool = False) -> dict:
-    """J5 + J6 on the stored SCD: refuse a rerun (S20), stage the change
-    classification once, rewrite partitions ``last`` and ``next`` only."""
+                      null_safe: bool = False, more: bool = False) -> dict:
+    """J5 + J6 on the stored SCD: stage the change classification once, write
+    partitions ``last`` and ``next`` anew and switch both at once.
+
+    The table's newest year must be ``last`` (S20: a rerun is refused, and so
+    is a gap). ``more`` adds another part of the feed to a year that is in
+    the table already: actors that it holds at ``next`` are left out, so a
+    part that was applied before changes nothing.
+    """
+    live = manifest.current(spark, path)
+    newest = None if live is None else live["year"]
     scd = read_scd(spark, path)
-    contracts.assert_not_applied(scd, next_year)
-    changes = stage(stage_changes(scd, feed, last, null_safe), "changes_staging")
+    if more and newest == next_year:
+        done = scd.where(F.col("end_year") == F.lit(next_year)).select("actorid")
+        feed = feed.join(done, "actorid", "left_anti")
+    else:
+        contracts.assert_next_year(newest, next_year)
+    changes = stage(stage_changes(scd, feed, last, null_safe))
     contracts.assert_domain(changes, "change_type", CHANGE_TYPES)
     touched = apply_changes(scd, changes, last, next_year, touched_only=True)
-    tag = uuid.uuid4().hex
-    staging = f"{path.rstrip('/')}.__inc-{tag}"
-    write_table(touched, staging, ACTORS_HISTORY_SCD, ["end_year"])
-    new_parts = spark.read.schema(ACTORS_HISTORY_SCD).parquet(staging)
-    contracts.assert_key(new_parts, SCD_KEY)
+    folders = _load(touched, path, ACTORS_HISTORY_SCD, ["end_year"])
+    scd_checks(_read_folders(spark, path, folders, ACTORS_HISTORY_SCD))
     counts = {r["change_type"]: r["n"] for r in
               changes.groupBy("change_type").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for year in (last, next_year):
-        part = f"{path.rstrip('/')}/end_year={year}"
-        fresh = f"{staging}/end_year={year}"
-        trash = f"{staging}.__old/end_year={year}"
-        if _exists(spark, part):
-            _rename(spark, part, trash)
-        if _exists(spark, fresh):
-            _rename(spark, fresh, part)
-    _delete(spark, f"{staging}.__old")
-    _delete(spark, staging)
+    kept = {k: v for k, v in live["folders"].items() if k not in (f"end_year={last}", f"end_year={next_year}")}
+    manifest.commit(spark, path, {**kept, **folders}, next_year)
     return counts

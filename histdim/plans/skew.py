@@ -1,86 +1,50 @@
-"""Hot-key handling for joins whose result feeds an operator on the same key.
-
-AQE splits a skewed sort-merge partition only when both join inputs come
-straight from shuffles; a join against a per-key aggregate reuses that
-aggregate's partitioning, so a key holding a third of all rows would land in
-one task. Here such keys are found from per-key counts that the caller's
-aggregate already has, and joined apart: their rows meet a broadcast of
-their (few) partner rows without any shuffle, the other keys take the normal
-join.
-
-Bound: a key is hot when it holds more than ``share`` of all rows, so there
-are at most ``1 / share`` hot keys; that list is what reaches the driver and
-is broadcast.
+"""Joins against a relation with few rows per key, safe for hot keys.
+
+AQE splits a skewed sort-merge partition only where both join inputs come
+straight from shuffles. A join with a per-key aggregate or window reuses that
+operator's partitioning, so a key holding a third of all rows would land in
+one task. Here the join key is salted on every run and at every size: the
+large side's rows are dealt over ``salts`` parts per key by other columns, the
+small side is repeated once per part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_SHARE = 0.001  # at most 1,000 hot keys
-
-# Below this input size a hot key fits one task comfortably, and looking for
-# hot keys (one staged write, one job) costs more than it can save.
-SKEW_CHECK_MIN_BYTES = 1 << 30
-
-
-def worth_checking(df: DataFrame, min_bytes: int = SKEW_CHECK_MIN_BYTES) -> bool:
-    """Whether ``df`` reads enough data for hot-key handling to pay off;
-    unknown sizes count as large."""
-    from .joins import input_bytes
-    size = input_bytes(df)
-    return size is None or size >= min_bytes
-
-
-def hot_keys(per_key: DataFrame, key: str, count_col: str, share: float = DEFAULT_HOT_SHARE,
-             min_rows: int = 100_000) -> list:
-    """Keys of ``per_key`` (one row per key with its row count) that hold
-    more than ``share`` of all rows and at least ``min_rows`` rows."""
-    stats = per_key.agg(F.sum(count_col).alias("total"), F.max(count_col).alias("top")).first()
-    total, top = stats["total"] or 0, stats["top"] or 0
-    threshold = max(int(total * share), min_rows)
-    if top <= threshold:  # the common case: one small job, nothing is hot
-        return []
-    limit = int(1 / share) + 1
-    rows = (per_key.where(F.col(count_col) > F.lit(threshold)).select(key)
-            .limit(limit).collect())
-    return [r[0] for r in rows]
-
-
-def split_hot_join(big: DataFrame, small: DataFrame, on, key: str, hot: list, how: str = "inner",
-                   small_key: str | None = None) -> DataFrame:
-    """``big.join(small, on, how)`` with the rows of ``hot`` key values joined
-    against a broadcast of ``small``'s matching rows (bounded by ``hot``).
-    ``on`` is a column name, a list of names or a join condition; ``key`` /
-    ``small_key`` name the key column on each side."""
-    if not hot:
-        return big.join(small, on, how)
-    values = list(hot)
-    big_hot = F.coalesce(big[key].isin(values), F.lit(False))
-    small_hot = F.coalesce(small[small_key or key].isin(values), F.lit(False))
-    hot_part = big.where(big_hot).join(F.broadcast(small.where(small_hot)), on, how)
-    rest = big.where(~big_hot).join(small.where(~small_hot), on, how)
-    return hot_part.unionByName(rest)
-
-
-def skew_join(big: DataFrame, small: DataFrame, on, key: str, how: str = "inner",
-              small_key: str | None = None, counts_from: DataFrame | None = None, skew="auto",
-              share: float = DEFAULT_HOT_SHARE, min_rows: int = 100_000) -> DataFrame:
-    """A join whose ``small`` side has few rows per key but arrives already
-    partitioned (so AQE cannot split a skewed key): on large inputs the keys
-    holding more than ``share`` of ``counts_from`` (default ``big``; an
-    upstream relation with at least as many rows per key works as well and
-    avoids computing ``big`` twice) are joined against a broadcast of their
-    partner rows. ``how`` must keep ``big``'s rows (inner or left)."""
-    source = big if counts_from is None else counts_from
-    if skew == "auto":
-        skew = worth_checking(source)
-    if not skew:
-        return big.join(small, on, how)
-    from .staging import stage
-    per_key = stage(source.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "per-key-counts")
-    hot = hot_keys(per_key, key, "_n", share, min_rows)
-    return split_hot_join(big, small, on, key, hot, how, small_key)
+SALTS = 16
+SALT = "_salt"
+
+
+def salt_of(spread_by: Sequence[str], salts: int = SALTS) -> Column:
+    """The part of a row, from columns that vary inside a key."""
+    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+
+
+def repeated(small: DataFrame, salts: int = SALTS) -> DataFrame:
+    """``small`` once per part, with its part as ``_salt``."""
+    return small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread_by: Sequence[str],
+                condition: Column | None = None, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``big`` joined with ``small`` on the column ``key`` of both (and
+    ``condition``); ``how`` is inner or left. Rows of ``big`` with a NULL key
+    match nothing: a left join passes them by, outside the shuffle."""
+    big_key, small_key = F.col(f"_b.{key}"), F.col(f"_s.{key}")
+    on = (big_key == small_key) & (F.col(f"_b.{SALT}") == F.col(f"_s.{SALT}"))
+    if condition is not None:
+        on = on & condition
+    others = [c for c in small.columns if c != key]
+    rows = big.where(F.col(key).isNotNull()).withColumn(SALT, salt_of(spread_by, salts))
+    joined = (rows.alias("_b").join(repeated(small, salts).alias("_s"), on, how)
+              .select(*[F.col(f"_b.{c}") for c in big.columns], *[F.col(f"_s.{c}") for c in others]))
+    if how == "inner":
+        return joined
+    kinds = {f.name: f.dataType for f in small.schema.fields}
+    keyless = big.where(F.col(key).isNull()).select(
+        *big.columns, *[F.lit(None).cast(kinds[c]).alias(c) for c in others])
+    return joined.unionByName(keyless)

@@ -1,22 +1,19 @@
 """Materialise an intermediate once in the shared checkpoint folder.
 
-A DataFrame read more than once (the change staging, a per-key table used
-for both hot-key detection and a join) is written once to the folder the
-cluster names in ``spark.checkpoint.dir`` and read back: the lineage is cut
-and the copy survives the loss of an executor, unlike a machine-local cache.
+A DataFrame read more than once (the change staging) is written once to the
+folder the cluster names in ``spark.checkpoint.dir``: the lineage is cut and
+the copy survives the loss of an executor, unlike a machine-local cache. Spark
+deletes the files once nothing refers to them any more where
+``spark.cleaner.referenceTracking.cleanCheckpoints`` is on (``session``).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -31,6 +31,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # no Python stack capture on every Column call while plans are built
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # staged intermediates go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -80,19 +82,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def scale_settings(input_bytes: int, total_cores: int, shuffled_share: float = 0.25,
+                   shuffle_partition_bytes: int = 1 << 30, scan_partition_bytes: int = 512 << 20) -> dict:
     """Shuffle and scan sizing for a cluster run over ``input_bytes``.
 
-    Shuffle partitions start at about one per ``target_partition_bytes`` of
-    input (at least 2 per core) and AQE coalesces them down to the advisory
-    size from measured map output, so no reducer holds more than it can sort
-    in memory and spill. Scans split at the same size; skew thresholds follow.
+    Shuffle partitions follow the bytes left after filters and column pruning
+    (``shuffled_share`` of the input), about one per
+    ``shuffle_partition_bytes`` (at least 2 per core): 100 TB stays at some
+    25,000 partitions, whose map statuses the driver can hold. Sorts and
+    aggregates of that size spill; AQE coalesces small partitions and splits
+    skewed ones from measured map output.
     """
-    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = max(2 * total_cores, -(-int(input_bytes * shuffled_share) // shuffle_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 4),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_partition_bytes),
     }

@@ -9,8 +9,6 @@ them reads the whole tables. Column choices are those of ``FIXTURES.md`` §2.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,45 +27,8 @@ RAW_SCHEMAS = {
 }
 
 
-# Large driver tables and the key they are spread by when a scan yields fewer
-# tasks than cores (see ``_spread``); both are spread by the order key, so the
-# ``games`` join of the two needs no further exchange.
-SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
-
-
-def _conf_bytes(spark: SparkSession, key: str, default: int) -> int:
-    m = re.fullmatch(r"(\d+)\s*([kmg]?)b?", str(spark.conf.get(key, str(default))).strip().lower())
-    if not m:
-        return default
-    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30}[m.group(2)]
-
-
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` over all cores when its scan yields
-    fewer splits than the default parallelism.
-
-    Spark splits files into pieces of ``max(openCostInBytes, bytes / cores)``
-    (capped by ``maxPartitionBytes``), so a table smaller than cores x
-    ``openCostInBytes`` gets fewer splits than cores; and a file stored as one
-    row group is read by one task whatever the split count. Everything up to
-    the first shuffle would then run in a task or two. The size comes from
-    the file listing Catalyst already holds (no job). A table at cluster
-    scale is far larger: then this is a no-op."""
-    from ..plans.joins import input_bytes
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no local SparkContext handle (e.g. a remote session)
-        return df
-    size = input_bytes(df)
-    open_cost = _conf_bytes(df.sparkSession, "spark.sql.files.openCostInBytes", 4 << 20)
-    if size is not None and size < n * open_cost:
-        return df.repartition(n, key)
-    return df
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +67,8 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw player-game log: one row per line item, lines 4-7 logged twice.
 
     The duplicate copies come from one scan: each line with number >= 4 is
-    exploded into two rows, instead of a UNION ALL that scans twice.
+    exploded into two rows, instead of a UNION ALL that scans twice. The
+    second copy differs in points and plus-minus by part and supplier.
     """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
@@ -143,8 +105,8 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
               (ok % 3).cast("int").alias("blk"),
               (pk % 6).cast("int").alias("TO"),
               (sk % 6).cast("int").alias("pf"),
-              qty.cast("int").alias("pts"),
-              (sk % 21 - 10).cast("int").alias("plus_minus"),
+              (qty + (F.col("_copy") - 1) * (pk % 3 - 1)).cast("int").alias("pts"),
+              (sk % 21 - 10 - (F.col("_copy") - 1) * (sk % 2)).cast("int").alias("plus_minus"),
           ))
     return conform(df, GAME_DETAILS)
 

@@ -1,6 +1,7 @@
 """Readers of the pipeline tables at rest.
 
-Each reader applies the declared schema (no inference) so that a column of
+Published tables are read through their manifest, plain Parquet folders as
+they are. Each reader applies the declared schema (no inference) so that a column of
 the wrong type fails at read time; projections and filters placed on the
 result reach the Parquet scan (``ReadSchema`` / ``PushedFilters``), and
 filters on a partition column of the stored table prune directories.
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from ..schemas import (ACTOR_FILMS, ACTORS, ACTORS_HISTORY_SCD, FCT_GAME_DETAILS, GAME_DETAILS,
                        GAMES, TEAMS)
+from . import manifest
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return manifest.read(spark, path, schema)
 
 
 def read_actor_films(spark: SparkSession, path: str) -> DataFrame:

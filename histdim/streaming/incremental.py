@@ -2,11 +2,11 @@
 
 Feed files (actor states stamped with their ``year``) land in a folder; a
 Structured Streaming query picks up new files and, per micro-batch, applies
-``publish_increment`` once per year in the batch, in year order. The batch
-logic is the batch library itself; the stream only adds file tracking and a
-checkpoint. ``foreachBatch`` is at-least-once, so a replayed batch must be a
-no-op: a year whose increment is already in the table is skipped by the same
-guard that refuses a second run (S20).
+``publish_increment`` once per year in the batch, in year order. A year may
+be split over batches: actors that the table already holds at that year are
+left out, so a further part is added and a replayed one (``foreachBatch`` is
+at-least-once) changes nothing. A year older than the table's newest, or one
+that leaves a gap, raises an error instead of being skipped.
 """
 
 from __future__ import annotations
@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.publish import publish_increment, read_scd
+from ..operators.analytics import as_of
+from ..plans.contracts import ContractError
+from ..plans.publish import publish_increment
+from ..sources import manifest
+from ..sources.tables import read_scd
 
 # A feed row: the actor's state in ``year`` (the ``actors`` columns the
 # staging reads, without the films array).
@@ -35,10 +39,6 @@ def feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.parquet(path)
 
 
-def _applied(spark: SparkSession, scd_path: str, year: int) -> bool:
-    return read_scd(spark, scd_path).where(F.col("end_year") >= F.lit(year)).limit(1).count() > 0
-
-
 def increment_batch(scd_path: str, null_safe: bool = False):
     """``foreachBatch`` function: apply the batch's years to the table."""
 
@@ -46,15 +46,25 @@ def increment_batch(scd_path: str, null_safe: bool = False):
         spark = batch.sparkSession
         # the distinct years of one batch: a handful of values
         years = sorted(r[0] for r in batch.select("year").distinct().collect())
+        newest = manifest.current(spark, scd_path)["year"]
         for year in years:
-            if _applied(spark, scd_path, year):
-                continue
             feed = batch.where(F.col("year") == F.lit(year)).drop("year")
-            publish_increment(spark, scd_path, feed, year - 1, year, null_safe=null_safe)
+            if year < newest and not _holds(spark, scd_path, feed, year):
+                raise ContractError(f"feed for {year} came after {newest} was applied")
+            if year >= newest:
+                publish_increment(spark, scd_path, feed, year - 1, year, null_safe=null_safe, more=True)
+                newest = year
 
     return apply
 
 
+def _holds(spark: SparkSession, scd_path: str, feed: DataFrame, year: int) -> bool:
+    """Whether every actor of ``feed`` has a version that covers ``year``: a
+    replay of a part that was applied in its time."""
+    covered = as_of(read_scd(spark, scd_path), year).select("actorid")
+    return feed.join(covered, "actorid", "left_anti").limit(1).count() == 0
+
+
 def start_increments(spark: SparkSession, feed_path: str, scd_path: str, checkpoint_location: str,
                      available_now: bool = True, null_safe: bool = False):
     """Start the stream; with ``available_now`` it processes the files present

@@ -1,8 +1,9 @@
 """Cumulative dimension: edge rows of FIXTURES.md §4 and the fold property."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from histdim import cumulate, cumulate_range, debut_load, films_as_of, snapshot, with_film_ids
+from histdim import cumulate, cumulate_range, debut_load, films_as_of, scd2_backfill, snapshot, with_film_ids
 from histdim.schemas import ACTORS
 
 from helpers import as_dicts, films_df
@@ -120,22 +121,29 @@ def test_films_as_of_positions(spark):
     assert films_as_of(films, 1992).where(F.col("filmid") == "late").count() == 0
 
 
-def test_hot_actor_split_gives_same_result(spark):
-    """One actor with a third of all films: its rows meet a broadcast of its
-    own anchor row, the rest take the normal join; same rows either way."""
-    from histdim.plans.skew import hot_keys
-    rows = []
-    for i in range(600):
-        a = "hot" if i % 3 == 0 else f"a{i % 40}"
-        rows.append((a, "N" + a, 1988 + i % 12, float(i % 100) / 10, f"f{i:04d}"))
-    films = films_df(spark, rows)
-    plain = sorted(map(tuple, with_film_ids(debut_load(films, 1990, 1997, skew=False)).collect()))
-    split = debut_load(films, 1990, 1997, hot_share=0.2, hot_min_rows=1)
-    assert sorted(map(tuple, with_film_ids(split).collect())) == plain
-    plan = split._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Union" in plan
-    per_actor = films.groupBy("actorid").agg(F.count(F.lit(1)).alias("n"))
-    assert hot_keys(per_actor, "actorid", "n", 0.2, 1) == ["hot"]
-    closed_plain = sorted(map(tuple, with_film_ids(cumulate_range(films, 1990, 1997, skew=False)).collect()))
-    closed_split = with_film_ids(cumulate_range(films, 1990, 1997, hot_share=0.2, hot_min_rows=1))
-    assert sorted(map(tuple, closed_split.collect())) == closed_plain
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plans_need_no_join_on_the_actor_alone(spark):
+    """One plan at every size: the debut joins on (actorid, year), the range
+    and the filmography join nothing, and the filmography gathers no array."""
+    films = films_df(spark, [("a", "A", 1990 + i % 9, 5.0, f"f{i}") for i in range(40)])
+    debut = plan_of(debut_load(films, 1990, 1995))
+    assert debut.count("Join LeftSemi, ((actorid") == 1 and debut.count("Join ") == 1 and "year" in debut
+    assert "Join" not in plan_of(cumulate_range(films, 1990, 1995))
+    assert "collect_list" not in plan_of(films_as_of(films, 1995))
+
+
+@pytest.mark.parametrize("build", [lambda f, n: snapshot(f, 1999, n), lambda f, n: debut_load(f, 1980, 1999, n),
+                                   lambda f, n: cumulate_range(f, 1980, 1999, n),
+                                   lambda f, n: scd2_backfill(f, 1980, 1999, names=n),
+                                   lambda f, n: scd2_backfill(f, 1980, 1999, years="dense", names=n)])
+@pytest.mark.parametrize("other", ["B", None])
+def test_two_names_of_an_id(spark, build, other):
+    """Two names (a NULL is one) fail the query, or the latest is taken: one row per id."""
+    films = films_df(spark, [("x", "A", 1990, 9.0, "f1"), ("x", other, 1990, 9.0, "f2"), ("y", "Y", 1990, 9.0, "f3")])
+    with pytest.raises(Exception, match="more than one actor for a actorid"):
+        build(films, "error").collect()
+    got = sorted({(r.actorid, r.actor) for r in build(films, "latest").collect()}, key=str)
+    assert got == [("x", other), ("y", "Y")]

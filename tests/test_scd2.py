@@ -165,14 +165,7 @@ def test_increment_against_backfill(spark):
     assert sorted(map(tuple, merged.select(*full.columns).collect())) == sorted(map(tuple, full.collect()))
 
 
-def test_resolve_names_latest_makes_backfill_keyed(spark):
-    from histdim import resolve_names
-    films = films_df(spark, [("a", "X", 1990, 9.0, "f1"), ("a", "Y", 1991, 9.0, "f2"),
-                             ("b", "B", 1990, 1.0, "f3")])
-    with pytest.raises(contracts.ContractError):
-        resolve_names(films, "check")
-    named = resolve_names(films)
-    assert sorted(set((r.actorid, r.actor) for r in named.collect())) == [("a", "Y"), ("b", "B")]
-    scd = scd2_backfill(named, 1990, 1991)
-    assert contracts.key_violations(scd, ["actorid", "start_year"]).count() == 0
-    assert _versions(scd.where("actorid = 'a'")) == [("star", True, 1990, 1991)]
+def test_latest_name_makes_backfill_keyed(spark):
+    films = films_df(spark, [("a", "Old", 1990, 9.0, "f1"), ("a", "New", 1991, 9.0, "f2"), ("a", "Old", 1992, 5.0, "f3")])
+    got = sorted((r.actor, r.start_year, r.end_year) for r in scd2_backfill(films, 1990, 1995, names="latest").collect())
+    assert got == [("Old", 1990, 1991), ("Old", 1992, 1992)]
