@@ -9,10 +9,10 @@ Plans, as checked with ``explain``:
 * ``snapshot``: the year filter reaches the Parquet scan, then one
   aggregate on actorid with partial aggregation before its exchange.
 * ``debut_load``: the reference loops over 52 years with an insert-if-absent.
-  Here films up to the first year are all kept by a pushed filter; of later
-  films those of the actor's first year are found by an equi join on (actorid,
-  year) with the map-side combined minimum, which spreads an actor over its
-  years and lets AQE split a skewed part.
+  Here one scan and no join: films are aggregated per actor and entry year
+  (their own, or the first loop year), which spreads an actor over its years;
+  of the results the one of the least year is kept per actor, map-side
+  combined.
 * ``cumulate``: one step of a yearly upsert, a full outer join of yesterday's
   state with this year's films; ``cumulate_range`` is its closed form for a
   backfill: a yearly aggregate per actor and then one over the years.
@@ -46,23 +46,25 @@ def _name(names: str) -> Column:
     return one_name(names, "actorid", "actor", F.struct("year", "filmid")).alias("actor")
 
 
-def _state(films: DataFrame, anchor: Column, names: str) -> DataFrame:
-    """Aggregate an actor's films up to ``anchor`` (a column or literal year).
-
-    Class and activity come from the films *in* the anchor year (S3); the
-    array holds every film kept by the caller's filter.
-    """
+def _parts(anchor: Column, names: str) -> list[Column]:
+    """Aggregates of an actor's films up to ``anchor`` (a column or literal
+    year): name, array, and the average and count of the films *in* the anchor
+    year, which class and activity come from (S3)."""
     in_anchor = F.col("year") == anchor
-    agg = films.groupBy("actorid").agg(
-        _name(names), films_array().alias("films"),
-        F.avg(F.when(in_anchor, F.col("rating"))).alias("_avg"),
-        F.count(F.when(in_anchor, F.lit(1))).alias("_n"),
-    )
-    return conform(agg.select("actorid", "actor", "films",
-                              quality_class("_avg").alias("quality_class"),
+    return [_name(names), films_array().alias("films"),
+            F.avg(F.when(in_anchor, F.col("rating"))).alias("_avg"),
+            F.count(F.when(in_anchor, F.lit(1))).alias("_n")]
+
+
+def _as_actors(agg: DataFrame) -> DataFrame:
+    return conform(agg.select("actorid", "actor", "films", quality_class("_avg").alias("quality_class"),
                               F.when(F.col("_n") > 0, F.lit(True)).alias("is_active")), ACTORS)
 
 
+def _state(films: DataFrame, anchor: Column, names: str) -> DataFrame:
+    return _as_actors(films.groupBy("actorid").agg(*_parts(anchor, names)))
+
+
 def snapshot(films: DataFrame, year: int, names: str = "error") -> DataFrame:
     """Every actor with a film up to ``year``, as of ``year``.
 
@@ -78,12 +80,12 @@ def debut_load(films: DataFrame, lo: int, hi: int, names: str = "error") -> Data
     Each actor keeps the snapshot of the first loop year it appears in
     (insert-if-absent, S1): debut year ``greatest(lo, min(year))`` (S2).
     """
-    early = films.where(F.col("year") <= F.lit(lo))
-    first = (films.where(F.col("year") <= F.lit(hi)).groupBy("actorid")
-             .agg(F.min("year").alias("year")).where(F.col("year") > F.lit(lo)))
-    late = (films.where((F.col("year") > F.lit(lo)) & (F.col("year") <= F.lit(hi)))
-            .join(first, ["actorid", "year"], "left_semi").select(*films.columns))
-    return _state(early.unionByName(late), F.greatest(F.col("year"), F.lit(lo)), names)
+    scoped = (films.where(F.col("year") <= F.lit(hi))
+              .withColumn("_entry", F.greatest(F.col("year"), F.lit(lo))))
+    entries = scoped.groupBy("actorid", "_entry").agg(*_parts(F.col("_entry"), names))
+    first = entries.groupBy("actorid").agg(
+        F.min_by(F.struct("actor", "films", "_avg", "_n"), "_entry").alias("_s"))
+    return _as_actors(first.select("actorid", "_s.*"))
 
 
 def cumulate_range(films: DataFrame, lo: int, hi: int, names: str = "error") -> DataFrame:

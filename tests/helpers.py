@@ -1,5 +1,3 @@
-from pyspark.sql import Row
-
 from histdim.schemas import ACTOR_FILMS, GAME_DETAILS, GAMES, GAME_DETAIL_MEASURES
 
 

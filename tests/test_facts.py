@@ -1,7 +1,6 @@
 """Fact pipeline: parsing, dedup determinism, joins and the leaderboard."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from histdim import bail_rates, build_fact, dedup, dedup_details, duplicate_report, fact_with_teams
 from histdim.functions.expressions import comment_flag, minutes
