@@ -81,7 +81,7 @@ def _neighbours(keys: DataFrame) -> DataFrame:
     count = placed.agg(F.max("_idx")).first()[0] or 0
     after = F.when(F.col("_idx") > 1, F.col("_idx") - 1).otherwise(F.lit(count))
     nxt = placed.select(F.col("_key").alias("_next_key"), F.col("_th").alias("_next_th"), F.col("_idx").alias("_at"))
-    return placed.withColumn("_at", after).join(nxt, "_at").select("_key", "_th", "_n", "_next_key", "_next_th")
+    return placed.withColumn("_at", after).join(nxt, "_at").select("doc_id", "_key", "_th", "_n", "_next_key", "_next_th")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH, id_col: str = "doc_id",
@@ -99,22 +99,24 @@ def edited_fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH, id_col:
     them gets. A single document follows itself. An empty table gives an empty
     result; other columns are ignored.
     """
-    # the id as a text that is never null, so that joins and groups share a partitioning
+    # the id as a text that is never null, so that joins and groups share a partitioning;
+    # both joins read the same columns of the documents, so they share one shuffle
     key = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("null"))
-    base = docs.select(F.col(id_col).alias("doc_id"), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.withColumn("_th", F.xxhash64("_text"))
-    keys = cut(base.select("doc_id", "_key", "_th", F.length("_text").alias("_n")).distinct())
+    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = rows.withColumn("_th", F.xxhash64("_text"))
+    keys = cut(rows.select("doc_id", "_key", "_th", F.length("_text").alias("_n")).distinct())
+    base = rows.select("_key", "_th", "_text")
     # what each document takes over from the next one: a prefix and its sketch
-    wanted = _neighbours(keys).select(F.col("_key").alias("_to"), F.col("_th").alias("_to_th"),
+    wanted = _neighbours(keys).select(F.col("doc_id").alias("_to_id"), F.col("_key").alias("_to"), F.col("_th").alias("_to_th"),
                                       F.col("_next_key").alias("_key"), F.col("_next_th").alias("_th"),
                                       F.floor(F.col("_n") / 3).cast("int").alias("_take"))
     given = with_sketch(base.join(wanted, ["_key", "_th"]), "_text", "_next_sketch", k, width)
     given = given.select(F.col("_to").alias("_key"), F.col("_to_th").alias("_th"),
                          F.struct(F.substring("_text", F.lit(1), F.col("_take")).alias("head"),
-                                  F.col("_next_sketch").alias("sketch")).alias("_given"))
+                                  F.col("_next_sketch").alias("sketch"), F.col("_to_id").alias("id")).alias("_given"))
     full = base.join(given.groupBy("_key", "_th").agg(F.max("_given").alias("_given")), ["_key", "_th"])
     n = F.length("_text")
-    full = full.select("doc_id", n.cast("long").alias("n_chars"), "_text", F.col("_given.sketch").alias("_next_sketch"),
+    full = full.select(F.col("_given.id").alias("doc_id"), n.cast("long").alias("n_chars"), "_text", F.col("_given.sketch").alias("_next_sketch"),
                        F.concat(F.substring("_text", F.lit(1), n - F.floor(n / 3).cast("int")),
                                 F.col("_given.head")).alias("edited_text"))
     full = with_sketch(full, "_text", "sketch", k, width)
