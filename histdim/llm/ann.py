@@ -5,8 +5,10 @@ them onto the sphere, so that the largest inner product is the smallest
 Euclidean distance. Each of several tables cuts a few Gaussian projections into
 cells of one width. A query visits, in each table, the buckets reached by the
 sets of one-cell steps that are likeliest to hold near vectors: in rising order
-of the squared distances to the cell walls that a set crosses. All candidates
-are ranked by the exact inner product in double precision.
+of the squared distances to the cell walls that a set crosses. The first
+buckets give each query a floor, its k-th score so far; the others report only
+candidates that reach it. All candidates are ranked by the exact inner product
+in double precision.
 """
 
 from __future__ import annotations
@@ -22,11 +24,14 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow
 
 TABLES, HASHES, WIDTH, PROBES = 6, 4, 1.4, 16
+# Probes per table that a query's first candidates come from; their k-th score
+# is the floor below which the other probes report nothing.
+FIRST_PROBES = 2
 # Members or queries of one bucket that a task holds at once.
 ROWS_PER_TASK = 4096
 BLOCK = 512
 KEPT = 1 << 20
-ROW = "bucket bigint, query boolean, vec_id bigint, vec binary"
+ROW = "bucket bigint, query boolean, vec_id bigint, vec binary, floor double"
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -81,13 +86,14 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
 
 
-def _hashed(vectors: DataFrame, hashes: Hashes, dim: int, longest: float, probes: int | None) -> DataFrame:
-    """``ROW`` rows: each vector once per table, or as a query per probe."""
+def _hashed(vectors: DataFrame, hashes: Hashes, dim: int, longest: float, probes: slice | None = None) -> DataFrame:
+    """``ROW`` rows: each vector once per table, or, with ``probes``, each
+    query (vec_id, vec, floor) once per table and probe."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                own, ids = _matrix(part.column(1), dim), part.column(0).to_numpy(zero_copy_only=False)
+                own = _matrix(part.column(1), dim)
                 x = own.astype(np.float64)
                 if probes is None:
                     x = x / longest
@@ -96,23 +102,25 @@ def _hashed(vectors: DataFrame, hashes: Hashes, dim: int, longest: float, probes
                 else:
                     x = x / np.abs(x).max(axis=1, keepdims=True)
                     x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-                    keys = hashes.probes(np.c_[x, np.zeros(len(x))], probes).reshape(len(x), -1)
-                yield _rows(keys, ids, own, probes is not None)
+                    keys = hashes.probes(np.c_[x, np.zeros(len(x))], probes.stop)[:, :, probes.start:].reshape(len(x), -1)
+                yield _rows(keys, part, own, probes is not None)
     return map_arrow(vectors, run, ROW)
 
 
 def _one_bucket(vectors: DataFrame, dim: int, query: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, ids = _matrix(b.column(1), dim), b.column(0).to_numpy(zero_copy_only=False)
-            yield _rows(np.zeros((len(ids), 1), dtype=np.int64), ids, own, query)
+            yield _rows(np.zeros((b.num_rows, 1), dtype=np.int64), b, _matrix(b.column(1), dim), query)
     return map_arrow(vectors, run, ROW)
 
 
-def _rows(keys: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: bool) -> pa.RecordBatch:
-    row = np.repeat(np.arange(len(ids)), keys.shape[1])
+def _rows(keys: np.ndarray, batch: pa.RecordBatch, vectors: np.ndarray, query: bool) -> pa.RecordBatch:
+    row = np.repeat(np.arange(len(keys)), keys.shape[1])
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    floor = batch.column(2).to_numpy(zero_copy_only=False) if query else np.zeros(len(ids))
     return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.full(len(row), query)), pa.array(ids[row]),
-                                       _binary(vectors[row])], ["bucket", "query", "vec_id", "vec"])
+                                       _binary(vectors[row]), pa.array(floor[row])],
+                                      ["bucket", "query", "vec_id", "vec", "floor"])
 
 
 def _best(found: list[tuple], k: int) -> tuple[np.ndarray, ...]:
@@ -138,20 +146,23 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scored(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple]:
-    """Candidates among ``v`` that can be among the best ``k`` of each query."""
+def _scored(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple]:
+    """Candidates among ``v`` that reach a query's floor and can be among its
+    best ``k`` here."""
     size = np.abs(v).max()
     for at in range(0, len(q), BLOCK):
-        ids, part = qid[at:at + BLOCK], q[at:at + BLOCK]
+        ids, part, least = qid[at:at + BLOCK], q[at:at + BLOCK], floor[at:at + BLOCK]
         near = part @ v.T
         near[ids[:, None] == vid[None, :]] = -np.inf
-        keep = near > -np.inf
+        # the quick products may be off by rounding: keep what is that close
+        slack = 1e-12 * v.shape[1] * size * np.abs(part).max(axis=1)
+        keep = (near > -np.inf) & (near >= (least - slack)[:, None])
         if len(vid) > k + 1:
-            # the quick products may be off by rounding: keep what is that close
-            slack = 1e-12 * v.shape[1] * size * np.abs(part).max(axis=1)
             keep &= near >= (np.partition(near, len(vid) - k - 1, axis=1)[:, len(vid) - k - 1] - slack)[:, None]
         i, j = np.nonzero(keep)
-        yield ids[i], vid[j], _exact(part[i], v[j])
+        score = _exact(part[i], v[j])
+        high = score >= least[i]
+        yield ids[i][high], vid[j][high], score[high]
 
 
 def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int) -> DataFrame:
@@ -162,8 +173,8 @@ def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
-        for qid, q, vid, v in _buckets(batches, dim, kind):
-            for hit in _scored(qid, q, vid, v, k):
+        for bucket in _buckets(batches, dim, kind):
+            for hit in _scored(*bucket, k):
                 found.append(hit)
                 held += len(hit[0])
             if held > KEPT:
@@ -188,7 +199,7 @@ def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int)
     alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
     dealt = (rows.join(crowded, "bucket", "left")
              .withColumn("_c", F.explode(F.when(F.col("_q").isNull(), alone).otherwise(cells)))
-             .select("bucket", "_c.i", "_c.j", "query", "vec_id", "vec"))
+             .select("bucket", "_c.i", "_c.j", "query", "vec_id", "vec", "floor"))
     dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return map_arrow(dealt, run, "query_id bigint, vec_id bigint, score double")
 
@@ -198,7 +209,8 @@ def _result(best: tuple) -> pa.RecordBatch:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch], dim: int, kind) -> Iterator[tuple]:
-    """Per whole bucket part with queries and members: ids and vectors of both."""
+    """Per whole bucket part with queries and members: the queries' ids,
+    vectors and floors, the members' ids and vectors."""
     held: list[pa.RecordBatch] = []
     for b in itertools.chain(batches, [None]):
         if b is not None:
@@ -214,13 +226,14 @@ def _buckets(batches: Iterator[pa.RecordBatch], dim: int, kind) -> Iterator[tupl
         edge = np.r_[0, edge, len(keys[0])] if b is None else np.r_[0, edge]
         query = np.concatenate([x.column(3).to_numpy(zero_copy_only=False) for x in held])
         ids = np.concatenate([x.column(4).to_numpy(zero_copy_only=False) for x in held])
+        floor = np.concatenate([x.column(6).to_numpy(zero_copy_only=False) for x in held])
         data = b"".join(v for x in held for v in x.column(5).to_pylist())
         vec = np.frombuffer(data, dtype=kind).reshape(-1, dim)
         for start, end in itertools.pairwise(edge.tolist()):
             is_query = query[start:end]
             if is_query.any() and not is_query.all():
                 i, x = ids[start:end], vec[start:end].astype(np.float64)
-                yield i[is_query], x[is_query], i[~is_query], x[~is_query]
+                yield i[is_query], x[is_query], floor[start:end][is_query], i[~is_query], x[~is_query]
         held = [] if b is None else [b.slice(b.num_rows - (len(ids) - int(edge[-1])))]
 
 
@@ -247,22 +260,31 @@ def search(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, hash
     if stats[0] != stats[1]:
         raise ValueError(f"vectors of {stats[0]} to {stats[1]} components")
     dim, longest = stats[1] or 1, stats[2] or 1.0
-    queries = vectors.where(is_query)
+    queries = vectors.where(is_query).withColumn("floor", F.lit(float("-inf")))
 
-    def ranked(rows):
-        best = (_search(rows, dim, double, k, rows_per_task)
-                .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    def best(hits):
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return (hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", rank)
+                .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+
+    def searched(members, probing):
+        return _search(members.unionByName(probing), dim, double, k, rows_per_task)
 
     def everything(some):
-        return ranked(_one_bucket(vectors, dim, False).unionByName(_one_bucket(some, dim, True)))
+        return best(searched(_one_bucket(vectors, dim, False), _one_bucket(some, dim, True)))
 
     if exact:
         return everything(queries)
     made = Hashes(dim, tables, hashes, width, seed)
-    found = cut(ranked(_hashed(vectors, made, dim, longest, None)
-                       .unionByName(_hashed(queries, made, dim, longest, probes))))
+    members = _hashed(vectors, made, dim, longest)
+    early = min(FIRST_PROBES, probes)
+    first = cut(best(searched(members, _hashed(queries, made, dim, longest, slice(0, early)))))
+    floors = (first.groupBy("query_id").agg(F.min("score").alias("_least"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") >= k).select(F.col("query_id").alias("vec_id"), "_least"))
+    raised = (queries.join(floors, "vec_id", "left")
+              .select("vec_id", "vec", F.coalesce("_least", "floor").alias("floor")))
+    rest = searched(members, _hashed(raised, made, dim, longest, slice(early, probes)))
+    found = cut(best(first.select("query_id", "vec_id", "score").unionByName(rest)))
     full = found.groupBy("query_id").count().where(F.col("count") >= k)
     short = cut(queries.join(full, F.col("vec_id") == F.col("query_id"), "left_anti"))
     if short.limit(1).count() == 0:
