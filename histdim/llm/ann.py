@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, map_arrow
 
-TABLES, HASHES, WIDTH, PROBES = 6, 4, 1.4, 16
+TABLES, HASHES, WIDTH, PROBES = 6, 4, 1.4, 27
 # Probes per table that a query's first candidates come from; their k-th score
 # is the floor below which the other probes report nothing.
 FIRST_PROBES = 2
