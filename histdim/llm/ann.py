@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow
+from .common import broadcast_up_to, cut, map_arrow
 
 TABLES, HASHES, WIDTH, PROBES = 6, 4, 1.4, 27
 # Probes per table that a query's first candidates come from; their k-th score
@@ -190,8 +190,7 @@ def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int)
     crowded = cut(counts.where((F.col("_q") > rows_per_task) | (F.col("_m") > rows_per_task))
                   .select("bucket", F.ceil(F.greatest(F.lit(1), "_q") / rows_per_task).cast("int").alias("_q"),
                           F.ceil(F.greatest(F.lit(1), "_m") / rows_per_task).cast("int").alias("_m")))
-    if crowded.count() <= 100_000:  # 16 bytes each; a longer list is joined by a shuffle
-        crowded = F.broadcast(crowded)
+    crowded = broadcast_up_to(crowded)
     own, other = (F.when(F.col("query"), F.col(a)).otherwise(F.col(b)) for a, b in (("_q", "_m"), ("_m", "_q")))
     part = F.pmod(F.xxhash64("vec_id"), own).cast("int")
     cells = F.transform(F.sequence(F.lit(0), other - 1), lambda o: F.struct(

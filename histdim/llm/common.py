@@ -40,6 +40,12 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def broadcast_up_to(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A broadcast of ``df``, which is written already and has narrow rows,
+    where it has at most ``rows`` of them; a longer one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def prefix_sums(df: DataFrame, order: Sequence[str], sums: dict[str, Column],
                 group: Sequence[str] = ()) -> DataFrame:
     """Add, for each entry of ``sums``, the inclusive running sum of that

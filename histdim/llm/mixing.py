@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, prefix_sums
+from .common import WORD, broadcast_up_to, cut, prefix_sums
 
 # Where a document stands in its source's shuffled order.
 PLACE = ["_hash", "size", "_text_hash"]
@@ -71,8 +71,8 @@ def mix_cuts(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), budget
     targets = source_targets(sized, weights, budget, max_epochs)
     goal = targets.agg(F.sum("target")).first()[0] or 0.0
     queued = prefix_sums(sized, ["source", *PLACE, "_uid"], {"_words": F.col("size")}, group=["source"])
-    queued = queued.join(targets.select(F.col("source").alias("_s"), "source_size", "weight"),
-                         F.col("source").eqNullSafe(F.col("_s")))
+    shares = broadcast_up_to(targets.select(F.col("source").alias("_s"), "source_size", "weight"))
+    queued = queued.join(shares, F.col("source").eqNullSafe(F.col("_s")))
     epochs = queued.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.lit(max_epochs))))
     finish = ((F.col("_epoch") - 1) * F.col("source_size") + F.col("_words")) / F.col("weight")
     line = cut(epochs.select(finish.alias("_finish"), "source", "_epoch", *PLACE, "_uid"))
@@ -101,7 +101,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), **options)
     ignored. Equal input gives equal output at any partitioning.
     """
     sized, cuts = mix_cuts(docs, weights, **options)
-    per = cuts.withColumnRenamed("source", "_s")
+    per = broadcast_up_to(cuts.withColumnRenamed("source", "_s"))
     return (sized.join(per, F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", _copies())
             .select("doc_id", "source", "size", "source_size", "target", "copies",
                     (F.col("size") * F.col("copies")).alias("taken")))
@@ -109,12 +109,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), **options)
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, each document repeated as
-    often as the mix takes it. Texts are not shuffled: the place of the last
-    taken document of each source decides."""
+    often as the mix takes it. The place of the last taken document of each
+    source decides, so texts are not shuffled while the sources are few enough
+    for a broadcast (100,000)."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     source_col, seed = options.get("source_col", "source"), options.get("seed", 42)
     _, cuts = mix_cuts(docs, weights, **options)
-    per = cuts.select(F.col("source").alias("_s"), "last")
+    per = broadcast_up_to(cuts.select(F.col("source").alias("_s"), "last"))
     kept = [F.col(c) for c in docs.columns]
     rows = docs.select(F.struct(*kept).alias("_row"), *_keyed(docs, id_col, text_col, source_col, seed))
     return (rows.join(per, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_n", _copies())

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow, partitions
+from .common import broadcast_up_to, cut, map_arrow, partitions
 from .components import components
 
 SEED = 42
@@ -207,8 +207,7 @@ def links(nodes: DataFrame, max_bits: int, homes_per_task: int = HOMES_PER_TASK)
                   .where(F.col("count") > homes_per_task)
                   .select("anchor", F.ceil(F.col("count") / homes_per_task).cast("int").alias("_parts")))
     rows = map_arrow(fps, replicate, "anchor bigint, fp bigint, home boolean")
-    if crowded.count() <= 100_000:  # 12 bytes each; a longer list is joined by a shuffle
-        crowded = F.broadcast(crowded)
+    crowded = broadcast_up_to(crowded)
     # a home is compared in its own part and visits the others
     own = F.pmod(F.xxhash64("fp"), F.col("_parts"))
     each = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
