@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import broadcast_up_to, cut
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -45,11 +45,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), payload.alias("_payload"),
                         F.octet_length(payload).alias("_bytes"), base32_sha1(payload.cast("binary")).alias("_digest"))
-    groups = cut(rows.where(F.col("_bytes") >= min_bytes).groupBy("_digest")
+    groups = broadcast_up_to(cut(rows.where(F.col("_bytes") >= min_bytes).groupBy("_digest")
                  .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-                 .where("_n > 1").select("_digest", "_first"))
-    if groups.count() <= BROADCAST_GROUPS:  # some 60 bytes each
-        groups = F.broadcast(groups)
+                 .where("_n > 1").select("_digest", "_first")), BROADCAST_GROUPS)  # some 60 bytes each
     rows = rows.join(groups, "_digest", "left")
     revisit = F.col("_first").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_bytes") >= min_bytes)
     rows = rows.withColumn("_revisit", revisit)
@@ -199,7 +197,8 @@ def _joined(spark: SparkSession, path: str, placed: DataFrame, broken: DataFrame
               .where(F.col("_begin") < F.col("_record._next"))
               .select("_path", F.col("_begin").alias("_at"), "_content", "_record.*"))
     wanted = cut(wanted)
-    bytes_of = (_segments(spark, path).join(wanted.select("_content").distinct(), "_content", "left_semi")
+    contents = broadcast_up_to(cut(wanted.select("_content").distinct()))
+    bytes_of = (_segments(spark, path).join(contents, "_content", "left_semi")
                 .dropDuplicates(["_content"]).select("_content", F.col("value").cast("binary").alias("_value")))
     parts = F.array_sort(F.collect_list(F.struct("_at", "_value")))
     whole = (wanted.join(bytes_of, "_content").groupBy("_path", "offset", "_next", "_begin")
