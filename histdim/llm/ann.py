@@ -148,8 +148,12 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _scored(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple]:
     """Candidates among ``v`` that reach a query's floor and can be among its
-    best ``k`` here."""
+    best ``k`` ids here, of each id the rows that can be its best."""
     size = np.abs(v).max()
+    order = np.argsort(vid, kind="stable")
+    vid, v = vid[order], v[order]
+    new = np.r_[True, vid[1:] != vid[:-1]]
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
     for at in range(0, len(q), BLOCK):
         ids, part, least = qid[at:at + BLOCK], q[at:at + BLOCK], floor[at:at + BLOCK]
         near = part @ v.T
@@ -157,8 +161,12 @@ def _scored(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, vid: np.ndarray,
         # the quick products may be off by rounding: keep what is that close
         slack = 1e-12 * v.shape[1] * size * np.abs(part).max(axis=1)
         keep = (near > -np.inf) & (near >= (least - slack)[:, None])
-        if len(vid) > k + 1:
-            keep &= near >= (np.partition(near, len(vid) - k - 1, axis=1)[:, len(vid) - k - 1] - slack)[:, None]
+        best = near
+        if len(first) < len(vid):
+            best = np.maximum.reduceat(near, first, axis=1)
+            keep &= near >= (best - slack[:, None])[:, group]
+        if len(first) > k + 1:
+            keep &= near >= (np.partition(best, len(first) - k - 1, axis=1)[:, len(first) - k - 1] - slack)[:, None]
         i, j = np.nonzero(keep)
         score = _exact(part[i], v[j])
         high = score >= least[i]
@@ -192,7 +200,7 @@ def _search(rows: DataFrame, dim: int, double: bool, k: int, rows_per_task: int)
                           F.ceil(F.greatest(F.lit(1), "_m") / rows_per_task).cast("int").alias("_m")))
     crowded = broadcast_up_to(crowded)
     own, other = (F.when(F.col("query"), F.col(a)).otherwise(F.col(b)) for a, b in (("_q", "_m"), ("_m", "_q")))
-    part = F.pmod(F.xxhash64("vec_id"), own).cast("int")
+    part = F.pmod(F.xxhash64("vec_id", "vec"), own).cast("int")
     cells = F.transform(F.sequence(F.lit(0), other - 1), lambda o: F.struct(
         F.when(F.col("query"), part).otherwise(o).alias("i"), F.when(F.col("query"), o).otherwise(part).alias("j")))
     alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
@@ -254,6 +262,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, hash
     double = vectors.schema["vec"].dataType.elementType.simpleString() == "double"
     if not double:
         vectors = vectors.withColumn("vec", F.col("vec").cast("array<float>"))
+    # equal rows once, so that a row repeated very often is no crowd of its own
+    vectors = cut(vectors.distinct())
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     stats = vectors.agg(F.min(F.size("vec")), F.max(F.size("vec")), F.max(norm)).first()
     if stats[0] != stats[1]:

@@ -81,3 +81,20 @@ def test_unusable_rows_repeats_and_empty_table(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     with pytest.raises(ValueError):
         ann.search(spark.createDataFrame([(1, [1.0], 0), (2, [1.0, 2.0], 0)], SCHEMA), F.col("vec_id") > 0)
+
+
+@pytest.mark.parametrize("equal", [True, False])
+@pytest.mark.parametrize("exact", [True, False])
+def test_an_id_repeated_hundreds_of_times_hides_no_other(spark, equal, exact):
+    v = clustered(900, 12, 3)
+    ids = list(range(600)) + [7] * 300
+    v[600:] = 50 * v[0] if equal else 50 * v[0] + clustered(300, 12, 4)
+    want = {}
+    for q, rows in brute(ids, v, lambda i: i == 0, 900).items():
+        best = {}
+        for i, s in rows:
+            best.setdefault(i, s)
+        want[q] = list(best.items())[:20]
+    found = got(ann.search(table(spark, ids, v), F.col("vec_id") == 0, k=20, exact=exact))
+    assert len(found[0]) == 20 and found[0][0] == want[0][0]
+    assert not exact or found == want
