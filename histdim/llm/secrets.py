@@ -34,9 +34,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 # A name that nothing of a name precedes, its operator, and the terms after it.
-NAME = re.compile(r"""(?a)(?<![\w.\-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.\-]*+)(?P=quote)[ \t]*(?::=|=>|=|:)(?![=:/])[ \t]*""")
+NAME = re.compile(r"""(?a)(?<![\w.\-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.\-]*+)(?P=quote)[ \t]*(?P<op>:=|=>|=|:)(?![=:/])[ \t]*""")
 TERM = re.compile(r"""(?a)(?:[rbuf]{0,2}(?:"(?P<double>(?:[^"\\\n]|\\.)*+)"|'(?P<single>(?:[^'\\\n]|\\.)*+)'|`(?P<back>[^`\n]*+)`)"""
                   r"""|(?P<bare>[^\s"'`,;(){}\[\]<>#]++))""")
+# A type of more than one word, between a name's colon and its "=".
+TYPE = re.compile(r"""(?a)[&*]{0,2}(?:'\w{1,20}[ \t]{1,4})?[A-Za-z_][\w.]{0,60}+(?:[\[<][^=\n"`;(){}]{0,80}[\]>]|\[\])?[?!]?"""
+                  r"""(?:[ \t]{0,4}\|[ \t]{0,4}[A-Za-z_][\w.\[\]]{0,60}+){0,4}(?:[ \t]{1,4}=(?![=>~])|=(?=[ \t]*["'`]))[ \t]*""")
+# Types that hold no value of their own when they stand before "=".
+TYPES = {"str", "string", "text", "bytes", "bytearray", "char", "any", "object", "auto", "final", "optional", "varchar"}
 JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
 IDENTIFIER = re.compile(r"(?a)[A-Za-z_][\w.\-]*")
 NAME_PARTS = re.compile(r"(?a)[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -78,29 +83,78 @@ def base_spans(text: str, raw: bytes | None = None) -> list[Span]:
     return found + [Span("hex", *m.span(), *m.span()) for m in HEX.finditer(text)]
 
 
+def _term(t: re.Match) -> Literal:
+    group = next(g for g in ("double", "single", "back", "bare") if t[g] is not None)
+    return Literal(*t.span(group), t[group], group != "bare")
+
+
+def _padding(text: str, m: re.Match) -> bool:
+    """Whether a name's "=" is rather the last character of a literal
+    (``token=c2VjcmV0=``): nothing before it, white space or the end after it."""
+    end = m.end("op")
+    return m["op"] == "=" and m.end("name") == m.start("op") and (end == len(text) or text[end].isspace())
+
+
+def _chain(text: str, m: re.Match, literals: dict, refers: dict) -> tuple[list[str], set[str], int, int]:
+    """The names of a chain (``a = b = "literal"``, ``name: type = "literal"``,
+    ``Note: NAME=literal``) that starts with the assignment ``m``: all names
+    that its value goes to, those of them that have the whole of its last bare
+    token as a literal already, that token's end, and where the value starts."""
+    chain, whole, end, hidden, at = [m["name"]], set(), m.end(), False, m.end()
+    while (inner := NAME.match(text, at)) and not inner["quote"]:
+        padding = _padding(text, inner)
+        if padding and text[inner.end():inner.end() + 1] not in ("'", '"', "`"):
+            break
+        outer, name = m["name"], inner["name"]
+        if at >= end:
+            stop = TERM.match(text, at).end()
+            if stop <= inner.end("op") and TERM.match(text, inner.end()) is None:
+                break  # nothing follows: the word is the value
+            end, whole, hidden = stop, set(), False
+            if end > inner.end("op") or padding:
+                literals.setdefault(outer, []).append(Literal(at, end, text[at:end], False))
+                whole.add(outer)
+                hidden = sensitivity(outer) > 0
+        elif not hidden and sensitivity(outer) > 0:
+            literals.setdefault(outer, []).append(Literal(at, end, text[at:end], False))
+            whole.add(outer)
+            hidden = True
+        typed = m["op"] == ":" and inner["op"] == "="
+        if not typed and end == inner.end("name"):
+            refers.setdefault(outer, set()).add(name)
+        if not (typed and name.lower() in TYPES):
+            chain.append(name)
+        m, at = inner, inner.end()
+    return list(dict.fromkeys(chain)), whole, end, at
+
+
 def assignments(text: str) -> tuple[dict[str, list[Literal]], dict[str, set[str]]]:
-    """Each assigned name's literal terms and the names that it refers to."""
+    """Each assigned name's literal terms and the names that it refers to. The
+    value of a chain goes to every name in it."""
     literals: dict[str, list[Literal]] = {}
     refers: dict[str, set[str]] = {}
     at = 0
     while m := NAME.search(text, at):
-        name, at = m["name"], m.end()
+        names, whole, end, at = _chain(text, m, literals, refers)
+        if m["op"] == ":" and at == m.end() and not NAME.match(text, at) and (kind := TYPE.match(text, at)):
+            at = kind.end()
         while t := TERM.match(text, at):
-            bare = t["bare"]
-            if bare is None:
-                group = "double" if t["double"] is not None else "single" if t["single"] is not None else "back"
-                literals.setdefault(name, []).append(Literal(*t.span(group), t[group], True))
-            else:
-                literals.setdefault(name, []).append(Literal(*t.span("bare"), bare, False))
-                if IDENTIFIER.fullmatch(bare):
-                    refers.setdefault(name, set()).add(bare)
+            term = _term(t)
+            for name in names:
+                if term.end > end or name not in whole:
+                    literals.setdefault(name, []).append(term)
+                if not term.quoted and IDENTIFIER.fullmatch(term.value):
+                    refers.setdefault(name, set()).add(term.value)
             at = t.end()
             joined = JOIN.match(text, at)
-            if joined is None or bare is not None and NAME.match(text, t.start("bare")):
+            if not term.quoted and (again := NAME.match(text, term.start)) and not _padding(text, again):
+                at = term.start  # the next assignment
+                break
+            if joined is None:
                 break
             at = joined.end()
-        if at == m.end():
-            at = max(at, m.start() + 1)
+        if at <= m.start():
+            at = m.start() + 1
     return literals, refers
 
 

@@ -44,6 +44,20 @@ def test_lexed_assignments():
     assert named('password = "changeme" secret = "${SECRET}" token: the') == []
 
 
+def test_typed_and_chained_assignments():
+    for form in ('password: str = "{}"', 'dbPwd: String = "{}"', "const dbPwd: string = '{}'", 'password: Optional[str] = "{}"',
+                 'pwd: str | None = "{}"', "let pwd: &'static str = \"{}\";", 'password:str="{}"', 'a = db_pwd = "{}"',
+                 'db_pwd = a = "{}"', 'Note: db_pwd={}', 'Note: db_pwd="{}"', 'env: PRIVATE_KEY={}', 'try: db_pwd = "{}"',
+                 'see: a: db_pwd = {}', 'A = B = "{}"\npwd = A'):
+        assert named(form.format("Tr0ub4dor9x")) == ["Tr0ub4dor9x"], form
+    assert named('colour: str = "Tr0ub4dor9x"\npassword: str\n') == []
+    assert named("db_pwd=aGVsbG9Xb3I= user=Robert99x") == ["aGVsbG9Xb3I="]
+    assert named("db_pwd=abc=def12X") == ["abc=def12X"] == named("x=db_pwd=abc=def12X")
+    assert named("db_pwd: Zx81kLm9Qw =\n") == ["Zx81kLm9Qw"]
+    for text in ("token=" * 50_000, "a = " * 50_000, "a: b = " * 50_000, "p: A[" * 50_000, "x: a|" * 50_000):
+        secrets.find(text)
+
+
 def test_constants_are_propagated():
     assert named('A = "k8Zp3mQ1"\nB = A\napi_key = B + "Tail42xx"\nC = "k8Zp3mQ2"') == ["k8Zp3mQ1", "Tail42xx"]
     assert named("password = a\na = password\n") == []  # a cycle ends
