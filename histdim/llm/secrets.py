@@ -51,6 +51,11 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 1.0, "sec
              "credential": 0.8, "credentials": 0.8, "key": 0.6, "auth": 0.6, "signature": 0.6}
 RAISING = {"api", "access", "private", "secret", "signing", "encryption", "master", "client", "auth"}
 PLACEHOLDERS = {"changeme", "example", "placeholder", "password", "secret", "undefined", "required", "redacted"}
+# Values that are a placeholder or a reference as a whole.
+PLACEHOLDER = re.compile(r"(?as)\$\{[^{}]*\}|\$\([^()]*\)|\$[A-Z_]+|%[A-Za-z_]\w*%|%\(\w+\)s|\{\{[^{}]*\}\}|\{[A-Za-z_.]*\}|<[^<>]*>")
+VARIABLE = re.compile(r"(?a)\$[A-Za-z_]+")  # where it is not quoted
+# Names whose values may hold white space.
+PHRASED = {"password", "passwd", "passphrase", "pwd", "secret"}
 MIN_LITERAL = 6
 THRESHOLD = 0.5
 
@@ -158,21 +163,30 @@ def assignments(text: str) -> tuple[dict[str, list[Literal]], dict[str, set[str]
     return literals, refers
 
 
+def _parts(name: str) -> list[str]:
+    return [p.lower() for p in NAME_PARTS.findall(name)]
+
+
 def sensitivity(name: str) -> float:
     """0 to 1, from the parts of a name (``dbPassword``, ``API_KEY``)."""
-    parts = [p.lower() for p in NAME_PARTS.findall(name)]
+    parts = _parts(name)
     most = max((SENSITIVE.get(p, 0.0) for p in parts), default=0.0)
     return min(1.0, most + 0.3) if most and len(RAISING.intersection(parts)) else most
 
 
-def strength(literal: Literal) -> float:
+def strength(literal: Literal, phrase: bool = False) -> float:
     """0 to 1: how much a literal looks like a secret, by length, kinds of
-    characters and entropy; 0 for short ones and known placeholders."""
+    characters and entropy; 0 for short ones, known placeholders and values
+    that are a placeholder as a whole (``${X}``, ``%X%``, ``{{x}}``, ``<x>``,
+    ``{x}``, ``$X``; unquoted also ``$x``). White space lowers it to 0.3,
+    unless the value may be a ``phrase``."""
     value = literal.value
-    if len(value) < MIN_LITERAL or value.lower() in PLACEHOLDERS or value[0] in "<$%{" or len(set(value)) < 4:
+    if len(value) < MIN_LITERAL or value.lower() in PLACEHOLDERS or len(set(value)) < 4 or PLACEHOLDER.fullmatch(value):
+        return 0.0
+    if not literal.quoted and VARIABLE.fullmatch(value):
         return 0.0
     kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    if kinds < 2 and not literal.quoted or any(c.isspace() for c in value):
+    if kinds < 2 and not literal.quoted or not phrase and any(c.isspace() for c in value):
         return 0.3
     n = len(value)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -184,15 +198,17 @@ def named_spans(text: str) -> list[Span]:
     literals, refers = assignments(text)
     found = {}
     for name in {*literals, *refers}:
-        weight = sensitivity(name.rpartition(".")[2] or name)
+        own = name.rpartition(".")[2] or name
+        weight = sensitivity(own)
         if weight <= 0:
             continue
+        phrase = not PHRASED.isdisjoint(_parts(own))
         seen, todo = {name}, [name]
         while todo:  # every constant that the name refers to, however far
             here = todo.pop()
             for lit in literals.get(here, ()):
                 is_reference = not lit.quoted and lit.value in literals
-                if not is_reference and weight * strength(lit) >= THRESHOLD:
+                if not is_reference and weight * strength(lit, phrase) >= THRESHOLD:
                     found[lit.start, lit.end] = Span("named", lit.start, lit.end, lit.start, lit.end)
             for other in refers.get(here, ()):
                 if other not in seen and other in literals:

@@ -58,6 +58,15 @@ def test_typed_and_chained_assignments():
         secrets.find(text)
 
 
+def test_values_that_start_like_placeholders_and_passphrases():
+    for value in ("$2b$12$Nh0sQkYv1mXl8wYy", "$ecret9Xk!", "%Tr0ub4dor9", "<9xK!q2Lm", "{9xK!q2Lm", "Horse 9 staple Xq7 battery"):
+        assert named(f'db_password = "{value}"') == [value] == named(f"passphrase: '{value}'")
+    assert named("db_pwd=$2b$12$Nh0sQkYv1mXl8wYy") == ["$2b$12$Nh0sQkYv1mXl8wYy"]
+    for value in ("${DB_PASS:-x1}", "%DB_PASS1%", "{{ vault.pass1 }}", "<your password 1>", "$DB_PASS", "{password}"):
+        assert named(f'db_password = "{value}"') == []
+    assert named("db_pwd = $dbPassword;") == [] == named('key = "a sentence of 5 words"')
+
+
 def test_constants_are_propagated():
     assert named('A = "k8Zp3mQ1"\nB = A\napi_key = B + "Tail42xx"\nC = "k8Zp3mQ2"') == ["k8Zp3mQ1", "Tail42xx"]
     assert named("password = a\na = password\n") == []  # a cycle ends
