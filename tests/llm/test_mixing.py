@@ -83,3 +83,29 @@ def test_odd_rows_and_empty_table(spark, odd_docs, make_docs):
 def test_smaller_budget(spark, make_docs):
     got = mix(make_docs(corpus()), WEIGHTS, budget=5000).collect()
     assert 4000 <= sum(r.taken for r in got) <= 5000
+
+
+def test_budget_cut_inside_a_group_of_repeated_rows(spark, make_docs):
+    """One row makes up a third of all rows; its last copies that fit are taken, no more."""
+    rows = [(k, "w " * 10, "ab"[k % 2]) for k in range(1000)] + [(-1, "w " * 10, "a")] * 500
+    seen = []
+    for parts in (2, 7):
+        docs = make_docs(rows, parts)
+        got = mix(docs, WEIGHTS, budget=7000).collect()
+        taken, per_id = Counter(), Counter()
+        for r in got:
+            taken[r.source] += r.taken
+            per_id[r.doc_id] += r.copies
+        assert len(got) == len(rows) and abs(taken["a"] - 5000) <= 20 and abs(taken["b"] - 2000) <= 20
+        assert Counter(r.doc_id for r in mixed_documents(docs, WEIGHTS, budget=7000).collect()) == +per_id
+        seen.append(sorted(map(str, got)))
+    assert seen[0] == seen[1]
+
+
+def test_repeated_rows_with_other_columns_of_their_own(spark, make_docs):
+    docs = make_docs([(1, "w " * 10, "a")] * 300).selectExpr("*", "cast(rand(3) * 3 as int) % 2 as other")
+    docs = docs.localCheckpoint()
+    out = mixed_documents(docs, WEIGHTS, budget=4000).collect()
+    assert len(out) == sum(r.copies for r in mix(docs, WEIGHTS, budget=4000).collect()) == 400
+    have, got = (Counter(r.other for r in x) for x in (docs.collect(), out))
+    assert all(have[k] <= got[k] <= 2 * have[k] for k in have)
