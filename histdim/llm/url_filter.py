@@ -51,9 +51,13 @@ def intervals(entries: DataFrame) -> DataFrame:
 
     An entry holds until the next one of its list and pattern. Of several at
     one time a removal wins; entries with a null field or another action are
-    ignored. Patterns are matched as given, their host in lower case.
+    ignored. A pattern's host is brought into the form of ``host_of`` (lower
+    case, no final dot), its path stays as given.
     """
-    rows = (entries.where("list is not null and pattern is not null and at is not null and action in ('add', 'remove')")
+    host = F.regexp_extract("pattern", "^[^/]*", 0)
+    plain = F.concat(F.regexp_replace(F.lower(host), r"\.+$", ""), F.regexp_replace("pattern", "^[^/]*", ""))
+    rows = (entries.withColumn("pattern", plain)
+            .where("list is not null and pattern is not null and at is not null and action in ('add', 'remove')")
             .groupBy("list", "pattern", "at").agg(F.max("action").alias("action")))
     later = Window.partitionBy("list", "pattern").orderBy("at")
     return (rows.withColumn("end", F.lead("at").over(later)).where("action = 'add'")

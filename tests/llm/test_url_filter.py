@@ -59,3 +59,9 @@ def test_timestamps(spark):
     c = spark.sql("select 1 page_id, 'http://h.com/a' url, timestamp'2024-01-02 00:00:00' fetched, 'x' pattern, 0 _slice")
     e = spark.sql("select 'l' list, 'h.com' pattern, timestamp'2024-01-01 00:00:00' at, 'add' action")
     assert url_filter.judge(c, e).first().blocked
+
+
+def test_hosts_of_entries_are_normalised(spark):
+    captures = [(1, "http://spam.example.com/A", 10), (2, "http://x.org/a", 10), (3, "http://x.org/A", 10)]
+    entries = [("l", "Spam.Example.com", 1, "add"), ("l", "spam.example.COM.", 2, "add"), ("m", "X.org./A", 1, "add")]
+    assert [r[3:5] for r in got(spark, captures, entries)] == [(1, "l"), (0, ""), (1, "m")]
