@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,3 +78,23 @@ def prefix_sums(df: DataFrame, order: Sequence[str], sums: dict[str, Column],
         on = on & F.col(g).eqNullSafe(F.col(f"_o{g}"))
     joined = ranged.join(offsets, on)
     return joined.select(*df.columns, *[(F.col(f"_in_{k}") + F.col(f"_off_{k}")).alias(k) for k in sums])
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of whole runs of equal values in the first ``keys`` columns of
+    sorted batches: the last run of a batch is held until it has ended."""
+    held: list[list[np.ndarray]] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if held and any(held[0][k][0] != cols[k][-1] for k in range(keys)):
+            # the held run ends within this batch
+            cols, held = [np.concatenate(x) for x in zip(*held, cols)], []
+        same = np.logical_and.reduce([cols[k] == cols[k][-1] for k in range(keys)])
+        end = int(np.argmax(same))
+        if end:
+            yield [c[:end] for c in cols]
+        held.append([c[end:] for c in cols])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import ann, bpe, fingerprints, mixing, quality, secrets, sharding, simhash, url_filter, warc
+from . import (ann, bpe, fingerprints, forest, mixing, quality, runs, secrets, sharding, simhash, url_filter, variants,
+               warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,6 +134,19 @@ def op10_ann(spark, sf_dir):
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_runs(spark, sf_dir):
+    return runs.digests(_table(spark, sf_dir, "documents"), exponent=4, min_words=6, edit=runs.repeated)
+
+
+def op12_variants(spark, sf_dir):
+    return variants.variants(_table(spark, sf_dir, "documents"), min_length=7, min_count=2, factor=10,
+                             edit=variants.deleted)
+
+
+def op13_minhash(spark, sf_dir):
+    return forest.near_duplicates(_table(spark, sf_dir, "documents"), width=5, threshold=85)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -144,6 +158,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_ann": op10_ann,
+    "op11_runs": op11_runs,
+    "op12_variants": op12_variants,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLE: dict[str, str] = {

@@ -1,0 +1,120 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from histdim.llm import forest
+
+
+def shingle_set(text, width=5):
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1)))
+
+
+def brute(rows, threshold=85):
+    sets = [shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+                parent[find(a)] = find(b)
+    least = {}
+    for k, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(k)] = min(doc, least.get(find(k), doc))
+    out = []
+    for k, (doc, _) in enumerate(rows):
+        c = least.get(find(k))
+        out.append((doc, len(sets[k]), c, doc == c))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def near_copies(seed, bases=25, copies=8, hot=150):
+    """Groups of edited copies around the threshold and one large group."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(rnd.randrange(1, 7)))
+    rows = []
+    for b in range(bases):
+        base = [word() for _ in range(rnd.randrange(1, 260))]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rnd.randrange(0, 1 + len(w) // 40)):
+                w[rnd.randrange(len(w))] = word()
+            rows.append((len(rows), " ".join(w)))
+    base = [word() for _ in range(140)]
+    for _ in range(hot):
+        w = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            w[rnd.randrange(len(w))] = word()
+        rows.append((len(rows), "  ".join(w).upper()))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed,crowd", [(1, 2048), (2, 6)])
+def test_against_all_pairs(make_docs, seed, crowd):
+    rows = near_copies(seed)
+    rows += [(9001, None), (9000, ""), (9002, " \n"), (None, None), (None, rows[0][1]), (rows[1][0], rows[1][1]),
+             (9003, "Two words"), (9004, "two  words"), (9005, "three words here"), (None, "unlike any"), (9006, "two words x")]
+    out = forest.near_duplicates(make_docs(rows, 4), crowd=crowd)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    # an empty set is linked with nothing, so a null id's empty text has no group to name
+    assert got(out) == brute(rows)
+
+
+def test_regions_of_two_components_are_compared_in_full(spark):
+    """Every close pair of two roots in a shared region is found, in a grid too."""
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(1 << 63, size=300, dtype=np.uint64)
+    sets = [np.unique(np.r_[rnd.choice(base, 290, replace=False), rnd.integers(1 << 63, size=3, dtype=np.uint64)])
+            for _ in range(60)]
+    sigs = [forest.signature(s) for s in sets]
+    rows = [(k, len(s), bytearray(g.tobytes()), k % 3) for k, (s, g) in enumerate(zip(sets, sigs))]
+    nodes = spark.createDataFrame(rows, "sh bigint, n_shingles bigint, sig binary, root bigint").repartition(3)
+    floor = forest._floor(85)
+    want = set()
+    for a in range(60):
+        for b in range(a + 1, 60):
+            shared = any((sigs[a][5 * t:5 * t + 5] == sigs[b][5 * t:5 * t + 5]).all() for t in range(forest.TREES))
+            agree = int((sigs[a] == sigs[b]).sum())
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if a % 3 != b % 3 and shared and agree >= floor and 100 * small >= 85 * large:
+                want.add((a, b, agree))
+    assert len(want) > 300
+    for crowd in (2048, 7):
+        found = forest.across_components(nodes, 85, crowd).collect()
+        assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
+def test_signatures_estimate_similarity():
+    rnd = np.random.default_rng(5)
+    pool = rnd.integers(1 << 63, size=2400, dtype=np.uint64)
+    for shared in (200, 600, 1000):
+        a, b = pool[:1200], np.r_[pool[:shared], pool[1200:2400 - shared]]
+        want = shared / (2400 - shared)
+        agree = (forest.signature(a) == forest.signature(b)).mean()
+        assert abs(agree - want) < 0.15
+
+
+def test_odd_rows_and_empty_table(odd_docs, make_docs):
+    out = forest.near_duplicates(odd_docs)
+    rows = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in out.collect()}
+    assert out.count() == odd_docs.count()
+    assert rows[(5, 1)] == (1, False) and rows[(1, 1)] == (1, True) and rows[(2, 0)] == (2, True)
+    assert rows[(4, 2)] == (4, True) and rows[(7, 0)] == (7, True)
+    assert forest.near_duplicates(make_docs([])).count() == 0
