@@ -277,38 +277,39 @@ def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> D
     return map_arrow(dealt, compare, "u bigint, v bigint, agree int").groupBy("u", "v").agg(F.max("agree").alias("agree"))
 
 
-def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``nodes`` with the root of each, itself where it has no link."""
-    return (nodes.join(roots.select(F.col("node").alias("sh"), "root"), "sh", "left")
-            .withColumn("root", F.coalesce("root", "sh")))
-
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (sh, root) after ``links`` (u, v) between its nodes: the
+    components of the roots that they connect, so of a much smaller graph."""
+    u, v = (labels.select(F.col("sh").alias(c), F.col("root").alias(f"r{c}")) for c in "uv")
+    roots = links.join(u, "u").join(v, "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+    found = components(roots).select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    return cut(labels.join(found, "root", "left").select("sh", F.coalesce("_root", "root").alias("root")))
+
+
+def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crowd: int = CROWD,
+             text_col: str = "text") -> DataFrame:
+    """(sh, root) of every node that has a neighbour in some region, the root
+    naming its component; ``nodes`` has sh, th, n_shingles, sig."""
+    near = cut(neighbours(nodes))
+    labels = cut(near.select(F.explode(F.array("u", "v")).alias("sh")).where(F.col("sh").isNotNull()).distinct()
+                 .withColumn("root", F.col("sh")))
 
-def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crowd: int = CROWD,
-                 text_col: str = "text") -> DataFrame:
-    """(node, root) of every node with a link; ``nodes`` has sh, th, n_shingles, sig."""
-    def confirm(pairs):
-        return cut(confirmed(pairs, nodes, docs, width, threshold, text_col))
+    def settle(pairs, labels):
+        return _merged(labels, cut(confirmed(pairs, nodes, docs, width, threshold, text_col)))
 
-    near = cut(neighbours(nodes))
     tried = cut(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
-    links = confirm(tried)
-    roots = cut(components(links))
-    # a node that has no neighbour in its regions is alone in them
-    met = cut(near.select(F.explode(F.array("u", "v")).alias("sh")).where(F.col("sh").isNotNull()).distinct())
-    rest = cut(across_components(_rooted(nodes.join(met, "sh", "left_semi"), roots), threshold, crowd)
-               .join(tried, ["u", "v"], "left_anti"))
-    for each in (2, None):
-        if rest.limit(1).count() == 0:
-            break
-        chosen = cut(_best(rest, each)) if each else rest.select("u", "v")
-        found = confirm(chosen)
-        links = links.unionByName(found)
-        roots = cut(components(links))
-        u, v = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "uv")
-        apart = ~F.coalesce("ru", "u").eqNullSafe(F.coalesce("rv", "v"))
-        rest = cut(rest.join(chosen, ["u", "v"], "left_anti").join(u, "u", "left").join(v, "v", "left")
-                   .where(apart).select("u", "v", "agree"))
-    return roots
+    labels = settle(tried, labels)
+    # a node that has no neighbour in its regions is alone in them, so only labelled ones are compared
+    rest = cut(across_components(nodes.join(labels, "sh"), threshold, crowd).join(tried, ["u", "v"], "left_anti"))
+    if rest.limit(1).count():
+        chosen = cut(_best(rest))
+        labels = settle(chosen, labels)
+        u, v = (labels.select(F.col("sh").alias(c), F.col("root").alias(f"r{c}")) for c in "uv")
+        rest = cut(rest.join(chosen, ["u", "v"], "left_anti").join(u, "u").join(v, "v").where("ru <> rv")
+                   .select("u", "v", "agree"))
+        if rest.limit(1).count():  # what the best pairs left apart is confirmed in full
+            labels = settle(rest.select("u", "v"), labels)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 85, crowd: int = CROWD,
@@ -329,12 +330,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 85, crowd:
     nodes = cut(rows.where("n_shingles > 0").groupBy("sh")
                 .agg(F.min("doc_id").alias("_least"), F.min("th").alias("th"), F.first("n_shingles").alias("n_shingles"),
                      F.first("sig").alias("sig")))
-    roots = linked_nodes(nodes.drop("_least"), docs, width, threshold, crowd, text_col)
+    labels = labelled(nodes.drop("_least"), docs, width, threshold, crowd, text_col)
     least = nodes.select("sh", "_least")
-    member = cut(least.join(roots.select(F.col("node").alias("sh"), "root"), "sh"))
+    member = cut(least.join(labels, "sh"))
     named = cut(member.groupBy("root").agg(F.min("_least").alias("component_id")))
     grouped = member.join(broadcast_up_to(named), "root").select("sh", "component_id")
-    alone = least.join(member.select("sh"), "sh", "left_anti").select("sh", F.col("_least").alias("component_id"))
+    alone = least.join(labels, "sh", "left_anti").select("sh", F.col("_least").alias("component_id"))
     groups = cut(grouped.unionByName(alone))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (rows.drop("sig").join(groups, "sh", "left").withColumn("component_id", own)

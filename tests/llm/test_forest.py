@@ -44,7 +44,7 @@ def got(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-def near_copies(seed, bases=25, copies=8, hot=150):
+def near_copies(seed, bases=20, copies=6, hot=80):
     """Groups of edited copies around the threshold and one large group."""
     rnd = random.Random(seed)
     word = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(rnd.randrange(1, 7)))
