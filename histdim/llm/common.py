@@ -80,21 +80,47 @@ def prefix_sums(df: DataFrame, order: Sequence[str], sums: dict[str, Column],
     return joined.select(*df.columns, *[(F.col(f"_in_{k}") + F.col(f"_off_{k}")).alias(k) for k in sums])
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: int, most: int | None = None,
+                block: int = 1) -> Iterator[list[np.ndarray]]:
     """Columns of whole runs of equal values in the first ``keys`` columns of
-    sorted batches: the last run of a batch is held until it has ended."""
-    held: list[list[np.ndarray]] = []
+    sorted batches, at least ``block`` rows at a time: the last run is held
+    until it has ended. Of a run longer than ``most`` the first ``most`` + 1
+    rows are given, which is all that is held of it."""
+    held: list[list[np.ndarray]] = []  # whole runs, and the open one at the end
+    rows = open_ = 0  # rows held, and of the open run
     for b in batches:
         if not b.num_rows:
             continue
         cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        if held and any(held[0][k][0] != cols[k][-1] for k in range(keys)):
-            # the held run ends within this batch
-            cols, held = [np.concatenate(x) for x in zip(*held, cols)], []
-        same = np.logical_and.reduce([cols[k] == cols[k][-1] for k in range(keys)])
-        end = int(np.argmax(same))
-        if end:
-            yield [c[:end] for c in cols]
-        held.append([c[end:] for c in cols])
+        size = len(cols[0])
+        if held:
+            ahead = np.logical_and.reduce([cols[k] == held[-1][k][-1] for k in range(keys)])
+            same = size if ahead.all() else int(np.argmin(ahead))  # rows that still belong to the open run
+            if most is not None and same:
+                spare = max(0, min(same, most + 1 - open_))
+                cols = [np.concatenate([c[:spare], c[same:]]) for c in cols]
+                size, same = size - same + spare, spare
+        else:
+            same = 0
+        if not size:
+            continue
+        if same == size:
+            open_ += size
+        else:
+            ended = np.logical_and.reduce([cols[k] == cols[k][-1] for k in range(keys)])
+            ended[:same] = False
+            end = int(np.argmax(ended))
+            if rows + end >= block:
+                yield [np.concatenate(x) for x in zip(*held, [c[:end] for c in cols])] if held else [c[:end] for c in cols]
+                held, rows = [], 0
+                cols = [c[end:] for c in cols]
+                open_ = size = size - end
+            else:
+                open_ = size - end
+            if most is not None and open_ > most + 1:
+                size -= open_ - most - 1
+                cols, open_ = [c[:size] for c in cols], most + 1
+        held.append(cols)
+        rows += size
     if held:
         yield [np.concatenate(x) for x in zip(*held)]

@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_up_to, cut, map_arrow, partitions, sorted_runs
-from .components import components
 
 TREES = 24
 DEPTH = 5            # values that neighbours share at least
@@ -277,13 +276,26 @@ def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> D
     return map_arrow(dealt, compare, "u bigint, v bigint, agree int").groupBy("u", "v").agg(F.max("agree").alias("agree"))
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (sh, root) after ``links`` (u, v) between its nodes: the
-    components of the roots that they connect, so of a much smaller graph."""
-    u, v = (labels.select(F.col("sh").alias(c), F.col("root").alias(f"r{c}")) for c in "uv")
-    roots = links.join(u, "u").join(v, "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
-    found = components(roots).select(F.col("node").alias("root"), F.col("root").alias("_root"))
-    return cut(labels.join(found, "root", "left").select("sh", F.coalesce("_root", "root").alias("root")))
+def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (sh, root) with one root, the least node, for all nodes that
+    ``links`` (u, v) connect. In each round a node and its root are offered the
+    root's root of every neighbour, and of the node itself, and take the least;
+    paths shrink to stars in a few rounds, each a minimum by node."""
+    both = cut(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    while True:
+        above = labels.select(F.col("sh").alias("root"), F.col("root").alias("_top"))
+        known = labels.join(above, "root")
+        near = (both.join(known.select(F.col("sh").alias("v"), F.col("_top").alias("_far")), "v")
+                .join(known.select(F.col("sh").alias("u"), F.col("root").alias("_own")), "u"))
+        offer = F.explode(F.array(F.struct(F.col("u").alias("sh"), "_far"), F.struct(F.col("_own").alias("sh"), "_far")))
+        offers = (near.select(offer.alias("o")).select("o.sh", F.col("o._far").alias("_r"))
+                  .unionByName(known.select("sh", F.col("_top").alias("_r"))))
+        least = offers.groupBy("sh").agg(F.min("_r").alias("_r"))
+        moved = cut(labels.join(least, "sh").select("sh", F.least("root", "_r").alias("root"),
+                                                    (F.col("_r") < F.col("root")).alias("_moved")))
+        labels = moved.select("sh", "root")
+        if moved.where("_moved").limit(1).count() == 0:
+            return labels
 
 
 def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crowd: int = CROWD,
@@ -295,7 +307,7 @@ def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crow
                  .withColumn("root", F.col("sh")))
 
     def settle(pairs, labels):
-        return _merged(labels, cut(confirmed(pairs, nodes, docs, width, threshold, text_col)))
+        return _connected(labels, confirmed(pairs, nodes, docs, width, threshold, text_col))
 
     tried = cut(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
     labels = settle(tried, labels)

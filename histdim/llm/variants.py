@@ -9,8 +9,9 @@ Words of equal length meet in signatures over 4 of 6 parts, words whose
 lengths differ by one in signatures over 3 of 4. The signatures (64-bit hashes
 with the length) are joined by equality, and words that meet are verified.
 
-Signatures shared by many words are dealt as a grid: their words are cut into
-parts, and every two parts meet in a task of their own.
+A signature that too many words share is passed over at first and named; its
+words are then signed again and dealt as a grid: they are cut into parts, and
+every two parts meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -78,13 +79,10 @@ def vocabulary(docs: DataFrame, min_length: int = 7, min_count: int = 2, edit: E
             .where(F.col("n") >= min_count))
 
 
-def _matrix(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Words of Latin-1 letters as zero-filled rows of bytes, and lengths."""
-    coded = [w.encode("latin-1") for w in words.to_pylist()]
-    length = np.array([len(w) for w in coded], dtype=np.int64)
-    width = -(-max(1, int(length.max(initial=1))) // 8) * 8
-    flat = b"".join(w.ljust(width, b"\0") for w in coded)
-    return np.frombuffer(flat, dtype=np.uint8).reshape(len(coded), width), length
+def _matrix(words: list[bytes]) -> np.ndarray:
+    """Words of Latin-1 letters as zero-filled rows of bytes, a multiple of 16 wide."""
+    width = -(-max(1, max(map(len, words), default=1)) // 16) * 16
+    return np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), dtype=np.uint8).reshape(len(words), width)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -119,29 +117,32 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, 4096):
             piece = b.slice(at, 4096)
-            size = np.array([len(w) for w in piece.column(0).to_pylist()], dtype=np.int64)
+            coded = [w.encode("latin-1") for w in piece.column(0).to_pylist()]
+            size = np.array([len(w) for w in coded], dtype=np.int64)
             narrow = np.flatnonzero(size <= WIDE)
             for take in ([narrow] if len(narrow) else []) + [np.array([k]) for k in np.flatnonzero(size > WIDE)]:
-                rows = piece.take(pa.array(take))
-                m, length = _matrix(rows.column(0))
-                keys, roles = list(_signatures(m, length, PARTS[0], 2)), []
-                roles += [0] * len(keys)
+                words, length = [coded[k] for k in take], size[take]
+                m = _matrix(words)
+                keys = [(0, key) for key in _signatures(m, length, PARTS[0], 2)]
                 for role, grown in ((1, 1), (2, 0)):  # a shorter word signs with the longer one's length
-                    more = list(_signatures(m, length + grown, PARTS[1], 1))
-                    keys, roles = keys + more, roles + [role] * len(more)
-                for key, role in zip(keys, roles):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(np.full(len(key), role), pa.int8()), pa.array(length),
-                         rows.column(0), rows.column(1)], ["key", "role", "length", "word", "n"])
-
-
-def _one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether rows of equal length differ in exactly one byte."""
-    x = np.ascontiguousarray(a).view(np.uint64) ^ np.ascontiguousarray(b).view(np.uint64)
-    x |= x >> np.uint64(4)
-    x |= x >> np.uint64(2)
-    x |= x >> np.uint64(1)
-    return np.bitwise_count(x & np.uint64(0x0101010101010101)).sum(axis=1) == 1
+                    keys += [(role, key) for key in _signatures(m, length + grown, PARTS[1], 1)]
+                held = [pa.array(length), pa.array(words, pa.binary()), piece.column(1).take(pa.array(take))]
+                for role, key in keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), role), pa.int8()),
+                                                      *held], ["key", "role", "length", "word", "n"])
+
+
+def _one_replaced(x: np.ndarray) -> np.ndarray:
+    """Of the differences of words of equal length (rows of 64-bit lanes): which
+    have exactly one byte that is not zero."""
+    out = np.count_nonzero(x, axis=1) == 1  # most pairs differ in several lanes
+    at = np.flatnonzero(out)
+    y = x[at].max(axis=1)
+    y |= y >> np.uint64(4)
+    y |= y >> np.uint64(2)
+    y |= y >> np.uint64(1)
+    out[at] = np.bitwise_count(y & np.uint64(0x0101010101010101)) == 1
+    return out
 
 
 def _one_inserted(short: np.ndarray, long: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -154,64 +155,81 @@ def _one_inserted(short: np.ndarray, long: np.ndarray, length: np.ndarray) -> np
     return tail < lead
 
 
-STEP = 1 << 18
-
-
-def _one_edit(a: str, b: str) -> bool:
-    """The same for two words of any length, the first not longer."""
+def _one_edit(a: bytes, b: bytes) -> bool:
+    """Whether two words of any length, the first not longer, are one edit apart."""
     lead = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
     return a != b and a[lead + (len(a) == len(b)):] == b[lead + 1:]
 
 
 def _near(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of the pairs one edit apart, of whole runs of a signature
-    and grid cell, the shorter word first."""
+    and grid cell. Longer runs come first, so that the rows with a partner some
+    places on in their run lie in one stretch, compared with it as a whole."""
     key, i, j, side, role, length, word, _ = cols
     begin = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     size = np.diff(np.r_[begin, len(key)])
-    # each row is compared with the rows behind it in its run
-    behind = np.repeat(begin + size, size) - 1 - np.arange(len(key))
-    first = np.flatnonzero(behind)
-    count, ends = behind[first], np.cumsum(behind[first])
-    narrow = np.flatnonzero(length <= WIDE)
-    place = np.zeros(len(key), dtype=np.int64)
-    place[narrow] = np.arange(len(narrow))
-    m, _ = _matrix(pa.array(word[narrow], pa.string()))
-    at = 0
-    while at < len(first):
-        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP)))
-        c = count[at:upto]
-        a = np.repeat(first[at:upto], c)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
-        at = upto
-        # rows of one part meet in the part's own cell; of two words of unequal length one signs as the shorter
-        meet = ((i[a] == j[a]) | (side[a] != side[b])) & ((role[a] == 0) | (role[a] != role[b]))
-        a, b = a[meet], b[meet]
-        swap = length[a] > length[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        meet = length[b] - length[a] == (role[a] > 0)
-        a, b = a[meet], b[meet]
-        wide = length[b] > WIDE
-        same = ~wide & (role[a] == 0)
-        other = ~wide & (role[a] > 0)
-        ok = np.zeros(len(a), dtype=bool)
-        ok[same] = _one_replaced(m[place[a[same]]], m[place[b[same]]])
-        ok[other] = _one_inserted(m[place[a[other]]], m[place[b[other]]], length[a[other]])
-        ok[wide] = [_one_edit(x, y) for x, y in zip(word[a[wide]], word[b[wide]])]
-        yield a[ok], b[ok]
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ranked = np.argsort(-size, kind="stable")
+    ranked = ranked[size[ranked] > 1]
+    if not len(ranked):
+        return
+    begin, size = begin[ranked], size[ranked]
+    ends = np.cumsum(size)
+    order = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
+    run = np.repeat(np.arange(len(size)), size)
+    i, j, side, role, length = (c[order] for c in (i, j, side, role, length))
+    wide, exact, cell = length > WIDE, role == 0, i != j
+    m = _matrix([b"" if w else x for x, w in zip(word[order], wide)])
+    lanes = m.view(np.uint64)
+    any_wide, any_cell = wide.any(), cell.any()
+    for k in range(1, int(size[0])):
+        upto = int(ends[np.searchsorted(-size, -k, side="left") - 1])  # rows of runs longer than k
+        same = run[:upto - k] == run[k:upto]
+        a = np.flatnonzero(same & exact[:upto - k])
+        a = a[_one_replaced(lanes[a] ^ lanes[a + k])]
+        c = np.flatnonzero(same & ~exact[:upto - k] & (role[:upto - k] != role[k:upto]))
+        short = np.where(length[c] < length[c + k], c, c + k)
+        a = np.r_[a, c[_one_inserted(m[short], m[2 * c + k - short], length[short])]]
+        if any_wide:
+            far = np.flatnonzero(same & (wide[:upto - k] | wide[k:upto]))
+            pairs = [sorted((order[x], order[x + k]), key=lambda r: len(word[r])) for x in far]
+            meets = [len(word[y]) - len(word[x]) == (0 if exact[r] else 1) and _one_edit(word[x], word[y])
+                     for r, (x, y) in zip(far, pairs)]
+            a = np.r_[np.setdiff1d(a, far), far[np.array(meets, dtype=bool)]]
+        if any_cell:  # rows of one part meet in the part's own cell
+            a = a[~cell[a] | (side[a] != side[a + k])]
+        if len(a):
+            yield order[a], order[a + k]
+
+
+PAIR = "key bigint, word binary, n bigint, other binary, other_n bigint"
+
+
+def _verifier(crowd: int | None):
     """Both directions (word, n, other, other_n) of the words one edit apart
-    among those that share a signature and a grid cell."""
-    for cols in sorted_runs(batches, 3):
-        word, n = cols[6], cols[7]
-        for a, b in _near(cols):
-            if len(a):
+    among those that share a signature and a grid cell. Runs of more than
+    ``crowd`` words are passed over and their ``key`` reported."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in sorted_runs(batches, 3, crowd, 1 << 16):
+            key, word, n = cols[0], cols[6], cols[7]
+            if crowd is not None:
+                values, back, count = np.unique(key, return_inverse=True, return_counts=True)
+                full = values[count > crowd]
+                if len(full):
+                    none = pa.nulls(len(full), pa.binary()), pa.nulls(len(full), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(full), *none, *none], ["key", "word", "n", "other", "other_n"])
+                    keep = count[back] <= crowd
+                    cols = [c[keep] for c in cols]
+                    word, n = cols[6], cols[7]
+                    if not len(word):
+                        continue
+            found = list(_near(cols))
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
                 u, v = np.r_[a, b], np.r_[b, a]
-                yield pa.RecordBatch.from_arrays([pa.array(word[u], pa.string()), pa.array(n[u]),
-                                                  pa.array(word[v], pa.string()), pa.array(n[v])],
-                                                 ["word", "n", "other", "other_n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(u), pa.int64()), pa.array(word[u], pa.binary()), pa.array(n[u]),
+                     pa.array(word[v], pa.binary()), pa.array(n[v])], ["key", "word", "n", "other", "other_n"])
+    return run
 
 
 def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -220,26 +238,28 @@ def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     directions, each once. Words are of Latin-1 letters."""
     # dealt out: every word becomes 23 rows
     words = words.repartition(partitions(words), "word")
-    signed = map_arrow(words, _signed, "key bigint, role tinyint, length bigint, word string, n bigint")
-    # signatures are first counted by a slot of several, so that few are counted one by one
-    slots = max(1 << 16, words.count() // 4)
-    slot = F.pmod(F.col("key"), F.lit(slots))
-    full = cut(signed.groupBy(slot.alias("_slot")).count().where(F.col("count") > crowd).select("_slot"))
-    counted = signed.withColumn("_slot", slot).join(broadcast_up_to(full), "_slot", "left_semi").groupBy("key").count()
-    crowded = cut(counted.where(F.col("count") > crowd)
-                  .select("key", F.ceil(F.col("count") / crowd).cast("int").alias("_parts")))
-    own = F.pmod(F.xxhash64("word"), F.col("_parts"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
-                        lambda k: F.struct(F.least(own, k).cast("int").alias("i"), F.greatest(own, k).cast("int").alias("j"),
-                                           (own <= k).alias("side")))
-    alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(True).alias("side")))
-    dealt = (signed.join(broadcast_up_to(crowded), "key", "left")
-             .select("key", "role", "length", "word", "n",
-                     F.explode(F.when(F.col("_parts").isNull(), alone).otherwise(cells)).alias("c"))
-             .select("key", "c.i", "c.j", "c.side", "role", "length", "word", "n"))
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = map_arrow(dealt, _verify, "word string, n bigint, other string, other_n bigint")
-    return found.groupBy("word", "other").agg(F.first("n").alias("n"), F.first("other_n").alias("other_n"))
+    signed = map_arrow(words, _signed, "key bigint, role tinyint, length bigint, word binary, n bigint")
+
+    def verified(rows, most):
+        dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return map_arrow(dealt.select("key", "i", "j", "side", "role", "length", "word", "n"), _verifier(most), PAIR)
+    whole = signed.withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(True)})
+    first = cut(verified(whole, crowd).groupBy("key", "word", "other")
+                .agg(F.first("n").alias("n"), F.first("other_n").alias("other_n")))
+    found = first.where(F.col("key").isNull())
+    crowded = cut(first.where(F.col("key").isNotNull()).select("key"))
+    if crowded.limit(1).count():
+        rows = signed.join(broadcast_up_to(crowded), "key", "left_semi")
+        counted = cut(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / crowd).cast("int").alias("_parts")))
+        own = F.pmod(F.xxhash64("word"), F.col("_parts"))
+        cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
+                            lambda k: F.struct(F.least(own, k).cast("int").alias("i"), F.greatest(own, k).cast("int").alias("j"),
+                                               (own <= k).alias("side")))
+        dealt = rows.join(broadcast_up_to(counted), "key").withColumn("c", F.explode(cells)).select("*", "c.i", "c.j", "c.side")
+        found = found.unionByName(verified(dealt, None).drop("key").withColumn("key", F.lit(None).cast("bigint")))
+        found = found.groupBy("word", "other").agg(F.first("n").alias("n"), F.first("other_n").alias("other_n"))
+    plain = [F.decode(c, "ISO-8859-1").alias(c) for c in ("word", "other")]
+    return found.select(plain[0], "n", plain[1], "other_n")
 
 
 def variants(docs: DataFrame, min_length: int = 7, min_count: int = 2, factor: int = 10, edit: Edit | None = None,

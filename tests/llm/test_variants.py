@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from histdim.llm import variants
+from histdim.llm.common import sorted_runs
 
 
 def words_of(rows, edit=True):
@@ -101,7 +102,8 @@ def brute_plain(rows):
 def test_signatures_agree_for_words_one_edit_apart():
     rnd, words = vocabulary(9, 60)
     words = sorted({w for w in words if len(w) >= 5})
-    m, length = variants._matrix(pa.array(words))
+    m = variants._matrix([w.encode("latin-1") for w in words])
+    length = np.array([len(w) for w in words])
     same = [np.array(s) for s in variants._signatures(m, length, 6, 2)]
     longer = [np.array(s) for s in variants._signatures(m, length + 1, 4, 1)]
     shorter = [np.array(s) for s in variants._signatures(m, length, 4, 1)]
@@ -113,6 +115,29 @@ def test_signatures_agree_for_words_one_edit_apart():
                 assert any(s[a] == t[b] for s, t in zip(longer, shorter))
 
 
+@pytest.mark.parametrize("most", [None, 3, 50])
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_sorted_runs_hold_what_they_must(most, block):
+    rnd = random.Random(3)
+    keys = sorted(rnd.choice((1, 2, 3, 5, 8, 9)) for _ in range(400))
+    batches, at = [], 0
+    while at < len(keys):
+        n = rnd.randrange(0, 60)
+        batches.append(pa.record_batch({"k": keys[at:at + n], "v": list(range(at, min(len(keys), at + n)))}))
+        at += n
+    seen = {}
+    for k, v in sorted_runs(iter(batches), 1, most, block):
+        for key in np.unique(k):
+            assert key not in seen  # a run comes whole
+            seen[key] = v[k == key].tolist()
+    for key in set(keys):
+        rows = [r for r, k in enumerate(keys) if k == key]
+        if most is None or len(rows) <= most:
+            assert seen[key] == rows
+        else:
+            assert most < len(seen[key]) and seen[key] == rows[:len(seen[key])] or set(seen[key]) <= set(rows)
+
+
 def test_odd_rows_and_empty_table(odd_docs, make_docs):
     assert variants.variants(odd_docs).columns == ["word", "n", "n_near", "form", "form_n", "root"]
     assert variants.variants(odd_docs).count() == 0  # no word of seven letters
