@@ -23,6 +23,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidy(df: DataFrame) -> None:
+    """Collect the driver's garbage between the rounds of a long operator:
+    Spark's cleaner removes the shuffles, broadcasts and checkpoints of finished
+    rounds only once the driver's references to them have been collected."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_up_to, cut, map_arrow, partitions, sorted_runs
+from .common import broadcast_up_to, cut, map_arrow, partitions, sorted_runs, tidy
 
 TREES = 24
 DEPTH = 5            # values that neighbours share at least
@@ -281,10 +281,10 @@ def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
     ``links`` (u, v) connect. In each round a node and its root are offered the
     root's root of every neighbour, and of the node itself, and take the least;
     paths shrink to stars in a few rounds, each a minimum by node."""
-    both = cut(links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     while True:
         above = labels.select(F.col("sh").alias("root"), F.col("root").alias("_top"))
-        known = labels.join(above, "root")
+        known = cut(labels.join(above, "root"))
         near = (both.join(known.select(F.col("sh").alias("v"), F.col("_top").alias("_far")), "v")
                 .join(known.select(F.col("sh").alias("u"), F.col("root").alias("_own")), "u"))
         offer = F.explode(F.array(F.struct(F.col("u").alias("sh"), "_far"), F.struct(F.col("_own").alias("sh"), "_far")))
@@ -307,7 +307,11 @@ def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crow
                  .withColumn("root", F.col("sh")))
 
     def settle(pairs, labels):
-        return _connected(labels, confirmed(pairs, nodes, docs, width, threshold, text_col))
+        found = cut(confirmed(pairs, nodes, docs, width, threshold, text_col))
+        tidy(docs)
+        labels = _connected(labels, found)
+        tidy(docs)
+        return labels
 
     tried = cut(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
     labels = settle(tried, labels)
