@@ -23,14 +23,21 @@ from histdim import (apply_changes, as_of, bail_rates, build_fact, cohorts, cons
                      cumulate, cumulate_range, debut_load, dedup_details, duplicate_report,
                      fact_with_teams, films_as_of, scd2_backfill, snapshot, stage_changes,
                      transitions, trend, versions_at, with_film_rows, year_feed)
+from histdim.operators.paths import but, one, paths  # noqa: E402
+from histdim.operators.ranges import backfill_by_ranges  # noqa: E402
+from histdim.operators.scd2 import yearly_snapshots  # noqa: E402
+from histdim.operators.splice import corrected  # noqa: E402
 from histdim.plans import contracts  # noqa: E402
+from histdim.plans.bucketed import publish_state, read_state  # noqa: E402
+from histdim.plans.corrections import publish_correction  # noqa: E402
+from histdim.plans.loads import publish_fact_load, read_bail_rates  # noqa: E402
 from histdim.plans.publish import (append, insert_absent, publish_actors, publish_backfill,  # noqa: E402
                                    publish_fact, publish_increment, write_table)
 from histdim.plans.staging import stage  # noqa: E402
-from histdim.schemas import ACTOR_FILMS, ACTORS, FACT_KEY  # noqa: E402
+from histdim.schemas import ACTOR_FILMS, ACTORS, ACTORS_HISTORY_SCD, FACT_KEY  # noqa: E402
 from histdim.session import ensure_checkpoint_dir  # noqa: E402
 from histdim.sources import fixtures as fx  # noqa: E402
-from histdim.sources import tables  # noqa: E402
+from histdim.sources import manifest, tables  # noqa: E402
 from histdim.sources.oracle_sql import oracle_queries  # noqa: E402
 
 # Parameters of the test window (the driver's orders span 1995-2001; the
@@ -84,6 +91,14 @@ def _cumulate_fold(spark, d):
     return with_film_rows(state)
 
 
+def _cumulate_bucketed(spark, d):
+    """J3 as yearly jobs on a state that is kept in buckets."""
+    path, films = _place(spark, "state"), _films(spark, d)
+    for year in range(LO, HI + 1):
+        publish_state(spark, path, films, year)
+    return with_film_rows(read_state(spark, path))
+
+
 def _insert_absent(spark, d):
     films = _films(spark, d)
     loaded = debut_load(films, LO, HI - 1)
@@ -126,6 +141,66 @@ def _increment_published(spark, d):
     return tables.read_scd(spark, path)
 
 
+def _late(films, *years):
+    """Whether a film came late: one in three of the actors' films of ``years``."""
+    return F.col("year").isin(*years) & (F.col("actorid").cast("long") % 3 == 0)
+
+
+def _known_before(spark, d):
+    """K1 on both axes: the versions of the last year, as known before and
+    after the increment that extends, ends or adds to them."""
+    path, films = _place(spark, "scd"), _films(spark, d)
+    publish_backfill(scd2_backfill(films, LO, HI), path, HI)
+    first = manifest.current(spark, path)["number"]
+    publish_increment(spark, path, year_feed(films, NEXT), HI, NEXT)
+    before, after = tables.scd_as_of(spark, path, HI, first), tables.scd_as_of(spark, path, HI, first + 1)
+    return before.withColumn("known", F.lit("before")).unionByName(after.withColumn("known", F.lit("after")))
+
+
+def _quarantined_versions(spark, d):
+    """B2 in flight: versions whose class is misspelt are held back while the
+    others are published; the two are told apart by ``live``."""
+    path = _place(spark, "scd")
+    bad = F.when(F.col("start_year") % 2 == 0, F.upper("quality_class")).otherwise(F.col("quality_class"))
+    publish_backfill(_scd(spark, d).withColumn("quality_class", bad), path, HI, quarantine=True)
+    held = manifest.read_quarantine(spark, path, ACTORS_HISTORY_SCD)
+    return (tables.read_scd(spark, path).withColumn("live", F.lit(True))
+            .unionByName(held.withColumn("live", F.lit(False))))
+
+
+def _year_states(films, *years):
+    return yearly_snapshots(films, min(years), max(years)).where(F.col("year").isin(*years))
+
+
+def _scd_corrected(spark, d):
+    """J6 for years already loaded: a backfill without the late films, then
+    the states of their actors in those years spliced in."""
+    films = _films(spark, d)
+    early = films.where(~_late(films, 1997, 1999))
+    feed = _year_states(films.where(F.col("actorid").cast("long") % 3 == 0), 1997, 1999)
+    return corrected(scd2_backfill(early, LO, HI), feed, early.select("actorid", "year"), HI)
+
+
+def _correction_published(spark, d):
+    """The same at rest, year by year and the later year first."""
+    path, films = _place(spark, "scd"), _films(spark, d)
+    publish_backfill(scd2_backfill(films.where(~_late(films, 1997, 1999)), LO, HI), path, HI)
+    own = films.where(F.col("actorid").cast("long") % 3 == 0)
+    publish_correction(spark, path, _year_states(own, 1999), films.where(~_late(films, 1997, 1999)))
+    publish_correction(spark, path, _year_states(own, 1997), films.where(~_late(films, 1997)))
+    return tables.read_scd(spark, path)
+
+
+def _load_facts(spark, d):
+    """J9 / B7 in two loads: duplicates of a grain come in different loads,
+    and the first one lacks a part of the games."""
+    path, log, games = _place(spark, "fact"), fx.game_details(spark, d), fx.games(spark, d)
+    early = F.pmod(F.xxhash64(*log.columns), F.lit(3)) > 0
+    publish_fact_load(spark, path, log.where(early), games.where("game_id % 7 <> 0"))
+    publish_fact_load(spark, path, log.where(~early), games)
+    return path
+
+
 def _fact_at_rest(spark, d):
     path = _place(spark, "fact")
     publish_fact(_fact(spark, d), path, enforce_key=False)
@@ -177,13 +252,12 @@ def _snapshot_feed(films):
 
 def _llm_queries() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators; none where that
-    subpackage (with corpus_pipeline.py) is not installed."""
+    subpackage (with corpus_pipeline.py) or a library that it needs is not
+    installed."""
     try:
         import corpus_pipeline
         from histdim.llm.queries import ORACLE, QUERIES
-    except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline" and not str(e.name).startswith("histdim.llm"):
-            raise
+    except ImportError:
         return {}, {}
     sql = dict(ORACLE)
     if corpus_pipeline.ORACLE_SQL:
@@ -203,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_1998": lambda s, d: with_film_rows(snapshot(_films(s, d), AS_OF)),
         "debut_load": lambda s, d: with_film_rows(debut_load(_films(s, d), LO, HI)),
         "cumulate_fold": _cumulate_fold,
+        "cumulate_bucketed": _cumulate_bucketed,
         "cumulate_range": lambda s, d: with_film_rows(cumulate_range(_films(s, d), LO, HI)),
         "insert_absent": _insert_absent,
         # SCD2 (J4, J4b, J5, J6)
@@ -216,6 +291,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apply_changes": _apply(_debut_feed),
         "apply_changes_active": _apply(_active_feed),
         "apply_changes_snapshot": _apply(_snapshot_feed),
+        "scd2_by_ranges": lambda s, d: backfill_by_ranges(_films(s, d), [(LO, 1996), (1997, 1998), (1999, HI)]),
+        "scd_corrected": _scd_corrected,
         # analyses (K1-K6)
         "as_of_1998": lambda s, d: as_of(_scd(s, d), AS_OF),
         "transitions": lambda s, d: transitions(_scd(s, d)),
@@ -223,6 +300,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "consistent_bad_dense": lambda s, d: consistent(
             scd2_backfill(_films(s, d), LO, HI, years="dense"), "bad", *CONSISTENT_SPAN),
         "cohorts": lambda s, d: cohorts(_scd(s, d)),
+        "paths_to_star": lambda s, d: paths(_scd(s, d), (one("average"), but("bad"), one("star")), within=3),
+        "known_before": _known_before,
         "trend": lambda s, d: trend(_scd(s, d)),
         "films_as_of": lambda s, d: films_as_of(_films(s, d), FILMS_YEAR),
         "film_versions": _film_versions,
@@ -238,11 +317,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "name_violations": _name_violations,
         "overlap_violations": _overlap_violations,
         "domain_violations": _domain_violations,
+        "quarantined_versions": _quarantined_versions,
         # tables at rest
         "actors_at_rest": _actors_at_rest,
         "open_versions_at_rest": _open_versions_at_rest,
         "increment_published": _increment_published,
+        "correction_published": _correction_published,
         "fact_at_rest": _fact_at_rest,
+        "fact_loaded": lambda s, d: tables.read_fact(s, _load_facts(s, d)),
+        "bail_rates_maintained": lambda s, d: read_bail_rates(s, _load_facts(s, d)),
         "films_at_rest": _films_at_rest,
         "films_per_year": _films_per_year,
     }

@@ -21,15 +21,29 @@ def fact_with_teams(fact: DataFrame, teams: DataFrame) -> DataFrame:
     return joined.select(*[teams[c] for c in teams.columns], *[fact[c] for c in fact.columns])
 
 
+def bail_counts(fact: DataFrame, *by: str) -> DataFrame:
+    """The mergeable part of J11: games and games not with team by ``by``."""
+    return fact.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("num_games"),
+        F.count(F.when(F.col("dim_not_with_team"), F.lit(1))).alias("bailed_num"))
+
+
+def bail_rates_of(counts: DataFrame, by: str = "dim_player_name") -> DataFrame:
+    """J11 from its counts, which may be of parts of the fact."""
+    agg = counts.groupBy(by).agg(F.sum("num_games").alias("num_games"), F.sum("bailed_num").alias("bailed_num"))
+    return _ranked(agg, by)
+
+
+def _ranked(counts: DataFrame, by: str) -> DataFrame:
+    out = counts.withColumn("bail_pct", F.col("bailed_num").cast("float") / F.col("num_games"))
+    return out.orderBy(F.col("bail_pct").desc_nulls_first(), F.col(by).asc_nulls_last())
+
+
 def bail_rates(fact: DataFrame, by: str = "dim_player_name") -> DataFrame:
     """Games, games not with team, and their ratio per player, highest
     ratio first (E4-E6, G1). Grouped by name as in the reference (namesakes
     merge, S24); ``by='dim_player_id'`` groups by id instead."""
-    agg = fact.groupBy(by).agg(
-        F.count(F.lit(1)).alias("num_games"),
-        F.count(F.when(F.col("dim_not_with_team"), F.lit(1))).alias("bailed_num"))
-    out = agg.withColumn("bail_pct", F.col("bailed_num").cast("float") / F.col("num_games"))
-    return out.orderBy(F.col("bail_pct").desc_nulls_first(), F.col(by).asc_nulls_last())
+    return _ranked(bail_counts(fact, by), by)
 
 
 def as_of(scd: DataFrame, year: int) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import quality_class
 from ..schemas import ACTORS, conform
-from .names import one_name
+from .names import merged_name, one_name
 
 
 def films_array(year: Column | None = None) -> Column:
@@ -113,7 +113,8 @@ def cumulate(prev: DataFrame, films: DataFrame, year: int, names: str = "error")
 
     With films in ``year``: class from that year's average, ``is_active``
     true, the year's films (by filmid) in front of the previous array.
-    Without: previous class and films, ``is_active`` false.
+    Without: previous class and films, ``is_active`` false. The name policy
+    holds over the state and the year's films alike, as in ``cumulate_range``.
     """
     this = _state(films.where(F.col("year") == F.lit(year)), F.lit(year), names).alias("t")
     last = prev.select("actorid", "actor", "films", "quality_class").alias("p")
@@ -122,7 +123,7 @@ def cumulate(prev: DataFrame, films: DataFrame, year: int, names: str = "error")
     empty = F.array().cast(ACTORS["films"].dataType)
     out = joined.select(
         F.coalesce(F.col("t.actorid"), F.col("p.actorid")).alias("actorid"),
-        F.coalesce(F.col("t.actor"), F.col("p.actor")).alias("actor"),
+        merged_name(names, "actorid", F.col("t.actor"), F.col("p.actor"), seen & F.col("p.actorid").isNotNull()).alias("actor"),
         F.concat(F.coalesce(F.col("t.films"), empty), F.coalesce(F.col("p.films"), empty)).alias("films"),
         F.when(seen, F.col("t.quality_class")).otherwise(F.col("p.quality_class")).alias("quality_class"),
         seen.alias("is_active"),

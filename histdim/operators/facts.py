@@ -3,12 +3,10 @@
 The reference joins the log to ``games`` and keeps the first row per grain
 (game_id, team_id, player_id) ordered by game date. Every row of a grain has
 the same game_id, so the join partner is the same game for all of them: the
-survivor is (first version of the game) x (first detail row of the grain).
-The log is therefore shuffled once, by the game and a salt taken from the rest
-of the grain: its top-1 per grain runs inside those partitions, and so does
-the join with the games, which are repeated once per salt. A game that holds a
-third of the log is dealt over all salts. A total tie-break over all columns
-makes the survivor the same on every run (S11).
+survivor is (first version of the game) x (first detail row of the grain). The
+log is shuffled once, by its whole grain, which deals a hot game over its teams
+and players, and only survivors meet the games. A total tie-break over all
+columns makes the survivor the same on every run (S11).
 """
 
 from __future__ import annotations
@@ -19,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import COMMENT_MARKERS, comment_flag, is_home, minutes
-from ..plans.skew import SALT, repeated, salt_of
 from ..schemas import FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAILS, GAMES, conform
 
 DETAIL_GRAIN = ("game_id", "team_id", "player_id")
@@ -56,35 +53,40 @@ def detail_tiebreak() -> list[str]:
     return [f.name for f in GAME_DETAILS.fields if f.name not in DETAIL_GRAIN]
 
 
+def first_games(games: DataFrame) -> DataFrame:
+    """The first version of every game. The window's key has a part that
+    follows from the id: a join by id alone then meets a plain shuffle of this
+    side, which lets the planner split a hot game on the other one."""
+    apart = games.withColumn("_apart", F.pmod(F.xxhash64("game_id"), F.lit(2)))
+    return dedup(apart, ["game_id", "_apart"], list(GAME_COLUMNS)).select("game_id", *GAME_COLUMNS)
+
+
 def dedup_details(details: DataFrame, games: DataFrame, game_date=None,
                   season: int | None = None) -> DataFrame:
     """The reference's ``deduped`` relation: game columns then the log's, one
     row per grain, details without a game dropped (inner join, S13).
 
     ``game_date`` / ``season`` filter the games first, as the reference does
-    before its ROW_NUMBER (C18); a semi join with the games left then keeps
-    the log's other rows out of the shuffle's sort and window.
+    before its ROW_NUMBER (C18); a semi join with the ids of the games left,
+    straight from their scan, then drops the log's other rows before any
+    shuffle: by broadcast below the session's threshold, beyond it by the
+    planner's runtime Bloom filter.
     """
     g = conform(games, GAMES)
+    log = conform(details, GAME_DETAILS)
     if game_date is not None:
         g = g.where(F.col("game_date_est") == F.lit(game_date).cast("date"))
     if season is not None:
         g = g.where(F.col("season") == F.lit(season))
-    log = conform(details, GAME_DETAILS).withColumn(SALT, salt_of(("team_id", "player_id")))
-    log = log.repartition("game_id", SALT)
-    first_game = repeated(dedup(g, ["game_id"], list(GAME_COLUMNS)))
     if game_date is not None or season is not None:
-        log = log.join(first_game.select("game_id", SALT), ["game_id", SALT], "left_semi")
-    grain = ["game_id", SALT, *(c for c in DETAIL_GRAIN if c != "game_id")]
-    first_detail = dedup(log, grain, detail_tiebreak())
-    joined = first_detail.join(first_game, ["game_id", SALT])
+        log = log.join(g.select("game_id"), "game_id", "left_semi")
+    joined = dedup(log, DETAIL_GRAIN, detail_tiebreak()).join(first_games(g), "game_id")
     return joined.select(*GAME_COLUMNS, *[f.name for f in GAME_DETAILS.fields])
 
 
-def to_fact(deduped: DataFrame, on_malformed: str = "error") -> DataFrame:
-    """C2 + C8 + I10 + I11: rename to ``dim_`` / ``m_`` and parse text columns."""
-    measures = [F.col(src).alias(dst) for src, dst in FACT_MEASURE_NAMES.items()]
-    out = deduped.select(
+def fact_columns(on_malformed: str = "error") -> list[Column]:
+    """The fact's columns from those of ``dedup_details``: C2 + C8 + I10 + I11."""
+    return [
         F.col("game_date_est").alias("dim_game_date"),
         F.col("season").alias("dim_season"),
         F.col("team_id").alias("dim_team_id"),
@@ -94,9 +96,13 @@ def to_fact(deduped: DataFrame, on_malformed: str = "error") -> DataFrame:
         is_home("team_id", "home_team_id").alias("dim_is_playing_at_home"),
         *[comment_flag("comment", marker).alias(flag) for flag, marker in COMMENT_MARKERS.items()],
         minutes("min", on_malformed).alias("m_min"),
-        *measures,
-    )
-    return conform(out, FCT_GAME_DETAILS)
+        *[F.col(src).alias(dst) for src, dst in FACT_MEASURE_NAMES.items()],
+    ]
+
+
+def to_fact(deduped: DataFrame, on_malformed: str = "error") -> DataFrame:
+    """C2 + C8 + I10 + I11: rename to ``dim_`` / ``m_`` and parse text columns."""
+    return conform(deduped.select(*fact_columns(on_malformed)), FCT_GAME_DETAILS)
 
 
 def build_fact(details: DataFrame, games: DataFrame, game_date=None, season: int | None = None,

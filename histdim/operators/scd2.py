@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import change_type, changed_from_prev, quality_class
 from ..schemas import ACTORS_HISTORY_SCD, CHANGES_STAGING, conform
-from .names import one_name
+from .names import one_name, same_name
 
 _TRACKED = ("quality_class", "is_active")
 
@@ -70,7 +70,7 @@ def collapse_streaks(snaps: DataFrame, current_year: int, names: str = "error")
     version per streak with its first and last year (E7, E12). An actor's
     years share one name, under the policy ``names``."""
     w = Window.partitionBy("actorid").orderBy("year")
-    named = one_name(names, "actorid", "actor", F.col("year"), over=Window.partitionBy("actorid"))
+    named = same_name(names, "actorid", "actor", w, w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     flagged = snaps.withColumn("actor", named).withColumn("_chg", changed_from_prev(_TRACKED, w))
     streaks = flagged.withColumn("_streak", F.sum("_chg").over(w))
     versions = (streaks.groupBy("actorid", "actor", "quality_class", "is_active", "_streak")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ACTOR_FILMS_KEY, QUALITY_CLASSES
@@ -45,14 +45,42 @@ def name_violations(df: DataFrame, key: str = "actorid", name: str = "actor") ->
 
 def overlap_violations(scd: DataFrame) -> DataFrame:
     """Versions of one actor that start before an earlier one has ended (any
-    earlier one, not just the last), or end before they start."""
+    earlier one, not just the last), or end before they start. A NULL end is open."""
     w = (Window.partitionBy("actorid").orderBy("start_year", "end_year")
          .rowsBetween(Window.unboundedPreceding, -1))
-    return (scd.withColumn("_prev_end", F.max("end_year").over(w))
+    return (scd.withColumn("_prev_end", F.max(F.coalesce("end_year", F.lit(2 ** 31 - 1))).over(w))
             .where((F.col("_prev_end") >= F.col("start_year")) | (F.col("end_year") < F.col("start_year")))
             .drop("_prev_end"))
 
 
+Rules = dict[str, Column]
+
+
+def domain_rule(column: str, values: Sequence[str] = QUALITY_CLASSES) -> Rules:
+    """B2 as a row rule: true where ``column`` is outside ``values``."""
+    return {f"{column} outside {tuple(values)}": F.col(column).isNotNull() & ~F.col(column).isin(*values)}
+
+
+def key_rule(key: Sequence[str]) -> Rules:
+    """The NULL half of B12 as a row rule."""
+    null = F.lit(False)
+    for k in key:
+        null = null | F.col(k).isNull()
+    return {f"key {tuple(key)} NULL": null}
+
+
+def interval_rule(start: str = "start_year", end: str = "end_year") -> Rules:
+    return {f"{end} before {start}": F.col(end) < F.col(start)}
+
+
+def broken(rules: Rules) -> Column:
+    """Whether a row breaks any of ``rules``; an unknown test breaks none."""
+    out = F.lit(False)
+    for rule in rules.values():
+        out = out | F.coalesce(rule, F.lit(False))
+    return out
+
+
 def _raise_if_any(df: DataFrame, what: str, sample: int = 5) -> None:
     rows = df.limit(sample).collect()
     if rows:

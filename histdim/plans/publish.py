@@ -21,7 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,12 +73,30 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: Sequence[str], uniqu
 
 # ------------------------------------------------------------------ publish
 
-def _load(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> dict[str, str]:
-    """Write ``df`` as a load of its own; the folders it filled."""
-    tag = uuid.uuid4().hex
-    (conform(df, schema).withColumn(manifest.LOAD, F.lit(tag))
-     .write.mode("append").partitionBy(*partition_by, manifest.LOAD).parquet(path))
-    return manifest.written(df.sparkSession, path, tag, len(partition_by))
+def _load(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str],
+          rules: contracts.Rules | None = None, quarantine: bool = False) -> dict[str, str]:
+    """Write ``df`` as a load of its own; the folders it filled.
+
+    Rows that break a rule are counted while they are written (an
+    ``Observation`` of the same job). They fail the load, or with
+    ``quarantine`` go to folders of their own beside it, which become the
+    table's quarantine."""
+    spark, tag, rules = df.sparkSession, uuid.uuid4().hex, rules or {}
+    rows = conform(df, schema)
+    metrics = Observation()
+    if rules:
+        rows = rows.observe(metrics, *[F.count_if(F.coalesce(r, F.lit(False))).alias(f"r{k}")
+                                       for k, r in enumerate(rules.values())])
+    held = F.when(contracts.broken(rules), F.lit(f"{tag}-held")).otherwise(tag) if quarantine else F.lit(tag)
+    rows.withColumn(manifest.LOAD, held).write.mode("append").partitionBy(*partition_by, manifest.LOAD).parquet(path)
+    found = {name: metrics.get[f"r{k}"] for k, name in enumerate(rules)} if rules else {}
+    found = {name: n for name, n in found.items() if n}
+    if found and not quarantine:
+        raise contracts.ContractError("; ".join(f"{name}: {n} rows" for name, n in found.items()))
+    if quarantine:
+        manifest.commit(spark, manifest.quarantine_path(path),
+                        manifest.written(spark, path, f"{tag}-held", len(partition_by)), None)
+    return manifest.written(spark, path, tag, len(partition_by))
 
 
 def _read_folders(spark: SparkSession, path: str, folders: dict[str, str], schema: T.StructType) -> DataFrame:
@@ -90,38 +108,48 @@ def _read_folders(spark: SparkSession, path: str, folders: dict[str, str], schem
 
 
 def publish(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
-            checks: Sequence[Check] = (), year: int | None = None) -> None:
-    """Write a load, run ``checks`` (callables on the written rows
-    that raise), then make it the whole table."""
+            checks: Sequence[Check] = (), year: int | None = None, rules: contracts.Rules | None = None,
+            quarantine: bool = False) -> None:
+    """Write a load, test its rows by ``rules`` meanwhile (see
+    ``_load``), run ``checks`` (callables on the written rows that raise), then
+    make it the whole table."""
     spark = df.sparkSession
-    folders = _load(df, path, schema, partition_by)
+    live = manifest.current(spark, path)
+    folders = _load(df, path, schema, partition_by, rules, quarantine)
     staged = _read_folders(spark, path, folders, schema)
     for check in checks:
         check(staged)
-    manifest.commit(spark, path, folders, year)
+    manifest.commit(spark, path, folders, year, live)
+
+
+def scd_rules() -> contracts.Rules:
+    """What a row of a history must hold by itself."""
+    return {**contracts.key_rule(SCD_KEY), **contracts.domain_rule("quality_class"), **contracts.interval_rule()}
+
+
+def actors_rules() -> contracts.Rules:
+    return {**contracts.key_rule(ACTORS_KEY), **contracts.domain_rule("quality_class")}
 
 
 def scd_checks(df: DataFrame) -> None:
-    """Key, class domain (B2) and intervals of an SCD."""
-    contracts.assert_key(df, SCD_KEY)
-    contracts.assert_domain(df, "quality_class")
+    """What takes a scan of the load: a version that starts before an earlier
+    one of its actor has ended, which a repeated key does, too."""
     contracts.assert_no_overlap(df)
 
 
 def actors_checks(df: DataFrame) -> None:
-    """Key and class domain (B2) of the current-state dimension."""
+    """Key of the current-state dimension."""
     contracts.assert_key(df, ACTORS_KEY)
-    contracts.assert_domain(df, "quality_class")
 
 
-def publish_backfill(scd: DataFrame, path: str, year: int) -> None:
+def publish_backfill(scd: DataFrame, path: str, year: int, quarantine: bool = False) -> None:
     """Full SCD rebuild up to ``year``, partitioned by ``end_year``."""
-    publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], [scd_checks], year)
+    publish(scd, path, ACTORS_HISTORY_SCD, ["end_year"], [scd_checks], year, scd_rules(), quarantine)
 
 
-def publish_actors(actors: DataFrame, path: str, year: int | None = None) -> None:
+def publish_actors(actors: DataFrame, path: str, year: int | None = None, quarantine: bool = False) -> None:
     """The ``actors`` table of a debut load or any other state."""
-    publish(actors, path, ACTORS, (), [actors_checks], year)
+    publish(actors, path, ACTORS, (), [actors_checks], year, actors_rules(), quarantine)
 
 
 def publish_cumulative(spark: SparkSession, path: str, films: DataFrame, year: int) -> None:
@@ -161,12 +189,14 @@ def publish_increment(spark: SparkSession, path: str, feed: DataFrame, last: int
     else:
         contracts.assert_next_year(newest, next_year)
     changes = stage(stage_changes(scd, feed, last, null_safe))
-    contracts.assert_domain(changes, "change_type", CHANGE_TYPES)
-    touched = apply_changes(scd, changes, last, next_year, touched_only=True)
-    folders = _load(touched, path, ACTORS_HISTORY_SCD, ["end_year"])
-    scd_checks(_read_folders(spark, path, folders, ACTORS_HISTORY_SCD))
     counts = {r["change_type"]: r["n"] for r in
               changes.groupBy("change_type").agg(F.count(F.lit(1)).alias("n")).collect()}
-    kept = {k: v for k, v in live["folders"].items() if k not in (f"end_year={last}", f"end_year={next_year}")}
-    manifest.commit(spark, path, {**kept, **folders}, next_year)
+    if not set(counts) <= set(CHANGE_TYPES):
+        raise contracts.ContractError(f"change_type outside {CHANGE_TYPES}: {sorted(map(str, counts))}")
+    touched = apply_changes(scd, changes, last, next_year, touched_only=True)
+    folders = _load(touched, path, ACTORS_HISTORY_SCD, ["end_year"], scd_rules())
+    scd_checks(_read_folders(spark, path, folders, ACTORS_HISTORY_SCD))
+    touched = {f"end_year={last}", f"end_year={next_year}"}
+    kept = {k: v for k, v in live["folders"].items() if k not in touched}
+    manifest.commit(spark, path, {**kept, **folders}, next_year, live, touched)
     return counts

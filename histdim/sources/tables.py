@@ -9,6 +9,8 @@ filters on a partition column of the stored table prune directories.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,16 @@ def read_scd(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, ACTORS_HISTORY_SCD)
 
 
+def scd_as_of(spark: SparkSession, path: str, valid_year: int, number: int | None = None,
+              at: datetime | None = None) -> DataFrame:
+    """K1 / B14 on both time axes: the versions valid in ``valid_year`` as the
+    table told them when manifest ``number``, or the newest one up to the time
+    ``at``, was live. ``manifest.vacuum`` keeps what its retention covers."""
+    year = F.lit(valid_year)
+    return (manifest.read(spark, path, ACTORS_HISTORY_SCD, number, at)
+            .where((F.col("end_year") >= year) & (F.col("start_year") <= year)))
+
+
 def read_open(spark: SparkSession, path: str, last: int) -> DataFrame:
     """A3: versions open at ``last``; prunes to the ``end_year=last`` folder."""
     return read_scd(spark, path).where((F.col("end_year") == F.lit(last))

@@ -5,18 +5,22 @@ Structured Streaming query picks up new files and, per micro-batch, applies
 ``publish_increment`` once per year in the batch, in year order. A year may
 be split over batches: actors that the table already holds at that year are
 left out, so a further part is added and a replayed one (``foreachBatch`` is
-at-least-once) changes nothing. A year older than the table's newest, or one
-that leaves a gap, raises an error instead of being skipped.
+at-least-once) changes nothing. A year older than the table's newest is spliced
+in where the stream is told which years have films (``observed``), and raises an
+error else; so does a year that leaves a gap, or a table not yet published.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.analytics import as_of
 from ..plans.contracts import ContractError
+from ..plans.corrections import publish_correction
 from ..plans.publish import publish_increment
 from ..sources import manifest
 from ..sources.tables import read_scd
@@ -39,17 +43,27 @@ def feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.parquet(path)
 
 
-def increment_batch(scd_path: str, null_safe: bool = False):
-    """``foreachBatch`` function: apply the batch's years to the table."""
+Observed = Callable[[SparkSession], DataFrame]
+
+
+def increment_batch(scd_path: str, null_safe: bool = False, observed: Observed | None = None):
+    """``foreachBatch`` function: apply the batch's years to the table.
+    ``observed`` gives (actorid, year) of all years with films so far."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # the distinct years of one batch: a handful of values
         years = sorted(r[0] for r in batch.select("year").distinct().collect())
-        newest = manifest.current(spark, scd_path)["year"]
+        live = manifest.current(spark, scd_path)
+        if live is None or live["year"] is None:
+            raise ContractError(f"no published history at {scd_path} to add to")
+        newest = live["year"]
         for year in years:
-            feed = batch.where(F.col("year") == F.lit(year)).drop("year")
-            if year < newest and not _holds(spark, scd_path, feed, year):
+            states = batch.where(F.col("year") == F.lit(year))
+            feed = states.drop("year")
+            if year < newest and observed is not None:
+                publish_correction(spark, scd_path, states, observed(spark))
+            elif year < newest and not _holds(spark, scd_path, feed, year):
                 raise ContractError(f"feed for {year} came after {newest} was applied")
             if year >= newest:
                 publish_increment(spark, scd_path, feed, year - 1, year, null_safe=null_safe, more=True)
@@ -66,11 +80,11 @@ def _holds(spark: SparkSession, scd_path: str, feed: DataFrame, year: int) -> bo
 
 
 def start_increments(spark: SparkSession, feed_path: str, scd_path: str, checkpoint_location: str,
-                     available_now: bool = True, null_safe: bool = False):
+                     available_now: bool = True, null_safe: bool = False, observed: Observed | None = None):
     """Start the stream; with ``available_now`` it processes the files present
     and stops (a scheduled yearly job), else it keeps watching the folder."""
     writer = (feed_stream(spark, feed_path).writeStream
-              .foreachBatch(increment_batch(scd_path, null_safe))
+              .foreachBatch(increment_batch(scd_path, null_safe, observed))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -145,3 +145,14 @@ def test_two_names_of_an_id(spark, build, other):
         build(films, "error").collect()
     got = sorted({(r.actorid, r.actor) for r in build(films, "latest").collect()}, key=str)
     assert got == [("x", other), ("y", "Y")]
+
+
+def test_a_rename_between_years_is_refused_by_the_yearly_step_too(spark):
+    films = films_df(spark, [("a", "Old", 1990, 7.0), ("a", "New", 1991, 8.5), ("b", "B", 1990, 5.0)])
+    state = cumulate(spark.createDataFrame([], ACTORS), films, 1990)
+    with pytest.raises(Exception, match="more than one actor"):
+        cumulate(state, films, 1991).collect()
+    with pytest.raises(Exception, match="more than one actor"):
+        cumulate_range(films, 1990, 1991).collect()
+    latest = {r.actorid: r.actor for r in cumulate(state, films, 1991, names="latest").collect()}
+    assert latest == {"a": "New", "b": "B"}

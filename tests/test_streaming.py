@@ -71,3 +71,21 @@ def test_a_year_split_over_batches(spark, scratch):
         batch(feed(("e", "star", 2001)), 5)
     batch(first, 6)  # a replay of a part applied in its time
     assert ("a", 1999, 2002) in versions(spark, path)
+
+
+def test_a_late_year_is_spliced_in_where_the_years_with_films_are_known(spark, scratch):
+    path = f"{scratch}/scd"
+    scd = [("a", "A", "star", True, 1997, 2000, 2000), ("b", "B", "bad", True, 2000, 2000, 2000)]
+    publish_backfill(spark.createDataFrame(scd, ACTORS_HISTORY_SCD), path, 2000)
+    seen = [("a", 1997), ("a", 2000), ("b", 2000)]
+    batch = increment_batch(path, observed=lambda s: s.createDataFrame(seen, "actorid string, year int"))
+    late = spark.createDataFrame([("a", "A", "good", True, 1998), ("b", "B", "bad", True, 1999)], FEED)
+    for _ in range(2):  # the second time it is a replay
+        batch(late, 0)
+        assert versions(spark, path) == [("a", 1997, 1997), ("a", 1998, 1998), ("a", 2000, 2000), ("b", 1999, 2000)]
+
+
+def test_a_table_that_is_not_published_is_an_error(spark, scratch):
+    feed = spark.createDataFrame([("a", "A", "good", True, 1998)], FEED)
+    with pytest.raises(ContractError, match="no published history"):
+        increment_batch(f"{scratch}/none")(feed, 0)
