@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,6 +24,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``cut``, as Parquet files in the same folder, deleted when the driver
+    ends. What a loop carries from round to round goes this way: a checkpoint
+    keeps the constraints that the planner has inferred for its rows, and these
+    multiply with every join of the table with itself."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def tidy(df: DataFrame) -> None:
     """Collect the driver's garbage between the rounds of a long operator:
     Spark's cleaner removes the shuffles, broadcasts and checkpoints of finished

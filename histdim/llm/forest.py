@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_up_to, cut, map_arrow, partitions, sorted_runs, tidy
+from .common import broadcast_up_to, map_arrow, partitions, sorted_runs, tidy, written
 
 TREES = 24
 DEPTH = 5            # values that neighbours share at least
@@ -202,12 +202,12 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, t
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["u", "v"])
 
     asked = pairs.select(F.explode(F.array("u", "v")).alias("sh")).distinct()
-    wanted = cut(nodes.join(asked, "sh", "left_semi").select("sh", "th"))
+    wanted = written(nodes.join(asked, "sh", "left_semi").select("sh", "th"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("th"), text.cast("binary").alias("_t"))
     rows = rows.join(broadcast_up_to(wanted.select("th")), "th", "left_semi")
     sets = map_arrow(rows, gather, "th bigint, set binary").groupBy("th").agg(F.first("set").alias("set"))
-    sets = cut(wanted.join(sets, "th").select("sh", "set"))
+    sets = written(wanted.join(sets, "th").select("sh", "set"))
     u, v = (sets.select(F.col("sh").alias(c), F.col("set").alias(f"s{c}")) for c in "uv")
     return map_arrow(pairs.join(u, "u").join(v, "v").select("u", "v", "su", "sv"), compare, "u bigint, v bigint")
 
@@ -264,7 +264,7 @@ def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> D
 
     grown = map_arrow(nodes.select("sh", "sig", "n_shingles", "root"), regions,
                       "region bigint, sh bigint, sig binary, n_shingles bigint, root bigint")
-    mixed = cut(grown.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_z"), F.count(F.lit(1)).alias("_n"))
+    mixed = written(grown.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_z"), F.count(F.lit(1)).alias("_n"))
                 .where("_a <> _z").select("region", F.ceil(F.col("_n") / crowd).cast("int").alias("_parts")))
     own = F.pmod(F.xxhash64("sh"), F.col("_parts"))
     cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
@@ -284,14 +284,14 @@ def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     while True:
         above = labels.select(F.col("sh").alias("root"), F.col("root").alias("_top"))
-        known = cut(labels.join(above, "root"))
+        known = written(labels.join(above, "root"))
         near = (both.join(known.select(F.col("sh").alias("v"), F.col("_top").alias("_far")), "v")
                 .join(known.select(F.col("sh").alias("u"), F.col("root").alias("_own")), "u"))
         offer = F.explode(F.array(F.struct(F.col("u").alias("sh"), "_far"), F.struct(F.col("_own").alias("sh"), "_far")))
         offers = (near.select(offer.alias("o")).select("o.sh", F.col("o._far").alias("_r"))
                   .unionByName(known.select("sh", F.col("_top").alias("_r"))))
         least = offers.groupBy("sh").agg(F.min("_r").alias("_r"))
-        moved = cut(labels.join(least, "sh").select("sh", F.least("root", "_r").alias("root"),
+        moved = written(labels.join(least, "sh").select("sh", F.least("root", "_r").alias("root"),
                                                     (F.col("_r") < F.col("root")).alias("_moved")))
         labels = moved.select("sh", "root")
         if moved.where("_moved").limit(1).count() == 0:
@@ -302,26 +302,26 @@ def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crow
              text_col: str = "text") -> DataFrame:
     """(sh, root) of every node that has a neighbour in some region, the root
     naming its component; ``nodes`` has sh, th, n_shingles, sig."""
-    near = cut(neighbours(nodes))
-    labels = cut(near.select(F.explode(F.array("u", "v")).alias("sh")).where(F.col("sh").isNotNull()).distinct()
+    near = written(neighbours(nodes))
+    labels = written(near.select(F.explode(F.array("u", "v")).alias("sh")).where(F.col("sh").isNotNull()).distinct()
                  .withColumn("root", F.col("sh")))
 
     def settle(pairs, labels):
-        found = cut(confirmed(pairs, nodes, docs, width, threshold, text_col))
+        found = written(confirmed(pairs, nodes, docs, width, threshold, text_col))
         tidy(docs)
         labels = _connected(labels, found)
         tidy(docs)
         return labels
 
-    tried = cut(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
+    tried = written(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
     labels = settle(tried, labels)
     # a node that has no neighbour in its regions is alone in them, so only labelled ones are compared
-    rest = cut(across_components(nodes.join(labels, "sh"), threshold, crowd).join(tried, ["u", "v"], "left_anti"))
+    rest = written(across_components(nodes.join(labels, "sh"), threshold, crowd).join(tried, ["u", "v"], "left_anti"))
     if rest.limit(1).count():
-        chosen = cut(_best(rest))
+        chosen = written(_best(rest))
         labels = settle(chosen, labels)
         u, v = (labels.select(F.col("sh").alias(c), F.col("root").alias(f"r{c}")) for c in "uv")
-        rest = cut(rest.join(chosen, ["u", "v"], "left_anti").join(u, "u").join(v, "v").where("ru <> rv")
+        rest = written(rest.join(chosen, ["u", "v"], "left_anti").join(u, "u").join(v, "v").where("ru <> rv")
                    .select("u", "v", "agree"))
         if rest.limit(1).count():  # what the best pairs left apart is confirmed in full
             labels = settle(rest.select("u", "v"), labels)
@@ -342,17 +342,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 85, crowd:
     has a null component_id and is kept. An empty table gives an empty result;
     other columns are ignored. Hashes of 64 bits stand for shingles and sets.
     """
-    rows = cut(printed(docs, width, id_col, text_col))
-    nodes = cut(rows.where("n_shingles > 0").groupBy("sh")
+    rows = written(printed(docs, width, id_col, text_col))
+    nodes = written(rows.where("n_shingles > 0").groupBy("sh")
                 .agg(F.min("doc_id").alias("_least"), F.min("th").alias("th"), F.first("n_shingles").alias("n_shingles"),
                      F.first("sig").alias("sig")))
     labels = labelled(nodes.drop("_least"), docs, width, threshold, crowd, text_col)
     least = nodes.select("sh", "_least")
-    member = cut(least.join(labels, "sh"))
-    named = cut(member.groupBy("root").agg(F.min("_least").alias("component_id")))
+    member = written(least.join(labels, "sh"))
+    named = written(member.groupBy("root").agg(F.min("_least").alias("component_id")))
     grouped = member.join(broadcast_up_to(named), "root").select("sh", "component_id")
     alone = least.join(labels, "sh", "left_anti").select("sh", F.col("_least").alias("component_id"))
-    groups = cut(grouped.unionByName(alone))
+    groups = written(grouped.unionByName(alone))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (rows.drop("sig").join(groups, "sh", "left").withColumn("component_id", own)
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
