@@ -1,11 +1,19 @@
 """Quality classifier by co-training on two views of a document.
 
-The content view sees characters and words, the metadata view what a page is
-besides its words: source, language, length and layout. A logistic classifier
-per view starts from the labelled sample; in each round, each of them labels
-the unlabelled documents that it is surest of and hands them to the other one.
-The two are then calibrated together on labelled documents that neither was
-fitted on, and score every document.
+The content view sees characters and words (kinds of characters, repeats,
+hashed words and letter trigrams), the metadata view what a page is besides its
+words (source, language, length and layout). Each view's classifier is a
+logistic regression over its measured features and its evidence: the mean log
+odds, between the classes, of the hashed features that the document has.
+
+Both start from the labelled documents. In each round each of them scores every
+unlabelled document of the corpus, and all those that it is sure of are handed
+to the other one with the label it gives them, class by class where labelled
+documents set aside bear such labels out; both are then fitted anew. All
+fits are sums over the rows (class counts of the hashed features, Newton terms
+of the regressions), added up by Spark, so that no row reaches the driver. The
+two are then calibrated together on labelled documents that neither was fitted
+on, and score every document.
 """
 
 from __future__ import annotations
@@ -24,18 +32,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import cut, map_arrow
 
-# Bounds of the sample that the model is fitted on, in documents.
+# Labelled documents that are used, at most: those with the smallest hashed ids.
 LABELLED = 4000
-UNLABELLED = 6000
-ROUNDS = 5
-# Confidence a pseudo-label needs, and how many of a class are handed over a round.
-CONFIDENT = 0.97
-HANDED = 200
+ROUNDS = 3
+# Newton steps of a fit, and the most that one changes a weight.
+STEPS, CALIBRATION_STEPS, STRIDE = 9, 9, 4.0
+# Confidence that a pseudo-label needs, and the share of the labelled documents
+# set aside that must bear out a view's labels of a class at that confidence.
+CONFIDENT, RELIABLE = 0.97, 0.97
 KEEP_FROM = 0.5
-HASHED = 8
 UPPER, LETTER, DIGIT, SPACE, OTHER = range(5)
+# Buckets of the hashed features: words, trigrams of bytes; sources, languages.
+BUCKETS = (1 << 13, 1 << 10, 1 << 12, 1 << 9)
+EDGES = np.cumsum((0, *BUCKETS))
+GROUPS = (2, 2)  # groups of buckets of the content view and of the metadata view
+RARE = 10.0      # a bucket in so many documents gives half its evidence
+ASIDE, UNKNOWN = -2, -1
 
 
 @lru_cache
@@ -48,11 +62,10 @@ def _classes() -> np.ndarray:
     return np.array([of(chr(i)) for i in range(sys.maxunicode + 1)], dtype=np.uint8)
 
 
-def content_view(text: str) -> list[float]:
+def content_view(text: str, words: list[str]) -> list[float]:
     """Shares of kinds of characters and of repeated, marked and long words."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     kinds = np.bincount(_classes()[codes], minlength=5) if len(codes) else np.zeros(5)
-    words = text.split()
     counts = Counter(words)
     n, size = max(1, len(words)), max(1, len(text))
     letters = kinds[UPPER] + kinds[LETTER]
@@ -61,152 +74,334 @@ def content_view(text: str) -> list[float]:
             min(2.0, text.count("|") / n), min(2.0, text.count("!") / n), min(4.0, kinds[OTHER] / n)]
 
 
-def metadata_view(text: str, lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
-    """Declared length, layout of the lines, and hashed source and language."""
+def metadata_view(text: str, n_chars: int | None) -> list[float]:
+    """Declared length and layout of the lines."""
     lines = text.split("\n")
     lengths = np.array([len(x) for x in lines])
     size = len(text) if n_chars is None else max(0, n_chars)
-    hashed = [0.0] * (2 * HASHED)
-    for k, value in enumerate((lang, source)):
-        hashed[k * HASHED + zlib.crc32(repr(value).encode()) % HASHED] = 0.5
     return [np.log1p(size), np.log1p(len(lines)), np.log1p(lengths.mean()), np.log1p(lengths.max()),
             float((lengths < 60).mean()), sum(x.rstrip()[-1:] in (".", "!", "?") for x in lines) / len(lines),
-            float((lengths == 0).mean()), np.log(len(text.encode()) / max(1, len(text)) + 1e-9) if text else 0.0, *hashed]
+            float((lengths == 0).mean()), np.log(len(text.encode()) / max(1, len(text)) + 1e-9) if text else 0.0]
 
 
-N_CONTENT, N_META = len(content_view("")), len(metadata_view("", None, None, None))
+N_CONTENT, N_META = len(content_view("", [])), len(metadata_view("", None))
+SIZES = (N_CONTENT + GROUPS[0] + 1, N_META + GROUPS[1] + 1)  # measured, evidence, intercept
 
 
-class Logistic(NamedTuple):
-    """Weights over standardised features, the last one the intercept."""
+def hashed(raw: bytes, lang: str | None, source: str | None) -> np.ndarray:
+    """The sorted buckets of a document's words, byte trigrams, source and language."""
+    low = raw.lower()
+    words = np.fromiter(map(zlib.crc32, set(low.split())), dtype=np.uint32)
+    b = np.frombuffer(low, dtype=np.uint8).astype(np.uint32)
+    grams = ((b[:-2] << np.uint32(16)) + (b[1:-1] << np.uint32(8)) + b[2:]) * np.uint32(2654435761) >> np.uint32(22)
+    seen = np.zeros(BUCKETS[1], dtype=bool)
+    seen[grams] = True
+    parts = [np.unique(words % BUCKETS[0]), np.flatnonzero(seen),
+             [zlib.crc32(repr(source).encode()) % BUCKETS[2]], [zlib.crc32(repr(lang).encode()) % BUCKETS[3]]]
+    return np.concatenate([np.asarray(p, dtype=np.int64) + e for p, e in zip(parts, EDGES)]).astype(np.uint16)
+
+
+class Rows(NamedTuple):
+    """Features of some documents: measured ones (both views), buckets of all
+    of them in a row, and how many each has."""
+    measured: np.ndarray
+    buckets: np.ndarray
+    counts: np.ndarray
+
+
+class Model(NamedTuple):
+    """Both views' weights, the class counts behind their evidence and their
+    calibration; ``prior`` alone where the labels do not hold both classes."""
     mean: np.ndarray
     scale: np.ndarray
-    weights: np.ndarray
+    seen: np.ndarray      # documents of each class with each bucket, per view's own groups
+    size: np.ndarray      # documents of each class, per view
+    weights: tuple
+    joint: np.ndarray | None
+    prior: float
+    trusted: np.ndarray | None = None  # by view and class: whether its sure labels are handed on
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1], -30, 30)
 
+def _odds(seen: np.ndarray, size: np.ndarray, less: int | None = None) -> np.ndarray:
+    """Log odds of every bucket; ``less``: without one document of that class."""
+    n = seen.copy()
+    if less is not None:
+        n[less] = np.maximum(n[less] - 1, 0)
+    total = n.sum(axis=0)
+    view = np.repeat(np.repeat([0, 1], GROUPS), BUCKETS)
+    prior = size[:, view]
+    return (np.log((n[1] + 1) / (prior[1] + 2)) - np.log((n[0] + 1) / (prior[0] + 2))) * (total / (total + RARE))
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
-    """Ridge logistic regression by Newton steps."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 1e-9, scale, 1.0)
-    z = np.c_[(x - mean) / scale, np.ones(len(x))]
-    penalty = np.full(z.shape[1], ridge)
-    penalty[-1] = 1e-6
-    w = np.zeros(z.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (p - y) + penalty * w)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return Logistic(mean, scale, w)
 
+def _evidence(rows: Rows, odds: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Mean log odds of each row's buckets by group; ``table`` tells which row
+    of ``odds`` holds for each row."""
+    row = np.repeat(np.arange(len(rows.counts)), rows.counts)
+    group = np.searchsorted(EDGES, rows.buckets, side="right") - 1
+    slot = row * len(BUCKETS) + group
+    size = len(rows.counts) * len(BUCKETS)
+    total = np.bincount(slot, odds[table[row], rows.buckets], minlength=size)
+    return (total / np.maximum(np.bincount(slot, minlength=size), 1)).reshape(-1, len(BUCKETS))
 
-class Model(NamedTuple):
-    """Both views' classifiers and their calibration; ``prior`` alone where
-    the labels do not hold both classes."""
-    content: Logistic | None
-    metadata: Logistic | None
-    joint: Logistic | None
-    prior: float
 
-    def score(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of good quality by content, by metadata and by both."""
-        if self.joint is None:
-            same = np.full(len(content), self.prior)
-            return same, same, same
-        a, b = self.content.logit(content), self.metadata.logit(metadata)
-        return tuple(1 / (1 + np.exp(-x)) for x in (a, b, self.joint.logit(np.c_[a, b])))
-
-
-def co_train(content: np.ndarray, metadata: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Fit on documents with label 0 or 1 and unlabelled ones (-1)."""
-    known = np.flatnonzero(label >= 0)
-    if len(known) == 0 or len(np.unique(label[known])) < 2:
-        return Model(None, None, None, float(label[known].mean()) if len(known) else 1.0)
-    aside = known[np.arange(len(known)) % 4 == 0] if len(known) >= 40 else known
-    base = np.setdiff1d(known, aside) if len(known) >= 40 else known
-    if len(np.unique(label[aside])) < 2 or len(np.unique(label[base])) < 2:
-        aside = base = known
-    views, given = (content, metadata), (label.copy(), label.copy())
-    usable = (set(base.tolist()), set(base.tolist()))
-    unknown = np.flatnonzero(label < 0)
-
-    def fitted():
-        rows = [np.array(sorted(u)) for u in usable]
-        return [fit_logistic(v[r], g[r].astype(float)) for v, g, r in zip(views, given, rows)]
-    models = fitted()
-    for _ in range(rounds):
-        for me, other in ((0, 1), (1, 0)):
-            sure = 1 / (1 + np.exp(-models[me].logit(views[me][unknown])))
-            for value, belief in ((1, sure), (0, 1 - sure)):
-                order = np.argsort(-belief, kind="stable")
-                fresh = [i for i in unknown[order[belief[order] >= CONFIDENT]].tolist() if i not in usable[other]]
-                # as many of each class as the labels hold in proportion
-                share = (label[base] == value).mean()
-                for i in fresh[:max(1, int(HANDED * share))]:
-                    given[other][i] = value
-                    usable[other].add(i)
-        models = fitted()
-    logits = np.c_[models[0].logit(content[aside]), models[1].logit(metadata[aside])]
-    return Model(*models, fit_logistic(logits, label[aside].astype(float)), float(label[known].mean()))
-
-
-def _views(part: dict) -> tuple[np.ndarray, np.ndarray]:
-    texts = [t or "" for t in part["text"]]
-    content = np.array([content_view(t) for t in texts], dtype=np.float64).reshape(-1, N_CONTENT)
-    meta = [metadata_view(*row) for row in zip(texts, part["lang"], part["source"], part["n_chars"])]
-    return content, np.array(meta, dtype=np.float64).reshape(-1, N_META)
+def _inputs(rows: Rows, model: Model, given: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
+    """Each view's inputs. A row that a view is fitted on (``given`` 0 or 1)
+    is left out of its own evidence."""
+    odds = np.stack([_odds(model.seen, model.size), _odds(model.seen, model.size, 0), _odds(model.seen, model.size, 1)])
+    z = (rows.measured - model.mean) / model.scale
+    ones = np.ones((len(z), 1))
+    out = []
+    for view, (dense, groups) in enumerate(((z[:, :N_CONTENT], slice(0, 2)), (z[:, N_CONTENT:], slice(2, 4)))):
+        table = np.zeros(len(z), dtype=np.int64) if given is None else np.maximum(given[view] + 1, 0)
+        out.append(np.hstack([dense, _evidence(rows, odds, table)[:, groups], ones]))
+    return out
+
+
+def _logits(rows: Rows, model: Model) -> list[np.ndarray]:
+    return [np.clip(x @ w, -30, 30) for x, w in zip(_inputs(rows, model), model.weights)]
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _given(rows: Rows, role: np.ndarray, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
+    """The label that each view is taught for each row (-1: none): the known
+    one, or the one that the other view is sure of."""
+    known = np.where(role >= 0, role, -1)
+    if model is None:
+        return known, known
+    sure = [np.select([(p >= CONFIDENT) & good, (p <= 1 - CONFIDENT) & bad], [1, 0], -1)
+            for p, (bad, good) in zip(map(_sigmoid, _logits(rows, model)), model.trusted)]
+    free = role == UNKNOWN
+    return np.where(free, sure[1], known), np.where(free, sure[0], known)
+
 
+def newton_terms(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient and Hessian of the logistic loss of some rows, in one vector."""
+    p = _sigmoid(x @ w)
+    return np.concatenate([x.T @ (p - y), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def newton_step(w: np.ndarray, terms: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    k = len(w)
+    penalty = np.full(k, ridge)
+    penalty[-1] = 1e-6
+    step = np.linalg.solve(terms[k:].reshape(k, k) + np.diag(penalty), terms[:k] + penalty * w)
+    return w - step / max(1.0, np.abs(step).max() / STRIDE)
+
+
+# ------------------------------------------------------------- rows on Spark
 
 COLUMNS = ["text", "lang", "source", "n_chars"]
+FEATURES = "measured binary, buckets binary"
+
+
+def _features(part: pa.RecordBatch) -> list[pa.Array]:
+    """Both feature columns of a batch with the columns ``COLUMNS``."""
+    measured, buckets = [], []
+    for text, lang, source, n in zip(*(part.column(c).to_pylist() for c in COLUMNS)):
+        text = text or ""
+        raw = text.encode("utf-8", "surrogatepass")
+        measured.append(np.array([*content_view(text, text.split()), *metadata_view(text, n)], dtype=np.float32).tobytes())
+        buckets.append(hashed(raw, lang, source).tobytes())
+    return [pa.array(measured, pa.binary()), pa.array(buckets, pa.binary())]
+
 
+def _rows(measured: pa.Array, buckets: pa.Array) -> Rows:
+    held = buckets.to_pylist()
+    return Rows(np.frombuffer(b"".join(measured.to_pylist()), dtype=np.float32).reshape(-1, N_CONTENT + N_META).astype(float),
+                np.frombuffer(b"".join(held), dtype=np.uint16).astype(np.int64),
+                np.array([len(x) // 2 for x in held], dtype=np.int64))
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED,
-        rounds: int = ROUNDS, id_col: str = "doc_id", label_col: str = "quality") -> Model:
-    """Co-train on at most ``labelled`` labelled and ``unlabelled`` other
-    documents: those whose hashed ids are smallest. Their features, not their
-    texts, reach the driver. Labels other than 0 and 1 and labels of no
-    document are ignored; of several labels of one id the smallest counts."""
-    def first(ids: DataFrame, n: int, seed: int) -> DataFrame:
-        return ids.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(n)
+
+def _total(df: DataFrame, terms, size: int) -> np.ndarray:
+    """The sum over all tasks of a vector that ``terms`` makes of a batch: each
+    task adds up its own, Spark adds the tasks' by position."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for part in _parts(batches, 1024):
+            total += terms(part)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "v"])
+    out = np.zeros(size)
+    for r in map_arrow(df, run, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).collect():
+        out[r["at"]] = r["v"]
+    return out
+
+
+def _spread(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scale of the measured features over all documents."""
+    k = N_CONTENT + N_META
+
+    def terms(part):
+        x = _rows(part.column(1), part.column(2)).measured
+        return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
+    sums = _total(features, terms, 1 + 2 * k)
+    n = max(1.0, sums[0])
+    mean = sums[1:k + 1] / n
+    scale = np.sqrt(np.maximum(sums[k + 1:] / n - mean ** 2, 0))
+    return mean, np.where(scale > 1e-6, scale, 1.0)
+
+
+def _counts(features: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of each class with each bucket, and of each class by view."""
+    width = int(EDGES[-1])
+    view = np.repeat(np.repeat([0, 1], GROUPS), BUCKETS)
+
+    def terms(part):
+        rows = _rows(part.column(1), part.column(2))
+        given = _given(rows, part.column(0).to_numpy(), model)
+        out = []
+        for label in (0, 1):
+            taught = np.stack([g == label for g in given])
+            of_row = np.repeat(np.arange(len(rows.counts)), rows.counts)
+            held = taught[view[rows.buckets], of_row]
+            out.append(np.bincount(rows.buckets[held], minlength=width))
+        sizes = [[(g == label).sum() for g in given] for label in (0, 1)]
+        return np.concatenate([*out, np.ravel(sizes)])
+    sums = _total(features, terms, 2 * width + 4)
+    return sums[:2 * width].reshape(2, width), sums[2 * width:].reshape(2, 2)
+
+
+def _taught(features: DataFrame, teacher: Model | None, model: Model) -> DataFrame:
+    """Inputs and given label of every row that a view is fitted on, written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, 1024):
+            rows = _rows(part.column(1), part.column(2))
+            given = _given(rows, part.column(0).to_numpy(), teacher)
+            for view, (x, g) in enumerate(zip(_inputs(rows, model, given), given)):
+                at = np.flatnonzero(g >= 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), view), pa.int32()), pa.array(g[at], pa.int32()),
+                     pa.array([r.astype(np.float32).tobytes() for r in x[at]], pa.binary())], ["view", "label", "x"])
+    return cut(map_arrow(features, run, "view int, label int, x binary"))
+
+
+def _fitted(taught: DataFrame) -> tuple:
+    """Newton steps of both views' regressions over all taught rows."""
+    ends = np.cumsum([k + k * k for k in SIZES])
+    weights = tuple(np.zeros(k) for k in SIZES)
+    for _ in range(STEPS):
+        def terms(part, weights=weights):
+            view, label = (part.column(k).to_numpy() for k in (0, 1))
+            held, out = part.column(2).to_pylist(), []
+            for v, (k, w) in enumerate(zip(SIZES, weights)):
+                at = np.flatnonzero(view == v)
+                x = np.frombuffer(b"".join([held[i] for i in at]), dtype=np.float32).reshape(-1, k).astype(float)
+                out.append(newton_terms(x, label[at], w))
+            return np.concatenate(out)
+        sums = _total(taught, terms, int(ends[-1]))
+        weights = tuple(newton_step(w, t) for w, t in zip(weights, np.split(sums, ends[:-1])))
+    return weights
+
+
+def _labelled(labels: DataFrame, most: int, id_col: str, label_col: str) -> DataFrame:
+    """doc_id, label of the labelled documents that are used."""
     own = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     own = own.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
-    rest = docs.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").withColumn("label", F.lit(-1))
-    chosen = (first(own, labelled, 1).unionByName(first(rest, unlabelled, 2))
-              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), *COLUMNS)
-    rows = rows.join(F.broadcast(chosen), "doc_id")  # bounded by the two parameters
+    return own.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(most)
+
+
+def _prepared(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """role (label, ``UNKNOWN`` or ``ASIDE``) and features of every row. A
+    quarter of the labelled documents is set aside, by a hash of the id."""
+    aside = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) == 0
+    role = F.when(F.col("label").isNull(), UNKNOWN).when(aside, F.lit(ASIDE) - F.col("label")).otherwise(F.col("label"))
+    rows = (docs.select(F.col(id_col).alias("doc_id"), *COLUMNS)
+            .join(F.broadcast(labels), "doc_id", "left")  # bounded by a parameter
+            .select(role.cast("int").alias("role"), *COLUMNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            views = np.hstack(_views(part.to_pydict()))
-            yield pa.RecordBatch.from_arrays([part.column("label"), part.column("doc_id"), pa.array(views.tolist(), pa.list_(pa.float64()))],
-                                             ["label", "id", "x"])
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = map_arrow(rows, run, f"label int, id {kind}, x array<double>")
-    # a repeated id could bring any number of rows: take one of each
-    sample = sample.groupBy("id").agg(F.min(F.struct("label", "x")).alias("s")).orderBy("id").select("s.*").collect()
-    if not sample:
-        return Model(None, None, None, 1.0)
-    x = np.array([r["x"] for r in sample])
-    return co_train(x[:, :N_CONTENT], x[:, N_CONTENT:], np.array([r["label"] for r in sample]), rounds)
+            yield pa.RecordBatch.from_arrays([part.column("role"), *_features(part)], ["role", "measured", "buckets"])
+    return cut(map_arrow(rows, run, f"role int, {FEATURES}"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS,
+        id_col: str = "doc_id", label_col: str = "quality") -> Model:
+    """Co-train on all of ``docs`` (id, text, lang, source, n_chars), of which
+    ``labels`` (id, label) tells the quality of some, at most ``labelled`` of
+    them. Labels other than 0 and 1, of no document or without id are ignored;
+    of several labels of one id the smallest counts. Every row counts, repeated
+    ones as often as they occur."""
+    features = _prepared(docs, _labelled(labels, labelled, id_col, label_col), id_col)
+    tally = {r["role"]: r["n"] for r in features.groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = [tally.get(c, 0) + tally.get(ASIDE - c, 0) for c in (0, 1)]
+    prior = known[1] / sum(known) if sum(known) else 1.0
+    zero = tuple(np.zeros(k) for k in SIZES)
+    if not all(known):
+        return Model(np.zeros(1), np.ones(1), np.zeros((2, 1)), np.zeros((2, 2)), zero, None, prior)
+    if not all(tally.get(c) and tally.get(ASIDE - c) for c in (0, 1)):  # too few to set some aside
+        role = F.when(F.col("role") <= ASIDE, F.lit(ASIDE) - F.col("role")).otherwise(F.col("role"))
+        features, held = features.withColumn("role", role), (0, 1)
+    else:
+        held = (ASIDE, ASIDE - 1)
+    mean, scale = _spread(features)
+    model, teacher = Model(mean, scale, np.zeros((2, 1)), np.zeros((2, 2)), zero, None, prior), None
+    aside = features.where(F.col("role").isin(*held))
+    for _ in range(rounds + 1):
+        seen, size = _counts(features, teacher)
+        model = model._replace(seen=seen, size=size)
+        model = model._replace(weights=_fitted(_taught(features, teacher, model)))
+        model = teacher = model._replace(trusted=_trusted(aside, model, held))
+    return model._replace(joint=_calibrated(aside, model, held))
+
+
+def _trusted(aside: DataFrame, model: Model, held: tuple[int, int]) -> np.ndarray:
+    """By view and class: whether the labelled rows set aside bear out the
+    labels that the view is sure of. One that none of them tests is not trusted."""
+    def terms(part):
+        truth = (part.column(0).to_numpy() == held[1]).astype(int)
+        out = []
+        for p in map(_sigmoid, _logits(_rows(part.column(1), part.column(2)), model)):
+            for label, sure in ((0, p <= 1 - CONFIDENT), (1, p >= CONFIDENT)):
+                out += [sure.sum(), (sure & (truth == label)).sum()]
+        return np.array(out, dtype=float)
+    sure, right = _total(aside, terms, 8).reshape(2, 2, 2).transpose(2, 0, 1)
+    return (sure > 0) & (right >= RELIABLE * sure)
+
+
+def _calibrated(aside: DataFrame, model: Model, held: tuple[int, int]) -> np.ndarray:
+    """One regression over both views' logits, on the labelled rows set aside:
+    their logits are written once, the Newton steps are sums over them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, 1024):
+            a, b = _logits(_rows(part.column(1), part.column(2)), model)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(a), pa.array(b)], ["role", "a", "b"])
+    logits = cut(map_arrow(aside, run, "role int, a double, b double"))
+    w = np.zeros(3)
+    for _ in range(CALIBRATION_STEPS):
+        def terms(part, w=w):
+            role, a, b = (part.column(k).to_numpy() for k in range(3))
+            return newton_terms(np.c_[a, b, np.ones(len(a))], (role == held[1]).astype(float), w)
+        w = newton_step(w, _total(logits, terms, 12))
+    return w
+
+
+def scores(rows: Rows, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of good quality by content, by metadata and by both."""
+    if model.joint is None:
+        same = np.full(len(rows.counts), model.prior)
+        return same, same, same
+    a, b = _logits(rows, model)
+    return _sigmoid(a), _sigmoid(b), _sigmoid(np.c_[a, b, np.ones(len(a))] @ model.joint)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     """doc_id, content_score, metadata_score, score and keep for every row.
 
-    Nulls: a null text counts as empty, a null source or language is a value
-    of its own, a null length is measured. Repeated rows get equal scores. An
-    empty table gives an empty result; other columns are ignored. Without
-    labels of both classes every score is the labels' mean (1 without any).
+    ``docs`` has the id, text, lang, source and n_chars. Nulls: a null text
+    counts as empty, a null source or language is a value of its own, a null
+    length is measured; null ids stay. Repeated rows get equal scores. An empty
+    table gives an empty result; other columns are ignored, whatever their
+    names. Without labels of both classes every score is the labels' mean (1
+    without any).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            scores = model.score(*_views(part.to_pydict()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, scores), pa.array(scores[2] >= KEEP_FROM)],
+            found = scores(_rows(*_features(part)), model)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, found), pa.array(found[2] >= KEEP_FROM)],
                                              ["doc_id", "content_score", "metadata_score", "score", "keep"])
     rows = docs.select(F.col(id_col).alias("doc_id"), *COLUMNS)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -214,10 +409,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
 
 
 def kept(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model keeps."""
+    """The rows of ``docs``, all their columns, that the model keeps; cases as
+    in ``score``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            yield part.filter(pa.array(model.score(*_views(part.to_pydict()))[2] >= KEEP_FROM))
+            yield part.filter(pa.array(scores(_rows(*_features(part)), model)[2] >= KEEP_FROM))
     return map_arrow(docs, run, docs.schema)
 
 

@@ -1,5 +1,10 @@
+import math
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from histdim.llm import quality
 
@@ -8,8 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    fitted = labels.where("doc_id % 2 = 0")
-    model = quality.fit(docs, fitted, labelled=150, unlabelled=300)
+    model = quality.fit(docs, labels.where("doc_id % 2 = 0"))
     truth = {r.doc_id: r.quality for r in labels.where("doc_id % 2 = 1").collect()}
     got = {r.doc_id: r for r in quality.score(docs, model).collect()}
     assert len(got) == docs.count()
@@ -21,31 +25,147 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.keep}
 
 
-def test_exchange_teaches_the_weak_view():
-    """Few labels: the content view's pseudo-labels teach the metadata view."""
+# Co-training of a small table row by row, without the operator's sums.
+
+def buckets_of(text, lang, source):
+    raw = (text or "").encode().lower()
+    words = {zlib.crc32(w) % 8192 for w in raw.split()}
+    grams = {8192 + ((int.from_bytes(raw[k:k + 3], "big") * 2654435761 & 0xFFFFFFFF) >> 22) for k in range(len(raw) - 2)}
+    return [words, grams, {9216 + zlib.crc32(repr(source).encode()) % 4096}, {13312 + zlib.crc32(repr(lang).encode()) % 512}]
+
+
+def plain_newton(x, y, w, steps):
+    for _ in range(steps):
+        p = [1 / (1 + math.exp(-min(30, max(-30, v)))) for v in x @ w]
+        g, h = np.zeros(len(w)), np.zeros((len(w), len(w)))
+        for row, label, q in zip(x, y, p):
+            g += row * (q - label)
+            h += np.outer(row, row) * q * (1 - q)
+        ridge = np.diag([1.0] * (len(w) - 1) + [1e-6])
+        step = np.linalg.solve(h + ridge, g + ridge @ w)
+        w = w - step / max(1.0, max(abs(step)) / 4)
+    return w
+
+
+def brute_model(rows, labels, rounds):
+    """Scores by content, by metadata and by both of every row, in plain Python."""
+    measured = np.array([[*quality.content_view(t or "", (t or "").split()), *quality.metadata_view(t or "", n)]
+                         for t, _, _, n in rows], dtype=np.float32).astype(float)
+    spread = measured.std(axis=0)
+    z = (measured - measured.mean(axis=0)) / np.where(spread > 1e-6, spread, 1)
+    held = [buckets_of(t, lang, source) for t, lang, source, _ in rows]
+    known = [k for k, (label, aside) in enumerate(labels) if label >= 0 and not aside]
+    views = ((slice(0, 10), (0, 1)), (slice(10, 18), (2, 3)))
+    weights = [np.zeros(13), np.zeros(11)]
+    given = [{k: labels[k][0] for k in known} for _ in views]
+
+    def inputs(view, taught):
+        dense, groups = views[view]
+        n, size = {}, [0, 0]
+        for k, c in taught.items():
+            size[c] += 1
+            for g in groups:
+                for b in held[k][g]:
+                    n.setdefault(b, [0, 0])[c] += 1
+
+        def odds(b, without):
+            c = list(n.get(b, [0, 0]))
+            if without is not None:
+                c[without] = max(0, c[without] - 1)
+            return (math.log((c[1] + 1) / (size[1] + 2)) - math.log((c[0] + 1) / (size[0] + 2))) * sum(c) / (sum(c) + 10)
+
+        def row(k, without):
+            evidence = [sum(odds(b, without) for b in held[k][g]) / max(1, len(held[k][g])) for g in groups]
+            return [*z[k, dense], *evidence, 1.0]
+        return row
+    for r in range(rounds + 1):
+        rows_of = [inputs(v, given[v]) for v in (0, 1)]
+        for v in (0, 1):
+            x = np.array([row32 for row32 in (np.array(rows_of[v](k, given[v][k]), dtype=np.float32) for k in given[v])]).astype(float)
+            weights[v] = plain_newton(x, [given[v][k] for k in given[v]], np.zeros(x.shape[1]), quality.STEPS)
+        logits = [np.array([rows_of[v](k, None) for k in range(len(rows))]) @ weights[v] for v in (0, 1)]
+        sure = [1 / (1 + np.exp(-x)) for x in logits]
+        trusted = [[False, False], [False, False]]
+        for v in (0, 1):
+            for c in (0, 1):
+                tested = [labels[k][0] == c for k, (_, a) in enumerate(labels)
+                          if a and (sure[v][k] >= .97 if c else sure[v][k] <= 1 - .97)]
+                trusted[v][c] = bool(tested) and sum(tested) >= .97 * len(tested)
+        if r < rounds:
+            given = []
+            for v in (0, 1):
+                taught = {k: labels[k][0] for k in known}
+                for k, (label, _) in enumerate(labels):
+                    p = sure[1 - v][k]
+                    if label < 0 and (p >= .97 and trusted[1 - v][1] or p <= 1 - .97 and trusted[1 - v][0]):
+                        taught[k] = int(p >= .97)
+                given.append(taught)
+    aside = [k for k, (label, a) in enumerate(labels) if a]
+    pairs = np.c_[logits[0], logits[1], np.ones(len(rows))]
+    joint = plain_newton(pairs[aside], [labels[k][0] for k in aside], np.zeros(3), quality.CALIBRATION_STEPS)
+    return [*sure, 1 / (1 + np.exp(-pairs @ joint))], len(given[0]) + len(given[1]) - 2 * len(known)
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_against_co_training_row_by_row(spark, rounds):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = docs.select("doc_id", "text", "lang", "source", "n_chars",
+                        (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) == 0).alias("aside")).orderBy("doc_id").collect()
+    truth = {r.doc_id: int(r.lang == "en") for k, r in enumerate(found) if k % 3}
+    labels = spark.createDataFrame(list(truth.items()), "doc_id bigint, quality int")
+    table = spark.createDataFrame([tuple(r)[:5] for r in found], docs.schema)
+    role = [(truth[r.doc_id], r.aside) if r.doc_id in truth else (-1, False) for r in found]
+    want, handed = brute_model([(r.text, r.lang, r.source, r.n_chars) for r in found], role, rounds)
+    model = quality.fit(table.repartition(3), labels, rounds=rounds)
+    got = {r.doc_id: r for r in quality.score(table, model).collect()}
+    for k, r in enumerate(found):
+        one = got[r.doc_id]
+        assert np.allclose([one.content_score, one.metadata_score, one.score], [w[k] for w in want], atol=2e-3), r.doc_id
+    assert (handed > 0) == (rounds > 0)
+    again = quality.fit(table.repartition(7), labels, rounds=rounds)
+    assert np.allclose(model.joint, again.joint, atol=1e-4)
+
+
+def test_exchange_teaches_the_weak_view(make_docs, spark):
+    """Few labels, of one source only: the content view teaches the metadata
+    view what the other sources are worth."""
     rng = np.random.default_rng(0)
-    y = rng.integers(0, 2, 1500)
-    content = rng.standard_normal((1500, 3)) + 4 * y[:, None]
-    meta = rng.standard_normal((1500, 12))
-    meta[:, 0] += 3 * y
-    label = np.full(1500, -1)
-    label[:24] = y[:24]
-    alone = quality.co_train(content, meta, label, rounds=0)
-    both = quality.co_train(content, meta, label)
+    good, bad = ["river", "stone", "vales", "coast", "month"], ["click", "buyit", "frees", "offer", "deals"]
+    rows, truth = [], {}
+    for k in range(900):
+        y = int(rng.random() < .5)
+        own, other = (good, bad) if y else (bad, good)
+        words = [str(rng.choice(own if rng.random() < .9 else other)) for _ in range(40)]
+        truth[k] = y
+        source = "known" if k < 60 else ("library" if y else "spam")
+        rows.append((k, " ".join(words), source))
+    labels = spark.createDataFrame([(k, truth[k]) for k in range(60)], "doc_id bigint, quality int")
+    docs = make_docs(rows, 4)
+
+    def accuracy(rounds):
+        scores = quality.score(docs, quality.fit(docs, labels, rounds=rounds)).where("doc_id >= 60").collect()
+        return (np.mean([(r.metadata_score >= .5) == truth[r.doc_id] for r in scores]),
+                np.mean([r.keep == bool(truth[r.doc_id]) for r in scores]))
+    alone, together = accuracy(0), accuracy(2)
+    assert alone[0] < 0.8 and together[0] > 0.95 and together[1] > 0.95
+
 
-    def accuracy(m):
-        return ((m.metadata.logit(meta[500:]) > 0) == (y[500:] == 1)).mean()
-    assert accuracy(both) > accuracy(alone) and accuracy(both) > 0.9
-    assert ((both.score(content, meta)[2] > 0.5) == (y == 1)).mean() > 0.97
+def test_newton_terms_add_up():
+    rng = np.random.default_rng(1)
+    x, y, w = rng.standard_normal((50, 4)), rng.integers(0, 2, 50), rng.standard_normal(4)
+    whole = quality.newton_terms(x, y, w)
+    assert np.allclose(whole, quality.newton_terms(x[:20], y[:20], w) + quality.newton_terms(x[20:], y[20:], w))
 
 
-def test_rerun_and_partitioning_agree(spark):
-    docs, labels = (spark.read.parquet("/root/testdata/sf0.001/" + f"{t}.parquet") for t in ("documents", "labels"))
-    a, b = quality.fit(docs, labels), quality.fit(docs.repartition(5), labels)
-    assert np.allclose(a.joint.weights, b.joint.weights)
+def test_long_and_odd_texts_have_bounded_features():
+    for text in ("", "a", "é", "x" * 200000, " ".join(map(str, range(50000)))):
+        part = pa.record_batch({"text": [text], "lang": [None], "source": ["s"], "n_chars": [None]})
+        rows = quality._rows(*quality._features(part))
+        assert rows.counts[0] == len(rows.buckets) <= sum(quality.BUCKETS) and np.isfinite(rows.measured).all()
 
 
-@pytest.mark.parametrize("rows", [[], [(1, 1)], [(1, None), (2, 5)], [(1, 0), (6, 1), (6, 0), (None, 1), (99, 1)]])
+@pytest.mark.parametrize("rows", [[], [(1, 1)], [(1, None), (2, 5)], [(1, 0), (6, 1), (6, 0), (None, 1), (99, 1)],
+                                  [(k, k % 2) for k in range(1, 8)]])
 def test_odd_rows_and_labels(spark, odd_docs, make_docs, rows):
     labels = spark.createDataFrame(rows, "doc_id bigint, quality int")
     model = quality.fit(odd_docs, labels)
