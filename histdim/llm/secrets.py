@@ -193,27 +193,39 @@ def strength(literal: Literal, phrase: bool = False) -> float:
     return min(1.0, 0.3 + 0.15 * kinds + 0.1 * entropy)
 
 
+def _reached(weights: dict[str, float], literals: dict, refers: dict) -> dict[str, float]:
+    """Every constant that one of the names refers to, however far, and the
+    names themselves, with the largest weight that reaches it. Names go in
+    falling order of weight, so that the first visit counts and each reference
+    is followed once."""
+    best: dict[str, float] = {}
+    for name in sorted(weights, key=weights.get, reverse=True):
+        todo = [] if name in best else [name]
+        best.setdefault(name, weights[name])
+        while todo:
+            for other in refers.get(todo.pop(), ()):
+                if other not in best and other in literals:
+                    best[other] = weights[name]
+                    todo.append(other)
+    return best
+
+
 def named_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through constants."""
     literals, refers = assignments(text)
-    found = {}
+    weights: tuple[dict, dict] = ({}, {})  # names whose value may be a phrase apart
     for name in {*literals, *refers}:
         own = name.rpartition(".")[2] or name
         weight = sensitivity(own)
-        if weight <= 0:
-            continue
-        phrase = not PHRASED.isdisjoint(_parts(own))
-        seen, todo = {name}, [name]
-        while todo:  # every constant that the name refers to, however far
-            here = todo.pop()
+        if weight > 0:
+            weights[not PHRASED.isdisjoint(_parts(own))][name] = weight
+    found = {}
+    for phrase, names in enumerate(weights):
+        for here, weight in _reached(names, literals, refers).items():
             for lit in literals.get(here, ()):
                 is_reference = not lit.quoted and lit.value in literals
-                if not is_reference and weight * strength(lit, phrase) >= THRESHOLD:
+                if not is_reference and weight * strength(lit, bool(phrase)) >= THRESHOLD:
                     found[lit.start, lit.end] = Span("named", lit.start, lit.end, lit.start, lit.end)
-            for other in refers.get(here, ()):
-                if other not in seen and other in literals:
-                    seen.add(other)
-                    todo.append(other)
     return list(found.values())
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -102,3 +103,19 @@ def test_documents(odd_docs, make_docs):
     hidden = secrets.redacted(make_docs(rows[1:2])).first()
     assert hidden.text == "[SECRET] and AKIA123 and [SECRET]" and hidden.n_chars == len(hidden.text)
     assert secrets.redacted(make_docs([])).count() == 0
+
+
+def test_chains_of_references_take_linear_time():
+    n = 40000
+    chain = "\n".join(f"token_{k} = token_{k + 1}" for k in range(n)) + f'\ntoken_{n} = "Zx81kLm9Qw7Tr0ub4"'
+    began = time.perf_counter()
+    spans = secrets.find(chain)
+    assert time.perf_counter() - began < 5 and len(chain) > 1_000_000
+    assert [chain[s.start:s.end] for s in spans if s.kind == "named"] == ["Zx81kLm9Qw7Tr0ub4"]
+
+
+def test_the_largest_weight_that_reaches_a_constant_counts():
+    literals = {"a": 1, "b": 1, "c": 1, "d": 1}
+    refers = {"weak": {"a"}, "strong": {"b"}, "a": {"c"}, "b": {"c"}, "c": {"a", "d"}, "d": {"gone"}}
+    got = secrets._reached({"weak": .5, "strong": .9}, literals, refers)
+    assert got == {"strong": .9, "b": .9, "c": .9, "a": .9, "d": .9, "weak": .5}
