@@ -29,19 +29,23 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
 
 
-def patterns_of(url: Column) -> Column:
+def patterns_of(url: Column, labels_up_to: int | None = None, steps_up_to: int | None = None) -> Column:
     """Every pattern that matches a URL: the host, its parent domains of two
-    labels or more, and host plus path up to each slash or the path's end."""
+    labels or more, and host plus path up to each slash or the path's end.
+    With bounds only patterns of so many host labels and path steps, which
+    keeps the work on a URL of very many of them linear."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    parents = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)),
+    from_ = F.lit(1) if labels_up_to is None else F.greatest(F.lit(1), n - F.lit(labels_up_to - 1))
+    parents = F.transform(F.sequence(from_, F.greatest(from_, n - 1)),
                           lambda i: F.array_join(F.slice(labels, i, n), "."))
     steps = F.split(path, "/")
     m = F.size(steps)
-    prefixes = F.transform(F.sequence(F.lit(1), m), lambda i: F.concat(
+    upto = m if steps_up_to is None else F.least(m, F.lit(steps_up_to))
+    prefixes = F.transform(F.sequence(F.lit(1), upto), lambda i: F.concat(
         host, F.array_join(F.slice(steps, 1, i), "/"), F.when(i < m, "/").otherwise("")))
-    found = F.when(F.length(path) > 0, F.array_union(parents, prefixes)).otherwise(parents)
+    found = F.when((F.length(path) > 0) & (upto > 0), F.array_union(parents, prefixes)).otherwise(parents)
     return F.when(F.length(host) > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
@@ -83,11 +87,14 @@ def judge(captures: DataFrame, entries: DataFrame, slices: int = SLICES, id_col:
     span = rows.agg(F.min("_t"), F.max("_t")).first()
     low, high = (0, 0) if span[0] is None else (span[0], span[1])
     width = (high - low) // slices + 1
+    valid = intervals(entries.withColumn("at", ticks(F.col("at"))))
+    # patterns with more host labels or path steps than any entry cannot match
+    host_part, path_part = F.regexp_extract("pattern", "^[^/]*", 0), F.regexp_extract("pattern", "^[^/]*(/.*)?$", 1)
+    most = valid.agg(F.max(F.size(F.split(host_part, r"\."))), F.max(F.size(F.split(path_part, "/")))).first()
     # distinct (url, time): copies are judged once
     asked = (rows.where(F.col("_url").isNotNull() & F.col("_t").isNotNull()).select("_url", "_t").distinct()
-             .withColumn("pattern", F.explode(patterns_of(F.col("_url"))))
+             .withColumn("pattern", F.explode(patterns_of(F.col("_url"), max(2, most[0] or 2), max(1, most[1] or 1))))
              .withColumn("_slice", F.expr(f"(_t - {low}) div {width}")))
-    valid = intervals(entries.withColumn("at", ticks(F.col("at"))))
     first = F.expr(f"greatest(0, (start - {low}) div {width})")
     last = F.expr(f"least({(high - low) // width}, coalesce((end - 1 - {low}) div {width}, {(high - low) // width}))")
     valid = (valid.where(f"start <= {high} and coalesce(end > {low}, true)")

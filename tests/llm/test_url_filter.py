@@ -65,3 +65,22 @@ def test_hosts_of_entries_are_normalised(spark):
     captures = [(1, "http://spam.example.com/A", 10), (2, "http://x.org/a", 10), (3, "http://x.org/A", 10)]
     entries = [("l", "Spam.Example.com", 1, "add"), ("l", "spam.example.COM.", 2, "add"), ("m", "X.org./A", 1, "add")]
     assert [r[3:5] for r in got(spark, captures, entries)] == [(1, "l"), (0, ""), (1, "m")]
+
+
+def test_very_long_urls_take_linear_time(spark):
+    """64 KB of slashes and of host labels; only patterns as deep as the list's are built."""
+    import time
+    deep = "http://x.org/" + "/".join("ab"[k % 2] for k in range(32000))
+    wide = "http://" + ".".join("a" * (k % 3 + 1) for k in range(20000)) + ".x.org/de/1"
+    captures = [(1, deep, 500), (2, wide, 500), (3, "http://x.org/a/b/", 500), (4, "http://x.org/a", 500)]
+    entries = [("p", "x.org/a/b/", 1, "add"), ("q", "x.org", 1, "add"), ("r", "x.org/a", 1, "add")]
+    began = time.perf_counter()
+    rows = got(spark, captures, entries)
+    assert time.perf_counter() - began < 30
+    assert {r[0]: (r[3], r[4]) for r in rows} == {1: (2, "p,q"), 2: (1, "q"), 3: (2, "p,q"), 4: (2, "q,r")}
+
+
+def test_patterns_of_single_labels_match_no_parent(spark):
+    """Where the list names single labels alone, parent domains still have two."""
+    captures, entries = [(1, "http://a.org/", 5), (2, "http://localhost/x", 5)], [("p", "org", 1, "add"), ("q", "localhost", 1, "add")]
+    assert got(spark, captures, entries) == brute(captures, entries)
