@@ -130,20 +130,20 @@ def test_exchange_teaches_the_weak_view(make_docs, spark):
     """Few labels, of one source only: the content view teaches the metadata
     view what the other sources are worth."""
     rng = np.random.default_rng(0)
-    good, bad = ["river", "stone", "vales", "coast", "month"], ["click", "buyit", "frees", "offer", "deals"]
+    good, bad = ([f"{c}{k:02d}xy" for k in range(20)] for c in "gb")  # equal lengths, so that the layout tells nothing
     rows, truth = [], {}
     for k in range(900):
         y = int(rng.random() < .5)
         own, other = (good, bad) if y else (bad, good)
-        words = [str(rng.choice(own if rng.random() < .9 else other)) for _ in range(40)]
+        words = [str(rng.choice(own if rng.random() < .95 else other)) for _ in range(15)]
         truth[k] = y
-        source = "known" if k < 60 else ("library" if y else "spam")
+        source = "known" if k < 240 else ("library" if y else "spam")
         rows.append((k, " ".join(words), source))
-    labels = spark.createDataFrame([(k, truth[k]) for k in range(60)], "doc_id bigint, quality int")
+    labels = spark.createDataFrame([(k, truth[k]) for k in range(240)], "doc_id bigint, quality int")
     docs = make_docs(rows, 4)
 
     def accuracy(rounds):
-        scores = quality.score(docs, quality.fit(docs, labels, rounds=rounds)).where("doc_id >= 60").collect()
+        scores = quality.score(docs, quality.fit(docs, labels, rounds=rounds)).where("doc_id >= 240").collect()
         return (np.mean([(r.metadata_score >= .5) == truth[r.doc_id] for r in scores]),
                 np.mean([r.keep == bool(truth[r.doc_id]) for r in scores]))
     alone, together = accuracy(0), accuracy(2)
