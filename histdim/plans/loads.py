@@ -2,8 +2,8 @@
 
 The survivor of a grain (game, team, player) is the first of its log rows, and
 the first of the firsts of two batches is the first of both. A new batch is
-therefore reduced by itself and then only meets the stored rows of its own
-grains; loads that hold none of them stay as they are and are not even read.
+therefore shuffled once, together with the loads that may hold grains of it;
+loads that hold none of them stay as they are and are not even read.
 
 Which loads may hold a grain is told by an index at rest: a blocked Bloom
 filter per season and load, kept as a table of (season, load, block, bits). A
@@ -22,16 +22,17 @@ a table of their own and are tried again by the next load.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.analytics import bail_counts, bail_rates_of
-from ..operators.facts import DETAIL_GRAIN, dedup, detail_tiebreak, fact_columns, first_games
+from ..operators.facts import DETAIL_GRAIN, dealt, detail_tiebreak, fact_columns, first_games, with_games
 from ..schemas import FACT_KEY, FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAILS, GAMES, conform
 from ..sources import manifest
 from . import contracts
 from .publish import _load, _read_folders, publish
+from .skew import SALT
 from .staging import stage
 
 SEASON = "dim_season"
@@ -41,6 +42,9 @@ STORED = T.StructType([*FCT_GAME_DETAILS.fields, *[GAME_DETAILS[c] for c in KEPT
 # The stored names of the log's tie-break columns, in the log's order.
 ORDER = ("dim_player_name", "dim_start_position", "comment", "min", *FACT_MEASURE_NAMES.values())
 
+# Columns of a stored row that its log row does not tell.
+OWN = ("dim_game_date", SEASON, "dim_is_playing_at_home", "m_min")
+
 KEYS_A_BLOCK = 12  # keys that share a block of 256 bits, on average: one absent key in 1,000 seems present
 WORDS = 4
 
@@ -57,11 +61,16 @@ def _waiting_path(path: str) -> str:
     return f"{path.rstrip('/')}/_waiting"
 
 
+def _bit(hashed: str, k: int) -> Column:
+    """A key's bit in word ``k`` of its block."""
+    at = F.shiftrightunsigned(hashed, 6 * k).bitwiseAND(F.lit(63))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
+
+
 def _keyed(rows: DataFrame, blocks: Column) -> DataFrame:
-    """The season, block and bit in each of the block's words of every grain."""
+    """The season, block and hash of every grain; the bits follow from the hash."""
     hashed = rows.withColumn("_h", F.xxhash64(*GRAIN))
-    bits = {f"w{k}": F.expr(f"shiftleft(1L, cast(shiftrightunsigned(_h, {6 * k}) & 63 AS int))") for k in range(WORDS)}
-    return hashed.withColumns({"block": F.pmod(F.shiftrightunsigned("_h", 24), blocks), **bits}).drop("_h", *GRAIN)
+    return hashed.withColumn("block", F.pmod(F.shiftrightunsigned("_h", 24), blocks)).drop(*GRAIN)
 
 
 def _season_of(folder: str) -> str:
@@ -74,8 +83,9 @@ def _write_index(spark: SparkSession, path: str, rows: DataFrame) -> None:
     sizes = stage(grains.groupBy(SEASON, manifest.LOAD)
                   .agg(F.ceil(F.count(F.lit(1)) / KEYS_A_BLOCK).alias("blocks")))  # a row per season
     keyed = _keyed(grains.join(F.broadcast(sizes), [SEASON, manifest.LOAD]), F.col("blocks"))
-    (keyed.groupBy(SEASON, manifest.LOAD, "block")
-     .agg(F.first("blocks").alias("blocks"), *[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS)])
+    # hashes are dealt, not words: few keys of a block are in one task, so that sums before the shuffle save nothing
+    (keyed.repartition(SEASON, manifest.LOAD, "block").groupBy(SEASON, manifest.LOAD, "block")
+     .agg(F.first("blocks").alias("blocks"), *[F.bit_or(_bit("_h", k)).alias(f"w{k}") for k in range(WORDS)])
      .write.mode("append").partitionBy(SEASON, manifest.LOAD).parquet(_index_path(path)))
 
 
@@ -103,8 +113,9 @@ _INDEX = f"{SEASON} int, {manifest.LOAD} string, block bigint, blocks bigint, "
 
 
 def candidate_loads(spark: SparkSession, path: str, folders: dict[str, str], fresh: DataFrame) -> list[str]:
-    """Which of the live load folders may hold a grain of ``fresh`` (stored
-    rows), by the index alone: no stored row is read."""
+    """Which of the live load folders may hold a grain of ``fresh`` (season and
+    grain by their stored names, repeats allowed), by the index alone: no
+    stored row is read."""
     seasons = {f"{SEASON}={r[0]}" for r in fresh.select(SEASON).distinct().collect()}  # a few dozen
     wanted = sorted(x for x in folders.values() if _season_of(x) in seasons)
     if not wanted:
@@ -113,10 +124,10 @@ def candidate_loads(spark: SparkSession, path: str, folders: dict[str, str], fre
     index = spark.read.schema(_INDEX).option("basePath", base).parquet(*[f"{base}/{x}" for x in wanted])
     # a load's number of blocks tells a key's block, so each key is probed once per load of its season
     sizes = stage(index.select(SEASON, manifest.LOAD, "blocks").distinct())  # a row per load
-    probes = _keyed(fresh.select(SEASON, *GRAIN).distinct().join(F.broadcast(sizes), SEASON), F.col("blocks"))
+    probes = _keyed(fresh.select(SEASON, *GRAIN).join(F.broadcast(sizes), SEASON), F.col("blocks")).drop("blocks")
     hit = F.lit(True)
     for k in range(WORDS):
-        hit = hit & (F.col(f"i.w{k}").bitwiseAND(F.col(f"p.w{k}")) != 0)
+        hit = hit & (F.col(f"i.w{k}").bitwiseAND(_bit("p._h", k)) != 0)
     on = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in (SEASON, manifest.LOAD, "block")]
     for c in on[1:]:
         on[0] = on[0] & c
@@ -132,22 +143,46 @@ def _with_load(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{x}" for x in folders])
 
 
-def _of_grains(rows: DataFrame, grains: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join by grain; a NULL part of a grain is a value of its own."""
-    on = F.lit(True)
-    for c in GRAIN:
-        on = on & F.col(f"_r.{c}").eqNullSafe(F.col(f"_g.{c}"))
-    return rows.alias("_r").join(grains.select(*GRAIN).alias("_g"), on, how)
-
-
-def _survivors(log: DataFrame, games: DataFrame, on_malformed: str) -> tuple[DataFrame, DataFrame]:
-    """The first row of each grain of a batch as stored rows, and those whose
-    game is not known."""
-    first = dedup(log, DETAIL_GRAIN, detail_tiebreak())
-    known = first_games(conform(games, GAMES)).where("season is not null")
-    joined = stage(first.join(known, "game_id", "left"))
-    rows = joined.where("season is not null").select(*fact_columns(on_malformed), *KEPT)
-    return conform(rows, STORED), conform(joined.where("season is null"), GAME_DETAILS)
+def _season_grains(log: DataFrame, known: DataFrame) -> DataFrame:
+    """Season and grain, by their stored names, of the log rows of known games."""
+    grains = log.select(*DETAIL_GRAIN).join(known.select("game_id", "season"), "game_id")
+    return grains.select(F.col("season").alias(SEASON), *[F.col(a).alias(b) for a, b in zip(DETAIL_GRAIN, GRAIN)])
+
+
+def _stored_names() -> dict[str, str]:
+    """The stored name of every column of the log."""
+    return {**dict(zip(DETAIL_GRAIN, GRAIN)), **dict(zip(detail_tiebreak(), ORDER))}
+
+
+def _as_log(stored: DataFrame) -> DataFrame:
+    """Stored rows by the log's names, with their load and what the log lacks."""
+    return stored.select(*[F.col(b).alias(a) for a, b in _stored_names().items()], *OWN, manifest.LOAD)
+
+
+def _folded(log: DataFrame, stored: DataFrame | None, known: DataFrame, on_malformed: str) -> DataFrame:
+    """The first batch row of each grain, unless a stored row of the grain
+    comes before it, and all ``stored`` rows, in one shuffle of both: stored
+    rows with ``load``, ``waits`` (batch rows whose game is not known) and
+    ``beaten`` (stored rows that come after a batch row of a known game)."""
+    kinds = {f.name: f.dataType for f in STORED.fields} | {manifest.LOAD: T.StringType()}
+    rows = log.withColumns({c: F.lit(None).cast(kinds[c]) for c in (*OWN, manifest.LOAD)})
+    if stored is not None:
+        rows = rows.unionByName(_as_log(stored))
+    new = F.col(manifest.LOAD).isNull()
+    grain = Window.partitionBy("game_id", SALT, "team_id", "player_id")
+    # of equal rows the stored one stays
+    w = grain.orderBy(*[F.col(c).asc_nulls_last() for c in detail_tiebreak()], new).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (dealt(rows).withColumns({"_nth": F.count_if(new).over(w), "_ahead": F.first(new).over(w)})
+              .where(~new | (F.col("_nth") == 1)))
+    joined = with_games(ranked, known.drop("visitor_team_id"), "left")
+    known_new = new & F.col("season").isNotNull()
+    own = {c: F.when(known_new, col).when(~new, F.col(c)) if c in OWN else col
+           for c, col in zip(FCT_GAME_DETAILS.fieldNames(), fact_columns(on_malformed))}
+    return (joined.where(~known_new | F.col("_ahead"))
+            .select(*[col.cast(kinds[c]).alias(c) for c, col in own.items()], *KEPT, manifest.LOAD,
+                    (new & F.col("season").isNull()).alias("waits"),
+                    (~new & F.col("_ahead") & F.col("season").isNotNull()).alias("beaten")))
 
 
 def publish_fact_load(spark: SparkSession, path: str, details: DataFrame, games: DataFrame,
@@ -169,25 +204,14 @@ def publish_fact_load(spark: SparkSession, path: str, details: DataFrame, games:
     waiting = _waiting_path(path)
     if manifest.current(spark, waiting) is not None:
         log = log.unionByName(manifest.read(spark, waiting, GAME_DETAILS))
-    fresh, unknown = _survivors(log, games, on_malformed)
-    found = candidate_loads(spark, path, folders, fresh)
-    rewritten: list[str] = []
-    rows = fresh
-    if found:
-        stored = _with_load(spark, path, found)
-        met = stage(_of_grains(stored, fresh, "left_semi"))
-        both = met.unionByName(fresh.withColumn(manifest.LOAD, F.lit(None).cast("string")))
-        # of equal rows the stored one stays
-        order = [*ORDER, F.col(manifest.LOAD).isNull()]
-        won = stage(dedup(both, GRAIN, order))
-        lost = stage(_of_grains(met, won.where(F.col(manifest.LOAD).isNull()), "left_semi")
-                     .select(SEASON, manifest.LOAD, *GRAIN))
-        rewritten = sorted(f"{SEASON}={r[0]}/{manifest.LOAD}={r[1]}"
-                           for r in lost.select(SEASON, manifest.LOAD).distinct().collect())
-        rows = won.where(F.col(manifest.LOAD).isNull()).drop(manifest.LOAD)
-        if rewritten:
-            kept = _of_grains(_with_load(spark, path, rewritten), lost, "left_anti")
-            rows = rows.unionByName(kept.drop(manifest.LOAD))
+    known = stage(first_games(conform(games, GAMES)).where("season is not null"))
+    found = candidate_loads(spark, path, folders, stage(_season_grains(log, known))) if folders else []
+    folded = stage(_folded(log, _with_load(spark, path, found) if found else None, known, on_malformed))
+    folder = F.concat(F.lit(f"{SEASON}="), F.col(SEASON).cast("string"), F.lit(f"/{manifest.LOAD}="), F.col(manifest.LOAD))
+    rewritten = sorted(r[0] for r in folded.where("beaten").select(folder).distinct().collect())
+    new = F.col(manifest.LOAD).isNull()
+    rows = conform(folded.where((new & ~F.col("waits")) | (folder.isin(rewritten) & ~F.col("beaten"))), STORED)
+    unknown = conform(folded.where("waits").select(*[F.col(b).alias(a) for a, b in _stored_names().items()]), GAME_DETAILS)
     if rows.limit(1).count():
         new = _load(rows, path, STORED, [SEASON])
         written = _with_load(spark, path, list(new.values()))

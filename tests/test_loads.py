@@ -95,3 +95,27 @@ def test_rows_wait_for_their_game_and_the_key_is_checked(spark, scratch):
     with pytest.raises(ContractError, match="not unique"):
         publish_fact_load(spark, path, details_df(spark, [detail(8, 10, 7)]), same_day, enforce_key=True)
     assert [r.m_pts for r in read_fact(spark, path).collect()] == [4]
+
+
+def test_a_load_shuffles_batch_and_stored_rows_once(spark, scratch):
+    from histdim.operators.facts import first_games
+    from histdim.plans import loads
+    path, games = f"{scratch}/fact", games_df(spark, all_games(4))
+    publish_fact_load(spark, path, details_df(spark, [detail(g, 10, p, pts=3) for g in range(4) for p in range(9)]), games)
+    folders = list(manifest.current(spark, path)["folders"].values())
+    plan = loads._folded(details_df(spark, [detail(1, 10, 2, pts=1)]), loads._with_load(spark, path, folders),
+                         first_games(games), "error")._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert len([x for x in plan if "REPARTITION_BY_COL" in x]) == 1
+    assert len([x for x in plan if " Sort [" in x and "start_position" in x]) == 1
+    assert not [x for x in plan if "ENSURE_REQUIREMENTS" in x and "team_id" in x]
+
+
+def test_a_stored_row_stays_while_its_game_is_unknown_again(spark, scratch):
+    path, games = f"{scratch}/fact", all_games(6)
+    publish_fact_load(spark, path, details_df(spark, [detail(g, 10, 7, pts=5) for g in (1, 5)]), games_df(spark, games))
+    # games 1 and 5 are of one season; only game 5 is known to the second load, which loads both
+    publish_fact_load(spark, path, details_df(spark, [detail(g, 10, 7, pts=p) for g in (1, 5) for p in (4, 3, 3)]),
+                      games_df(spark, games[2:]))
+    assert sorted(r.m_pts for r in read_fact(spark, path).collect()) == [3, 5]
+    publish_fact_load(spark, path, details_df(spark, []), games_df(spark, games))
+    assert sorted(r.m_pts for r in read_fact(spark, path).collect()) == [3, 3]
