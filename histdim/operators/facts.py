@@ -4,10 +4,9 @@ The reference joins the log to ``games`` and keeps the first row per grain
 (game_id, team_id, player_id) ordered by game date. Every row of a grain has
 the same game_id, so the join partner is the same game for all of them: the
 survivor is (first version of the game) x (first detail row of the grain). The
-log is shuffled once, by game and part of the game: a part holds whole grains,
-so that a hot game is dealt over its teams and players, and the games, repeated
-once per part, meet the survivors where they are. A total tie-break over all
-columns makes the survivor the same on every run (S11).
+log is shuffled once, by its whole grain, which deals a hot game over its teams
+and players, and only survivors meet the games. The measures travel there as one text.
+A total tie-break over all columns makes the survivor the same on every run (S11).
 """
 
 from __future__ import annotations
@@ -18,12 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import COMMENT_MARKERS, comment_flag, is_home, minutes
-from ..plans.skew import SALT, repeated, salt_of
 from ..schemas import FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAIL_MEASURES, GAME_DETAILS, GAMES, conform
 
 DETAIL_GRAIN = ("game_id", "team_id", "player_id")
 GAME_COLUMNS = ("game_date_est", "season", "home_team_id", "visitor_team_id")
-GAME_PARTS = 4  # parts of a game: each costs one copy of the games in the shuffle
 
 
 def _asc(cols: Sequence) -> list[Column]:
@@ -57,33 +54,26 @@ def detail_tiebreak() -> list[str]:
 
 
 def first_games(games: DataFrame) -> DataFrame:
-    """The first version of every game."""
-    return dedup(games, ["game_id"], list(GAME_COLUMNS)).select("game_id", *GAME_COLUMNS)
+    """The first version of every game. The window's key has a part that
+    follows from the id: a join by id alone then meets a plain shuffle of this
+    side, which lets the planner split a hot game on the other one."""
+    apart = games.withColumn("_apart", F.pmod(F.xxhash64("game_id"), F.lit(2)))
+    return dedup(apart, ["game_id", "_apart"], list(GAME_COLUMNS)).select("game_id", *GAME_COLUMNS)
 
 
-def dealt(log: DataFrame) -> DataFrame:
-    """The log shuffled by game and part of the game. The shuffle is asked for
-    here, before any sort: copies of a grain compress well in it, whereas the
-    planner's own would sort (and spill) the whole log a first time ahead of
-    it. The measures travel as one text, where a small number takes two bytes
-    instead of eight."""
-    packed = F.array_join(F.array(*[F.col(m).cast("string") for m in GAME_DETAIL_MEASURES]), ",", "~")
-    others = [c for c in log.columns if c not in GAME_DETAIL_MEASURES]
-    sent = (log.select(*others, packed.alias("_measures"), salt_of(("team_id", "player_id"), GAME_PARTS).alias(SALT))
-            .repartition("game_id", SALT).withColumn("_measures", F.split("_measures", ",")))
-    back = {m: F.nullif(F.col("_measures")[k], F.lit("~")).cast(log.schema[m].dataType)
-            for k, m in enumerate(GAME_DETAIL_MEASURES)}
-    return sent.select(*[back[c].alias(c) if c in back else c for c in log.columns], SALT)
+def packed(log: DataFrame) -> DataFrame:
+    """The log with its measures as one text, for a shuffle: a small number
+    takes two bytes there instead of eight."""
+    text = F.array_join(F.array(*[F.col(m).cast("string") for m in GAME_DETAIL_MEASURES]), ",", "~")
+    return log.select(*[c for c in log.columns if c not in GAME_DETAIL_MEASURES], text.alias("_measures"))
 
 
-def first_details(log: DataFrame) -> DataFrame:
-    """The first row of every grain, dealt as ``dealt`` deals it."""
-    return dedup(dealt(log), ["game_id", SALT, "team_id", "player_id"], detail_tiebreak())
-
-
-def with_games(rows: DataFrame, games: DataFrame, how: str = "inner") -> DataFrame:
-    """Dealt rows with the columns of their game, without a shuffle of theirs."""
-    return rows.join(repeated(games, GAME_PARTS), ["game_id", SALT], how).drop(SALT)
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The measures back from the text that ``packed`` made of them."""
+    apart = rows.withColumn("_measures", F.split("_measures", ","))
+    back = [F.nullif(F.col("_measures")[k], F.lit("~")).cast(GAME_DETAILS[m].dataType).alias(m)
+            for k, m in enumerate(GAME_DETAIL_MEASURES)]
+    return apart.select(*[c for c in rows.columns if c != "_measures"], *back)
 
 
 def dedup_details(details: DataFrame, games: DataFrame, game_date=None,
@@ -96,6 +86,10 @@ def dedup_details(details: DataFrame, games: DataFrame, game_date=None,
     straight from their scan, then drops the log's other rows before any
     shuffle: by broadcast below the session's threshold, beyond it by the
     planner's runtime Bloom filter.
+
+    The shuffle of the whole log is asked for ahead of the window: the
+    planner's own would sort (and spill) all of the log a first time before it,
+    to spare copies of a grain that compress well in a shuffle anyway.
     """
     g = conform(games, GAMES)
     log = conform(details, GAME_DETAILS)
@@ -105,7 +99,9 @@ def dedup_details(details: DataFrame, games: DataFrame, game_date=None,
         g = g.where(F.col("season") == F.lit(season))
     if game_date is not None or season is not None:
         log = log.join(g.select("game_id"), "game_id", "left_semi")
-    joined = with_games(first_details(log), first_games(g))
+    else:
+        log = unpacked(packed(log).repartition(*DETAIL_GRAIN))
+    joined = dedup(log, DETAIL_GRAIN, detail_tiebreak()).join(first_games(g), "game_id")
     return joined.select(*GAME_COLUMNS, *[f.name for f in GAME_DETAILS.fields])
 
 

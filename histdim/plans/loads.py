@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.analytics import bail_counts, bail_rates_of
-from ..operators.facts import DETAIL_GRAIN, dealt, detail_tiebreak, fact_columns, first_games, with_games
+from ..operators.facts import DETAIL_GRAIN, detail_tiebreak, fact_columns, first_games, packed, unpacked
 from ..schemas import FACT_KEY, FACT_MEASURE_NAMES, FCT_GAME_DETAILS, GAME_DETAILS, GAMES, conform
 from ..sources import manifest
 from . import contracts
 from .publish import _load, _read_folders, publish
-from .skew import SALT
+from .skew import SALT, repeated, salt_of
 from .staging import stage
 
 SEASON = "dim_season"
@@ -45,6 +45,7 @@ ORDER = ("dim_player_name", "dim_start_position", "comment", "min", *FACT_MEASUR
 # Columns of a stored row that its log row does not tell.
 OWN = ("dim_game_date", SEASON, "dim_is_playing_at_home", "m_min")
 
+GAME_PARTS = 4  # parts that a game's rows are dealt over; each costs one copy of the games in the shuffle
 KEYS_A_BLOCK = 12  # keys that share a block of 256 bits, on average: one absent key in 1,000 seems present
 WORDS = 4
 
@@ -159,6 +160,13 @@ def _as_log(stored: DataFrame) -> DataFrame:
     return stored.select(*[F.col(b).alias(a) for a, b in _stored_names().items()], *OWN, manifest.LOAD)
 
 
+def _dealt(log: DataFrame) -> DataFrame:
+    """Log rows shuffled by game and part of the game. A part holds whole
+    grains; the games, repeated once per part, meet the rows where they are."""
+    parted = log.withColumn(SALT, salt_of(("team_id", "player_id"), GAME_PARTS))
+    return unpacked(packed(parted).repartition("game_id", SALT))
+
+
 def _folded(log: DataFrame, stored: DataFrame | None, known: DataFrame, on_malformed: str) -> DataFrame:
     """The first batch row of each grain, unless a stored row of the grain
     comes before it, and all ``stored`` rows, in one shuffle of both: stored
@@ -173,9 +181,9 @@ def _folded(log: DataFrame, stored: DataFrame | None, known: DataFrame, on_malfo
     # of equal rows the stored one stays
     w = grain.orderBy(*[F.col(c).asc_nulls_last() for c in detail_tiebreak()], new).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = (dealt(rows).withColumns({"_nth": F.count_if(new).over(w), "_ahead": F.first(new).over(w)})
+    ranked = (_dealt(rows).withColumns({"_nth": F.count_if(new).over(w), "_ahead": F.first(new).over(w)})
               .where(~new | (F.col("_nth") == 1)))
-    joined = with_games(ranked, known.drop("visitor_team_id"), "left")
+    joined = ranked.join(repeated(known.drop("visitor_team_id"), GAME_PARTS), ["game_id", SALT], "left")
     known_new = new & F.col("season").isNotNull()
     own = {c: F.when(known_new, col).when(~new, F.col(c)) if c in OWN else col
            for c, col in zip(FCT_GAME_DETAILS.fieldNames(), fact_columns(on_malformed))}

@@ -72,7 +72,7 @@ def test_duplicate_report_and_generic_dedup(spark):
     assert dedup(d, ["game_id", "team_id", "player_id"]).count() == 2
 
 
-def test_log_is_shuffled_once_and_sorted_once(spark):
+def test_log_is_not_sorted_before_its_shuffle(spark):
     d, games = details_df(spark, [detail(1, 10, 7)]), games_df(spark, GAMES)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -84,10 +84,11 @@ def test_log_is_shuffled_once_and_sorted_once(spark):
     deals = [i for i, x in enumerate(plan) if "Exchange " in x and "REPARTITION_BY_COL" in x]
     others = [x for x in plan if "Exchange " in x and "REPARTITION_BY_COL" not in x]
     assert len(sorts) == len(deals) == 1 and sorts[0] < deals[0]  # the sort is above the shuffle
-    assert len(others) == 2  # of the games: by game, and repeated by game and part
+    assert len(others) == 3  # the survivors by game, the games for their dedup and by game
+    assert "_measures" in plan[deals[0] + 1] and not [x for x in others if "player_id" in x]
 
 
-def test_null_parts_of_a_grain_and_parts_of_a_game(spark):
+def test_null_parts_of_a_grain(spark):
     rows = [detail(1, t, p, pts=x) for t in (10, 20, None) for p in (*range(9), None) for x in (3, 2)]
     got = as_dicts(dedup_details(details_df(spark, [*rows, detail(None, 10, 7)]), games_df(spark, GAMES)))
     assert len(got) == len({(r["team_id"], r["player_id"]) for r in got}) == 30
@@ -95,10 +96,10 @@ def test_null_parts_of_a_grain_and_parts_of_a_game(spark):
 
 
 def test_measures_come_back_from_the_shuffle_as_they_were(spark):
-    from histdim.operators.facts import dealt
+    from histdim.operators.facts import packed, unpacked
     edge = [(None, 0, -1, 2**31 - 1, -2**31, *[None] * 11), tuple(range(16)), (None,) * 16, (7,) * 15 + (None,)]
     d = details_df(spark, [(1, 10, p, "P", "G", "", "1:00", *m) for p, m in enumerate(edge)])
-    got = dealt(d).drop("_salt")
+    got = unpacked(packed(d))
     assert got.schema == d.schema and sorted(map(str, got.collect())) == sorted(map(str, d.collect()))
 
 
