@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow
+from .common import map_arrow, written
 
 # Labelled documents that are used, at most: those with the smallest hashed ids.
 LABELLED = 4000
@@ -88,25 +88,145 @@ N_CONTENT, N_META = len(content_view("", [])), len(metadata_view("", None))
 SIZES = (N_CONTENT + GROUPS[0] + 1, N_META + GROUPS[1] + 1)  # measured, evidence, intercept
 
 
-def hashed(raw: bytes, lang: str | None, source: str | None) -> np.ndarray:
-    """The sorted buckets of a document's words, byte trigrams, source and language."""
-    low = raw.lower()
-    words = np.fromiter(map(zlib.crc32, set(low.split())), dtype=np.uint32)
-    b = np.frombuffer(low, dtype=np.uint8).astype(np.uint32)
-    grams = ((b[:-2] << np.uint32(16)) + (b[1:-1] << np.uint32(8)) + b[2:]) * np.uint32(2654435761) >> np.uint32(22)
-    seen = np.zeros(BUCKETS[1], dtype=bool)
-    seen[grams] = True
-    parts = [np.unique(words % BUCKETS[0]), np.flatnonzero(seen),
-             [zlib.crc32(repr(source).encode()) % BUCKETS[2]], [zlib.crc32(repr(lang).encode()) % BUCKETS[3]]]
-    return np.concatenate([np.asarray(p, dtype=np.int64) + e for p, e in zip(parts, EDGES)]).astype(np.uint16)
+class Words(NamedTuple):
+    """Where the words of some joined texts begin and end, and the text of each."""
+    begin: np.ndarray
+    end: np.ndarray
+    text: np.ndarray
+
+
+def _words(inside: np.ndarray, ends: np.ndarray) -> Words:
+    """The runs of ``inside``, over texts of which each ends in one character
+    outside, at ``ends``."""
+    turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[:1].any():
+        turn = np.r_[0, turn]
+    upto = np.searchsorted(turn[::2], ends)
+    return Words(turn[::2], turn[1::2], np.repeat(np.arange(len(ends)), np.diff(upto, prepend=0)))
+
+
+@lru_cache
+def _code_values() -> np.ndarray:
+    """A random 64-bit value of every code point."""
+    return np.random.default_rng(7).integers(1 << 64, size=sys.maxunicode + 1, dtype=np.uint64)
+
+
+@lru_cache(1)
+def _powers(size: int) -> np.ndarray:
+    return np.cumprod(np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64))
+
+
+def measured(texts: list[str], n_chars: list[int | None], n_bytes: np.ndarray) -> np.ndarray:
+    """``content_view`` and ``metadata_view`` of each text, of all texts at
+    once. Hashes of 56 bits stand for the words of a text; at most 256 texts."""
+    n = len(texts)
+    length = np.array([len(t) for t in texts])
+    ends = np.cumsum(length + 1) - 1
+    starts = ends - length
+    codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kinds = _classes()[codes]
+    upper, letter, digit, other = (np.add.reduceat(kinds == k, starts, dtype=np.int64) for k in (UPPER, LETTER, DIGIT, OTHER))
+    inside = kinds != SPACE
+    words = _words(inside, ends)
+    n_words = np.bincount(words.text, minlength=n)
+    powers = _powers(1 << max(17, len(codes).bit_length()))
+    value = _code_values()[codes] * powers[:len(codes)] * inside
+    found = (np.add.reduceat(value, words.begin) * powers[len(codes) - words.begin]) >> np.uint64(8) if len(words.begin) else value[:0]
+    of_text = found | (words.text.astype(np.uint64) << np.uint64(56))
+    again = np.bincount(words.text[1:][of_text[1:] == of_text[:-1]], minlength=n)
+    of_text.sort()
+    first = np.flatnonzero(np.r_[True, of_text[1:] != of_text[:-1]][:len(of_text)])
+    run, owner = np.diff(first, append=len(of_text)), (of_text[first] >> np.uint64(56)).astype(np.int64)
+    distinct, most = np.bincount(owner, minlength=n), np.zeros(n, dtype=np.int64)
+    np.maximum.at(most, owner, run)
+    letters, per = upper + letter, np.maximum(1, n_words)
+    size = np.maximum(1, length)
+    bars, marks = (np.array([t.count(c) for t in texts]) for c in "|!")
+
+    breaks = np.flatnonzero(codes == 10)
+    opens = np.r_[0, breaks[:-1] + 1][:len(breaks)]
+    line, at = breaks - opens, np.searchsorted(breaks, starts)
+    lines = np.diff(at, append=len(breaks))
+    last = np.searchsorted(words.end, breaks, side="right") - 1  # the last word that ends before the line does
+    final = np.append(words.end, 0)[last] - 1
+    closed = (last >= 0) & (final >= opens) & np.isin(codes[np.maximum(final, 0)], [ord(c) for c in ".!?"])
+    share = lambda x: np.add.reduceat(x, at, dtype=np.int64) / lines
+    declared = np.array([k if c is None else max(0, c) for k, c in zip(length.tolist(), n_chars)], dtype=float)
+    return np.stack([
+        upper / np.maximum(1, letters), other / size, digit / size, np.minimum(4.0, letters / per / 5), distinct / per,
+        most / per, again / per, np.minimum(2.0, bars / per), np.minimum(2.0, marks / per), np.minimum(4.0, other / per),
+        np.log1p(declared), np.log1p(lines), np.log1p(share(line)), np.log1p(np.maximum.reduceat(line, at)),
+        share(line < 60), share(closed), share(line == 0),
+        np.where(length > 0, np.log(n_bytes / size + 1e-9), 0.0)], axis=1)
+
+
+@lru_cache
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> np.uint32(1) ^ np.uint32(0xEDB88320), table >> np.uint32(1))
+    return table
+
+
+def _crcs(b: np.ndarray, words: Words, most: int = 32) -> np.ndarray:
+    """CRC-32 of every word, a byte of all words at a time; of those longer
+    than ``most`` one by one."""
+    size = words.end - words.begin
+    order = np.argsort(-np.minimum(size, most + 1).astype(np.int16), kind="stable")
+    begin, size = words.begin[order], size[order]
+    crc, table = np.full(len(order), 0xFFFFFFFF, dtype=np.uint32), _crc_table()
+    active = np.searchsorted(-np.minimum(size, most + 1), -np.arange(most))  # words longer than 0, 1, ... bytes
+    for k, m in enumerate(active[active > 0].tolist()):
+        crc[:m] = table[(crc[:m] ^ b[begin[:m] + k]) & np.uint32(255)] ^ (crc[:m] >> np.uint32(8))
+    crc = ~crc
+    for i in range(int((size > most).sum())):
+        crc[i] = zlib.crc32(b[begin[i]:begin[i] + size[i]])
+    out = np.empty_like(crc)
+    out[order] = crc
+    return out
+
+
+@lru_cache(1024)
+def _origin(lang: str | None, source: str | None) -> bytes:
+    """The buckets of a source and a language."""
+    return np.array([EDGES[2] + zlib.crc32(repr(source).encode()) % BUCKETS[2],
+                     EDGES[3] + zlib.crc32(repr(lang).encode()) % BUCKETS[3]], dtype=np.uint16).tobytes()
+
+
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def hashed(raw: list[bytes], langs: list[str | None], sources: list[str | None]) -> list[bytes]:
+    """The sorted buckets of each document's words, byte trigrams, source and
+    language, as 16-bit values."""
+    n, wide = len(raw), int(EDGES[2])
+    length = np.array([len(x) for x in raw])
+    ends = np.cumsum(length + 1) - 1
+    b = np.frombuffer(b"\n".join([*raw, b""]).lower(), dtype=np.uint8)
+    words = _words(~_BLANK[b], ends)
+    seen = np.zeros(n * wide + 1, dtype=bool)
+    seen[words.text * wide + _crcs(b, words) % np.uint32(BUCKETS[0])] = True
+    w = b.astype(np.uint32)
+    grams = ((w[:-2] << np.uint32(16)) + (w[1:-1] << np.uint32(8)) + w[2:]) * np.uint32(2654435761) >> np.uint32(22)
+    slot = np.repeat(np.arange(n) * wide + BUCKETS[0], length + 1)[:len(grams)] + grams
+    beyond = np.concatenate([ends, ends - 1, ends - 2])  # trigrams that would reach into the next text
+    slot[beyond[(beyond >= 0) & (beyond < len(grams))]] = n * wide
+    seen[slot] = True
+    held = np.flatnonzero(seen[:-1])
+    text = held // wide
+    data = (held - text * wide).astype(np.uint16).tobytes()
+    upto = [0, *(2 * np.cumsum(np.bincount(text, minlength=n))).tolist()]
+    return [data[a:z] + _origin(lang, source) for a, z, lang, source in zip(upto, upto[1:], langs, sources)]
 
 
 class Rows(NamedTuple):
     """Features of some documents: measured ones (both views), buckets of all
-    of them in a row, and how many each has."""
+    of them in a row, how many each has, and the number of document and group
+    (document * 4 + group) of every bucket."""
     measured: np.ndarray
     buckets: np.ndarray
     counts: np.ndarray
+    slots: np.ndarray
 
 
 class Model(NamedTuple):
@@ -133,28 +253,23 @@ def _odds(seen: np.ndarray, size: np.ndarray, less: int | None = None) -> np.nda
     return (np.log((n[1] + 1) / (prior[1] + 2)) - np.log((n[0] + 1) / (prior[0] + 2))) * (total / (total + RARE))
 
 
-def _evidence(rows: Rows, odds: np.ndarray, table: np.ndarray) -> np.ndarray:
+def _evidence(rows: Rows, odds: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
     """Mean log odds of each row's buckets by group; ``table`` tells which row
-    of ``odds`` holds for each row."""
-    row = np.repeat(np.arange(len(rows.counts)), rows.counts)
-    group = np.searchsorted(EDGES, rows.buckets, side="right") - 1
-    slot = row * len(BUCKETS) + group
+    of ``odds`` holds for each row's group (the first, unless given)."""
+    at = rows.buckets if table is None else (table.ravel() * odds.shape[1])[rows.slots] + rows.buckets
     size = len(rows.counts) * len(BUCKETS)
-    total = np.bincount(slot, odds[table[row], rows.buckets], minlength=size)
-    return (total / np.maximum(np.bincount(slot, minlength=size), 1)).reshape(-1, len(BUCKETS))
+    total = np.bincount(rows.slots, odds.ravel()[at], minlength=size)
+    return (total / np.maximum(np.bincount(rows.slots, minlength=size), 1)).reshape(-1, len(BUCKETS))
 
 
 def _inputs(rows: Rows, model: Model, given: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
     """Each view's inputs. A row that a view is fitted on (``given`` 0 or 1)
     is left out of its own evidence."""
-    odds = np.stack([_odds(model.seen, model.size), _odds(model.seen, model.size, 0), _odds(model.seen, model.size, 1)])
-    z = (rows.measured - model.mean) / model.scale
+    odds = [_odds(model.seen, model.size, less) for less in ((None,) if given is None else (None, 0, 1))]
+    table = None if given is None else np.repeat(np.stack([np.maximum(g + 1, 0) for g in given], axis=1), GROUPS, axis=1)
+    z, held = (rows.measured - model.mean) / model.scale, _evidence(rows, np.stack(odds), table)
     ones = np.ones((len(z), 1))
-    out = []
-    for view, (dense, groups) in enumerate(((z[:, :N_CONTENT], slice(0, 2)), (z[:, N_CONTENT:], slice(2, 4)))):
-        table = np.zeros(len(z), dtype=np.int64) if given is None else np.maximum(given[view] + 1, 0)
-        out.append(np.hstack([dense, _evidence(rows, odds, table)[:, groups], ones]))
-    return out
+    return [np.hstack([z[:, :N_CONTENT], held[:, :GROUPS[0]], ones]), np.hstack([z[:, N_CONTENT:], held[:, GROUPS[0]:], ones])]
 
 
 def _logits(rows: Rows, model: Model) -> list[np.ndarray]:
@@ -197,22 +312,38 @@ COLUMNS = ["text", "lang", "source", "n_chars"]
 FEATURES = "measured binary, buckets binary"
 
 
+TOGETHER = 1 << 17  # characters of the texts that are measured at once, unless one text is longer
+
+
 def _features(part: pa.RecordBatch) -> list[pa.Array]:
-    """Both feature columns of a batch with the columns ``COLUMNS``."""
-    measured, buckets = [], []
-    for text, lang, source, n in zip(*(part.column(c).to_pylist() for c in COLUMNS)):
-        text = text or ""
-        raw = text.encode("utf-8", "surrogatepass")
-        measured.append(np.array([*content_view(text, text.split()), *metadata_view(text, n)], dtype=np.float32).tobytes())
-        buckets.append(hashed(raw, lang, source).tobytes())
-    return [pa.array(measured, pa.binary()), pa.array(buckets, pa.binary())]
+    """Both feature columns of a batch of at most 256 rows with the columns ``COLUMNS``."""
+    texts, *others = (part.column(c).to_pylist() for c in COLUMNS)
+    texts = [t or "" for t in texts]
+    dense, buckets = [np.empty((0, N_CONTENT + N_META))], []
+    upto = np.cumsum([len(t) for t in texts])
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + TOGETHER, side="right")))
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts[at:end]]
+        langs, sources, n_chars = (x[at:end] for x in others)
+        dense.append(measured(texts[at:end], n_chars, np.array([len(x) for x in raw])))
+        buckets += hashed(raw, langs, sources)
+        at = end
+    return [pa.array([x.tobytes() for x in np.concatenate(dense).astype(np.float32)], pa.binary()), pa.array(buckets, pa.binary())]
+
+
+_GROUP = np.repeat(np.arange(len(BUCKETS)), BUCKETS)
+
+
+def _measured(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(-1, N_CONTENT + N_META).astype(float)
 
 
 def _rows(measured: pa.Array, buckets: pa.Array) -> Rows:
     held = buckets.to_pylist()
-    return Rows(np.frombuffer(b"".join(measured.to_pylist()), dtype=np.float32).reshape(-1, N_CONTENT + N_META).astype(float),
-                np.frombuffer(b"".join(held), dtype=np.uint16).astype(np.int64),
-                np.array([len(x) // 2 for x in held], dtype=np.int64))
+    counts = np.array([len(x) // 2 for x in held], dtype=np.int64)
+    found = np.frombuffer(b"".join(held), dtype=np.uint16).astype(np.int64)
+    return Rows(_measured(measured), found, counts, np.repeat(np.arange(len(counts)) * len(BUCKETS), counts) + _GROUP[found])
 
 
 def _total(df: DataFrame, terms, size: int) -> np.ndarray:
@@ -235,9 +366,9 @@ def _spread(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     k = N_CONTENT + N_META
 
     def terms(part):
-        x = _rows(part.column(1), part.column(2)).measured
+        x = _measured(part.column(0))
         return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
-    sums = _total(features, terms, 1 + 2 * k)
+    sums = _total(features.select("measured"), terms, 1 + 2 * k)
     n = max(1.0, sums[0])
     mean = sums[1:k + 1] / n
     scale = np.sqrt(np.maximum(sums[k + 1:] / n - mean ** 2, 0))
@@ -247,35 +378,29 @@ def _spread(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _counts(features: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
     """Documents of each class with each bucket, and of each class by view."""
     width = int(EDGES[-1])
-    view = np.repeat(np.repeat([0, 1], GROUPS), BUCKETS)
 
     def terms(part):
         rows = _rows(part.column(1), part.column(2))
         given = _given(rows, part.column(0).to_numpy(), model)
-        out = []
-        for label in (0, 1):
-            taught = np.stack([g == label for g in given])
-            of_row = np.repeat(np.arange(len(rows.counts)), rows.counts)
-            held = taught[view[rows.buckets], of_row]
-            out.append(np.bincount(rows.buckets[held], minlength=width))
-        sizes = [[(g == label).sum() for g in given] for label in (0, 1)]
-        return np.concatenate([*out, np.ravel(sizes)])
+        label = np.repeat(np.stack(given, axis=1) + 1, GROUPS, axis=1)
+        held = np.bincount((label.ravel() * width)[rows.slots] + rows.buckets, minlength=3 * width)
+        return np.concatenate([held[width:], np.ravel([[(g == c).sum() for g in given] for c in (0, 1)])])
     sums = _total(features, terms, 2 * width + 4)
     return sums[:2 * width].reshape(2, width), sums[2 * width:].reshape(2, 2)
 
 
 def _taught(features: DataFrame, teacher: Model | None, model: Model) -> DataFrame:
-    """Inputs and given label of every row that a view is fitted on, written."""
+    """Inputs and given labels of all rows that a view is fitted on, written:
+    those of up to 1024 documents in a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches, 1024):
             rows = _rows(part.column(1), part.column(2))
             given = _given(rows, part.column(0).to_numpy(), teacher)
-            for view, (x, g) in enumerate(zip(_inputs(rows, model, given), given)):
-                at = np.flatnonzero(g >= 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), view), pa.int32()), pa.array(g[at], pa.int32()),
-                     pa.array([r.astype(np.float32).tobytes() for r in x[at]], pa.binary())], ["view", "label", "x"])
-    return cut(map_arrow(features, run, "view int, label int, x binary"))
+            kept = [(g[g >= 0].astype(np.int8).tobytes(), x[g >= 0].astype(np.float32).tobytes())
+                    for x, g in zip(_inputs(rows, model, given), given)]
+            yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), *(pa.array(c, pa.binary()) for c in zip(*kept))],
+                                             ["view", "labels", "x"])
+    return written(map_arrow(features, run, "view int, labels binary, x binary"))
 
 
 def _fitted(taught: DataFrame) -> tuple:
@@ -284,12 +409,10 @@ def _fitted(taught: DataFrame) -> tuple:
     weights = tuple(np.zeros(k) for k in SIZES)
     for _ in range(STEPS):
         def terms(part, weights=weights):
-            view, label = (part.column(k).to_numpy() for k in (0, 1))
-            held, out = part.column(2).to_pylist(), []
-            for v, (k, w) in enumerate(zip(SIZES, weights)):
-                at = np.flatnonzero(view == v)
-                x = np.frombuffer(b"".join([held[i] for i in at]), dtype=np.float32).reshape(-1, k).astype(float)
-                out.append(newton_terms(x, label[at], w))
+            out = [np.zeros(k + k * k) for k in SIZES]
+            for v, labels, x in zip(*(c.to_pylist() for c in part.columns)):
+                x = np.frombuffer(x, dtype=np.float32).reshape(-1, SIZES[v]).astype(float)
+                out[v] += newton_terms(x, np.frombuffer(labels, dtype=np.int8), weights[v])
             return np.concatenate(out)
         sums = _total(taught, terms, int(ends[-1]))
         weights = tuple(newton_step(w, t) for w, t in zip(weights, np.split(sums, ends[:-1])))
@@ -315,7 +438,7 @@ def _prepared(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
             yield pa.RecordBatch.from_arrays([part.column("role"), *_features(part)], ["role", "measured", "buckets"])
-    return cut(map_arrow(rows, run, f"role int, {FEATURES}"))
+    return written(map_arrow(rows, run, f"role int, {FEATURES}"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS,
@@ -339,7 +462,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
         held = (ASIDE, ASIDE - 1)
     mean, scale = _spread(features)
     model, teacher = Model(mean, scale, np.zeros((2, 1)), np.zeros((2, 2)), zero, None, prior), None
-    aside = features.where(F.col("role").isin(*held))
+    aside = written(features.where(F.col("role").isin(*held)))  # bounded by ``labelled``, read once a round
     for _ in range(rounds + 1):
         seen, size = _counts(features, teacher)
         model = model._replace(seen=seen, size=size)
@@ -369,7 +492,7 @@ def _calibrated(aside: DataFrame, model: Model, held: tuple[int, int]) -> np.nda
         for part in _parts(batches, 1024):
             a, b = _logits(_rows(part.column(1), part.column(2)), model)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(a), pa.array(b)], ["role", "a", "b"])
-    logits = cut(map_arrow(aside, run, "role int, a double, b double"))
+    logits = written(map_arrow(aside, run, "role int, a double, b double"))
     w = np.zeros(3)
     for _ in range(CALIBRATION_STEPS):
         def terms(part, w=w):

@@ -164,6 +164,41 @@ def test_long_and_odd_texts_have_bounded_features():
         assert rows.counts[0] == len(rows.buckets) <= sum(quality.BUCKETS) and np.isfinite(rows.measured).all()
 
 
+def test_features_of_a_batch_are_those_of_each_text():
+    """Texts are measured together: nothing of a text counts for its neighbours,
+    and words, lines and trigrams are those of plain Python."""
+    texts = ["", "a", "\n", "été \x1c a a a. b", "ab", "A|B!! aA \x85 Öl Öl Öl\n\n", "a b. \r\nc.\t\n", "abc\n. ", " ",
+             "y" * 33 + " " + "z" * 32 + " " + "w" * 31, "\U0001f600 \U0001f600?\n", None, "w " * 300, "end of it!"]
+    n_chars = [None, -3, 7] * 5
+    for step in (1, 4, 14):
+        for at in range(0, len(texts), step):
+            some = texts[at:at + step]
+            part = pa.record_batch({"text": some, "lang": ["en"] * len(some), "source": pa.array([None] * len(some), pa.string()),
+                                    "n_chars": n_chars[at:at + len(some)]}, schema=pa.schema(
+                [("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]))
+            rows = quality._rows(*quality._features(part))
+            ends = np.cumsum(rows.counts)
+            for k, text in enumerate(some):
+                want = [*quality.content_view(text or "", (text or "").split()), *quality.metadata_view(text or "", n_chars[at + k])]
+                assert np.allclose(rows.measured[k], want, rtol=1e-6), text
+                held = rows.buckets[ends[k] - rows.counts[k]:ends[k]].tolist()
+                assert held == [b for group in buckets_of(text, "en", None) for b in sorted(group)], text
+
+
+def test_taught_rows_are_kept_in_blocks(spark, make_docs):
+    """A fit's Newton steps read a row of ``taught`` for every 1024 documents and view, not one for each."""
+    docs = make_docs([(k, f"w{k} {'good' if k % 2 else 'bad'}") for k in range(3000)], 2)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id bigint, quality int")
+    features = quality._prepared(docs, quality._labelled(labels, 4000, "doc_id", "quality"), "doc_id")
+    mean, scale = quality._spread(features)
+    model = quality.Model(mean, scale, np.zeros((2, 1)), np.zeros((2, 2)), (), None, 0.5)
+    seen, size = quality._counts(features, None)
+    taught = quality._taught(features, None, model._replace(seen=seen, size=size))
+    known = features.where("role >= 0").count()
+    assert taught.count() <= 12 and size.sum() == 2 * known
+    assert [sum(len(r.labels) for r in taught.collect() if r.view == v) for v in (0, 1)] == [known, known]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 1)], [(1, None), (2, 5)], [(1, 0), (6, 1), (6, 0), (None, 1), (99, 1)],
                                   [(k, k % 2) for k in range(1, 8)]])
 def test_odd_rows_and_labels(spark, odd_docs, make_docs, rows):
