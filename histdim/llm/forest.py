@@ -12,7 +12,11 @@ deep that is: shallow where the corpus is thin, deep among many near copies.
 2. A region (all nodes that share a tree's first five values) whose nodes are
    of one component holds nothing more to find. In the others, every pair of
    two components is compared by its signatures, crowded regions cut into a
-   grid of parts, and those that agree are confirmed.
+   grid of parts; the two best of each node that agree are confirmed.
+3. Nodes with more such pairs meet again, region by region, with their full
+   sets: all pairs of two components are compared there, in the task, and only
+   links that join components leave it. So no table holds more than a few rows
+   for each node of a region, however many of its pairs are close.
 
 So a link is missed only if its documents share no region of any tree, which
 at similarity 0.85 happens to one in 1.3 million, or if their signatures agree
@@ -37,6 +41,8 @@ VALUES = TREES * DEPTH
 BEHIND = 11          # further values that order a region
 CROWD = 2048         # nodes of one region beyond which it is dealt as a grid
 BLOCK = 4096
+EACH = 2             # candidates of a node that leave a region's cell as pairs
+HELD = 1 << 24       # bytes of full sets in a part of a region
 GOLDEN = 0x9E3779B97F4A7C15
 FACTORS = np.random.default_rng(20).integers(1 << 63, size=VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -181,10 +187,20 @@ def _best(pairs: DataFrame, each: int = 2) -> DataFrame:
             .select("u", "v").distinct())
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, threshold: int,
-              text_col: str = "text") -> DataFrame:
-    """The pairs (u, v) whose full sets have 100 * intersection >= threshold *
-    union. Only texts of nodes in ``pairs`` are read again, one of each node."""
+def _among_best(u: np.ndarray, v: np.ndarray, agree: np.ndarray, each: int) -> np.ndarray:
+    """Which pairs ``_best`` would keep of these."""
+    node = np.r_[u, v]
+    order = np.lexsort((np.r_[v, v], np.r_[u, u], -np.r_[agree, agree].astype(np.int32), node))
+    begin = np.flatnonzero(np.r_[True, np.diff(node[order]) != 0][:len(node)])
+    rank = np.arange(len(node)) - np.repeat(begin, np.diff(begin, append=len(node)))
+    keep = np.zeros(len(u), dtype=bool)
+    keep[order[rank < each] % max(1, len(u))] = True
+    return keep
+
+
+def full_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, text_col: str = "text") -> DataFrame:
+    """(sh, set), written, of the nodes ``asked`` (sh, distinct). Only their
+    texts are read again, one of each node."""
     def gather(batches):
         for b in batches:
             texts = {th: t for th, t in zip(b.column(0).to_pylist(), b.column(1))}
@@ -192,6 +208,18 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, t
             yield pa.RecordBatch.from_arrays([pa.array(list(texts), pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], ["th", "set"])
 
+    wanted = written(nodes.join(asked, "sh", "left_semi").select("sh", "th"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("th"), text.cast("binary").alias("_t"))
+    rows = rows.join(broadcast_up_to(wanted.select("th")), "th", "left_semi")
+    sets = map_arrow(rows, gather, "th bigint, set binary").groupBy("th").agg(F.first("set").alias("set"))
+    return written(wanted.join(sets, "th").select("sh", "set"))
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, threshold: int,
+              text_col: str = "text") -> DataFrame:
+    """The pairs (u, v) whose full sets have 100 * intersection >= threshold *
+    union. Only texts of nodes in ``pairs`` are read again, one of each node."""
     def compare(batches):
         for b in batches:
             keep = []
@@ -202,12 +230,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, t
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["u", "v"])
 
     asked = pairs.select(F.explode(F.array("u", "v")).alias("sh")).distinct()
-    wanted = written(nodes.join(asked, "sh", "left_semi").select("sh", "th"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.xxhash64(text).alias("th"), text.cast("binary").alias("_t"))
-    rows = rows.join(broadcast_up_to(wanted.select("th")), "th", "left_semi")
-    sets = map_arrow(rows, gather, "th bigint, set binary").groupBy("th").agg(F.first("set").alias("set"))
-    sets = written(wanted.join(sets, "th").select("sh", "set"))
+    sets = full_sets(asked, nodes, docs, width, text_col)
     u, v = (sets.select(F.col("sh").alias(c), F.col("set").alias(f"s{c}")) for c in "uv")
     return map_arrow(pairs.join(u, "u").join(v, "v").select("u", "v", "su", "sv"), compare, "u bigint, v bigint")
 
@@ -237,11 +260,35 @@ def _across(cols: list[np.ndarray], floor: int, threshold: int) -> Iterator[tupl
         yield np.minimum(sh[x], sh[y]), np.maximum(sh[x], sh[y]), score
 
 
-def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> DataFrame:
-    """(u, v, agree) of all pairs of ``nodes`` (sh, n_shingles, sig, root) that
-    share a region of some tree, have two roots, and whose sizes and
-    signatures allow a link."""
+def _grid(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` (region, sh, ...) of the regions in ``parts`` (region, _parts),
+    sorted by cell (region, i, j): each pair of nodes of a region meets in one
+    cell, on both sides of it or in one of the cells of a part alone."""
+    own = F.pmod(F.xxhash64("sh"), F.col("_parts"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
+                        lambda k: F.struct(F.least(own, k).cast("int").alias("i"), F.greatest(own, k).cast("int").alias("j"),
+                                           (own <= k).alias("side")))
+    return (rows.join(broadcast_up_to(parts), "region").withColumn("c", F.explode(cells))
+            .select("region", "c.i", "c.j", "c.side", *[c for c in rows.columns if c != "region"])
+            .repartition("region", "i", "j").sortWithinPartitions("region", "i", "j"))
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of each cell of ``_grid``."""
+    for cols in sorted_runs(batches, 3):
+        region, i, j = cols[:3]
+        begin = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        for a, z in zip(begin, np.r_[begin[1:], len(region)]):
+            yield [c[a:z] for c in cols]
+
+
+def _compared(nodes: DataFrame, threshold: int, crowd: int, each: int | None) -> DataFrame:
+    """(u, v, agree, region) of the pairs of ``across_components`` that are
+    among the ``each`` best of one of their nodes in a cell (None: of all), the
+    region null, and one row with a null v and the region for every node of a
+    cell that has others there. Rows may repeat."""
     floor = _floor(threshold)
+    names = ["u", "v", "agree", "region"]
 
     def regions(batches):
         for b in batches:
@@ -253,27 +300,87 @@ def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> D
                                                      ["region", "sh", "sig", "n_shingles", "root"])
 
     def compare(batches):
-        for cols in sorted_runs(batches, 3):
-            region, i, j, side, sh, root, n, sig = cols
-            begin = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-            for a, z in zip(begin, np.r_[begin[1:], len(region)]):
-                cell = [sh[a:z], root[a:z], n[a:z], _signatures(pa.array(sig[a:z], pa.binary())), side[a:z], i[a] == j[a]]
-                for u, v, agree in _across(cell, floor, threshold):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(agree.astype(np.int32))],
-                                                     ["u", "v", "agree"])
+        def batch(u, v, agree):
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(agree.astype(np.int32)),
+                                               pa.nulls(len(u), pa.int64())], names)
+        for region, i, j, side, sh, root, n, sig in _cells(batches):
+            cell = [sh, root, n, _signatures(pa.array(sig, pa.binary())), side, i[0] == j[0]]
+            best, more = None, np.empty(0, dtype=np.int64)
+            for pairs in _across(cell, floor, threshold):
+                if each is None:
+                    yield batch(*pairs)
+                    continue
+                u, v, agree = pairs if best is None else map(np.concatenate, zip(best, pairs))
+                keep = _among_best(u, v, agree, each)
+                more = np.unique(np.r_[more, u[~keep], v[~keep]])
+                best = u[keep], v[keep], agree[keep]
+            if best is not None:
+                yield batch(*best)
+                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64()), pa.nulls(len(more), pa.int32()),
+                                                  pa.array(np.full(len(more), region[0]))], names)
 
     grown = map_arrow(nodes.select("sh", "sig", "n_shingles", "root"), regions,
                       "region bigint, sh bigint, sig binary, n_shingles bigint, root bigint")
     mixed = written(grown.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_z"), F.count(F.lit(1)).alias("_n"))
                 .where("_a <> _z").select("region", F.ceil(F.col("_n") / crowd).cast("int").alias("_parts")))
-    own = F.pmod(F.xxhash64("sh"), F.col("_parts"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
-                        lambda k: F.struct(F.least(own, k).cast("int").alias("i"), F.greatest(own, k).cast("int").alias("j"),
-                                           (own <= k).alias("side")))
-    dealt = (grown.join(broadcast_up_to(mixed), "region").withColumn("c", F.explode(cells))
-             .select("region", "c.i", "c.j", "c.side", "sh", "root", "n_shingles", "sig")
-             .repartition("region", "i", "j").sortWithinPartitions("region", "i", "j"))
-    return map_arrow(dealt, compare, "u bigint, v bigint, agree int").groupBy("u", "v").agg(F.max("agree").alias("agree"))
+    dealt = _grid(grown.select("region", "sh", "root", "n_shingles", "sig"), mixed)
+    return map_arrow(dealt, compare, "u bigint, v bigint, agree int, region bigint")
+
+
+def across_components(nodes: DataFrame, threshold: int, crowd: int = CROWD) -> DataFrame:
+    """(u, v, agree) of all pairs of ``nodes`` (sh, n_shingles, sig, root) that
+    share a region of some tree, have two roots, and whose sizes and
+    signatures allow a link. For tables without large groups of close nodes."""
+    return _compared(nodes, threshold, crowd, None).groupBy("u", "v").agg(F.max("agree").alias("agree"))
+
+
+def _joins(sh: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], one: bool,
+           threshold: int) -> list[tuple[int, int]]:
+    """Links between full sets that join the components of a cell: of all of
+    its links between two components, as many as connect what all connect."""
+    _, label, counts = np.unique(root, return_inverse=True, return_counts=True)
+    order = np.lexsort((label, counts[label]))  # nodes of the largest component last
+    sh, label, side = sh[order], label[order], side[order]
+    size = np.array([len(sets[k]) for k in order])
+    _, ids, often = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True, return_counts=True)
+    shared = often[ids] > 1
+    upto = np.r_[0, np.cumsum(np.bincount(np.repeat(np.arange(len(size)), size)[shared], minlength=len(size)))]
+    ids = ids[shared]
+    found, mark = [], np.zeros(len(often), dtype=bool)
+    for a in range(len(sh) - 1):
+        if (label[a:] == label[a]).all():
+            continue
+        mark[ids[upto[a]:upto[a + 1]]] = True
+        held = np.r_[0, np.cumsum(mark[ids[upto[a + 1]:]])]
+        both = np.diff(held[upto[a + 1:] - upto[a + 1]])
+        mark[ids[upto[a]:upto[a + 1]]] = False
+        fits = (100 * both >= threshold * (size[a] + size[a + 1:] - both)) & (one | (side[a + 1:] != side[a]))
+        for b in a + 1 + np.flatnonzero(fits & (label[a + 1:] != label[a])):
+            if label[b] != label[a]:
+                found.append((min(sh[a], sh[b]), max(sh[a], sh[b])))
+                label[label == label[b]] = label[a]
+    return found
+
+
+def joining(crowded: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, crowd: int = CROWD) -> DataFrame:
+    """Links (u, v), confirmed on full sets, that connect all components of
+    ``labels`` (sh, root) that any link between nodes of one region of
+    ``crowded`` (region, sh; distinct) connects. ``sets`` has sh, set."""
+    def compare(batches):
+        for _, i, j, side, sh, root, held in _cells(batches):
+            if (root == root[0]).all():
+                continue
+            links = _joins(sh, root, side, [np.frombuffer(s, dtype=np.uint64) for s in held], i[0] == j[0], threshold)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    known = crowded.join(labels, "sh")
+    parts = written(known.join(sets.select("sh", F.length("set").alias("_size")), "sh")
+                    .groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_z"), F.count(F.lit(1)).alias("_n"),
+                                           F.sum("_size").alias("_size"))
+                    .where("_a <> _z")
+                    .select("region", F.ceil(F.greatest(F.col("_n") / crowd, F.col("_size") / HELD)).cast("int").alias("_parts")))
+    rows = known.join(broadcast_up_to(parts.select("region")), "region", "left_semi").join(sets, "sh")
+    return map_arrow(_grid(rows.select("region", "sh", "root", "set"), parts), compare, "u bigint, v bigint").distinct()
 
 
 def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -306,17 +413,22 @@ def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crow
     labels = written(near.select(F.explode(F.array("u", "v")).alias("sh")).where(F.col("sh").isNotNull()).distinct()
                  .withColumn("root", F.col("sh")))
 
-    def settle(pairs, labels):
-        found = written(confirmed(pairs, nodes, docs, width, threshold, text_col))
+    def linked(found, labels):
+        found = written(found)
         tidy(docs)
         labels = _connected(labels, found)
         tidy(docs)
         return labels
 
+    def settle(pairs, labels):
+        return linked(confirmed(pairs, nodes, docs, width, threshold, text_col), labels)
+
     tried = written(_best(scored(near.where(F.col("v").isNotNull()), nodes, threshold)))
     labels = settle(tried, labels)
     # a node that has no neighbour in its regions is alone in them, so only labelled ones are compared
-    rest = written(across_components(nodes.join(labels, "sh"), threshold, crowd).join(tried, ["u", "v"], "left_anti"))
+    close = written(_compared(nodes.join(labels, "sh"), threshold, crowd, EACH))
+    rest = written(close.where(F.col("v").isNotNull()).groupBy("u", "v").agg(F.max("agree").alias("agree"))
+                   .join(tried, ["u", "v"], "left_anti"))
     if rest.limit(1).count():
         chosen = written(_best(rest))
         labels = settle(chosen, labels)
@@ -325,6 +437,13 @@ def labelled(nodes: DataFrame, docs: DataFrame, width: int, threshold: int, crow
                    .select("u", "v", "agree"))
         if rest.limit(1).count():  # what the best pairs left apart is confirmed in full
             labels = settle(rest.select("u", "v"), labels)
+    crowded = written(close.where(F.col("v").isNull()).select("region", F.col("u").alias("sh")).distinct())
+    apart = written(crowded.join(labels, "sh").groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_z"))
+                    .where("_a <> _z").select("region"))
+    if apart.limit(1).count():  # and so are the pairs that did not leave their cells, where they are
+        crowded = written(crowded.join(broadcast_up_to(apart), "region", "left_semi"))
+        sets = full_sets(crowded.select("sh").distinct(), nodes, docs, width, text_col)
+        labels = linked(joining(crowded, labels, sets, threshold, crowd), labels)
     return labels
 
 

@@ -101,6 +101,74 @@ def test_regions_of_two_components_are_compared_in_full(spark):
         assert {tuple(r) for r in found} == want and len(found) == len(want)
 
 
+def close_sets(seed, n, fresh):
+    """Sets of one base, each with ``fresh`` members of its own."""
+    rnd = np.random.default_rng(seed)
+    base = rnd.integers(1 << 63, size=300, dtype=np.uint64)
+    return [np.unique(np.r_[rnd.choice(base, 300 - fresh, replace=False), rnd.integers(1 << 63, size=fresh, dtype=np.uint64)])
+            for _ in range(n)]
+
+
+def test_a_group_of_close_nodes_gives_rows_in_proportion_to_its_size(spark):
+    """All pairs of the group are candidates; few of them leave their cells."""
+    sets = close_sets(11, 200, 22)
+    rows = [(k, len(s), bytearray(forest.signature(s).tobytes()), k) for k, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "sh bigint, n_shingles bigint, sig binary, root bigint").repartition(3)
+    every = {(r.u, r.v): r.agree for r in forest.across_components(nodes, 85).collect()}
+    kept = forest._compared(nodes, 85, 2048, 2).collect()
+    pairs = {(r.u, r.v): r.agree for r in kept if r.v is not None}
+    assert len(kept) <= 3 * 24 * 200 and len(pairs) < len(every) / 2
+    assert pairs.items() <= every.items()
+    full = spark.createDataFrame([(*k, a) for k, a in every.items()], "u bigint, v bigint, agree int")
+    assert {tuple(r) for r in forest._best(full).collect()} <= set(pairs)
+    left = {(r.region, r.u) for r in kept if r.v is None}
+    owner = {}
+    for region, u in left:
+        owner.setdefault(region, set()).add(u)
+    assert all(any({u, v} <= nodes for nodes in owner.values()) for u, v in every.keys() - pairs.keys())
+
+
+@pytest.mark.parametrize("crowd,held", [(2048, 1 << 24), (7, 1 << 24), (2048, 30000)])
+def test_crowded_regions_are_joined_on_full_sets(spark, monkeypatch, crowd, held):
+    """Links join exactly the components that all pairs of a region join."""
+    monkeypatch.setattr(forest, "HELD", held)
+    sets = close_sets(12, 50, 13)
+    linked = [(a, b) for b in range(50) for a in range(b)
+              if 100 * (k := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - k)]
+    regions = [(5, k) for k in range(0, 34)] + [(-3, k) for k in range(30, 50)]
+
+    def joined(pairs):
+        root = [k // 2 * 2 for k in range(50)]
+        for a, b in pairs:
+            root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+        return root
+    want = [(a, b) for a, b in linked if b < 34 or a >= 30]
+    assert 0 < len(want) < 700
+    frame = spark.createDataFrame
+    found = forest.joining(frame(regions, "region bigint, sh bigint"), frame([(k, k // 2 * 2) for k in range(50)], "sh bigint, root bigint"),
+                           frame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "sh bigint, set binary"), 85, crowd).collect()
+    assert {tuple(r) for r in found} <= set(want)
+    assert joined(map(tuple, found)) == joined(want)
+    if crowd == 2048 and held > 30000:
+        assert len(found) < 50
+
+
+def test_links_beyond_the_best_pairs_are_found(make_docs):
+    """A group of texts near the threshold, most of them not linked."""
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(160)]
+    rows = []
+    for k in range(70):
+        w = list(base)
+        for at in rnd.sample(range(160), 2):
+            w[at] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((k, " ".join(w)))
+    want = brute(rows)
+    assert 1 < len({r[2] for r in want}) < 70
+    for crowd in (2048, 6):
+        assert got(forest.near_duplicates(make_docs(rows, 4), crowd=crowd)) == want
+
+
 def test_signatures_estimate_similarity():
     rnd = np.random.default_rng(5)
     pool = rnd.integers(1 << 63, size=2400, dtype=np.uint64)
