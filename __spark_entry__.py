@@ -33,7 +33,7 @@ from histdim.plans.corrections import publish_correction  # noqa: E402
 from histdim.plans.loads import publish_fact_load, read_bail_rates  # noqa: E402
 from histdim.plans.publish import (append, insert_absent, publish_actors, publish_backfill,  # noqa: E402
                                    publish_fact, publish_increment, write_table)
-from histdim.plans.staging import stage  # noqa: E402
+from histdim.plans.staging import stage, staged  # noqa: E402
 from histdim.schemas import ACTOR_FILMS, ACTORS, ACTORS_HISTORY_SCD, FACT_KEY  # noqa: E402
 from histdim.session import ensure_checkpoint_dir  # noqa: E402
 from histdim.sources import fixtures as fx  # noqa: E402
@@ -194,10 +194,11 @@ def _correction_published(spark, d):
 def _load_facts(spark, d):
     """J9 / B7 in two loads: duplicates of a grain come in different loads,
     and the first one lacks a part of the games, which are written once."""
-    path, log, games = _place(spark, "fact"), fx.game_details(spark, d), stage(fx.games(spark, d))
+    path, log = _place(spark, "fact"), fx.game_details(spark, d)
     early = F.pmod(F.col("team_id") + F.col("pts"), F.lit(3)) > 0
-    publish_fact_load(spark, path, log.where(early), games.where("game_id % 7 <> 0"))
-    publish_fact_load(spark, path, log.where(~early), games)
+    with staged(fx.games(spark, d)) as games:
+        publish_fact_load(spark, path, log.where(early), games.where("game_id % 7 <> 0"))
+        publish_fact_load(spark, path, log.where(~early), games)
     return path
 
 

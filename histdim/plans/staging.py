@@ -5,10 +5,18 @@ folder the cluster names in ``spark.checkpoint.dir``: the lineage is cut and
 the copy survives the loss of an executor, unlike a machine-local cache. Spark
 deletes the files once nothing refers to them any more where
 ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on (``session``).
+
+What is as long as a table is staged by ``staged`` instead, for as long as it
+is needed: a checkpoint holds whole rows, uncompressed, several times the bytes
+that their columns take in Parquet.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
@@ -17,3 +25,20 @@ from ..session import ensure_checkpoint_dir
 def stage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written once to the same folder, as compressed columns, and
+    deleted when the block ends. The driver's garbage is collected after the
+    write: only then does Spark's cleaner remove the shuffles of ``df``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        jvm.System.gc()
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -119,3 +119,44 @@ def test_a_stored_row_stays_while_its_game_is_unknown_again(spark, scratch):
     assert sorted(r.m_pts for r in read_fact(spark, path).collect()) == [3, 5]
     publish_fact_load(spark, path, details_df(spark, []), games_df(spark, games))
     assert sorted(r.m_pts for r in read_fact(spark, path).collect()) == [3, 3]
+
+
+def test_a_load_checkpoints_no_more_than_a_row_per_folder(spark, scratch, monkeypatch):
+    import os
+    from urllib.parse import urlparse
+    from histdim.plans import loads
+    from histdim.session import ensure_checkpoint_dir
+    checkpointed, stage = [], loads.stage
+
+    def counted(df):
+        checkpointed.append(df.count())
+        return stage(df)
+
+    monkeypatch.setattr(loads, "stage", counted)
+    path, games, log = f"{scratch}/fact", games_df(spark, all_games(40)), log_rows(7, 50, 600)
+    for part in (log[::2], log[1::2]):
+        publish_fact_load(spark, path, details_df(spark, part), games)
+    assert rows(read_fact(spark, path)) == rows(build_fact(details_df(spark, log), games))
+    assert checkpointed and max(checkpointed) <= 4  # seasons
+    assert not [x for x in os.listdir(urlparse(ensure_checkpoint_dir(spark)).path) if x.startswith("staged-")]
+
+
+def test_rows_travel_as_their_grain_and_one_text(spark):
+    import datetime as dt
+    from histdim.plans import loads
+    texts = [None, "", "~", ",", "\x01", "\x02", "\x020", "\x021", "a\x02\x011,~", "\x01\x01", "J\u00f6, \u4e2d~"]
+    numbers = [None, 0, -1, 2 ** 31 - 1, -2 ** 31, 7]
+    own = [(None, None, None, None), (dt.date(1, 1, 1), -5, True, float("nan")), (dt.date(9999, 12, 31), 2 ** 31 - 1, False, 1e-45),
+           (dt.date(1969, 12, 31), 0, None, float("-inf")), (None, 1, True, 3.4028235e38), (dt.date(2020, 2, 29), 2020, True, 10.1)]
+    made = []
+    for k in range(66):
+        t = [texts[(k + j * (k // 11 + 1)) % 11] for j in range(5)]
+        m = [numbers[(k + j * (k // 6 + 1)) % 6] for j in range(16)]
+        made.append(((None, k)[k % 3 > 0], (None, -k, 2 ** 62)[k % 3], k, *t[:4], *m, *own[k % 6], t[4]))
+    log, own_of = details_df(spark, []).schema.fields, [loads.STORED[c] for c in loads.OWN]
+    df = spark.createDataFrame(made, loads.T.StructType([*log, *own_of, loads.T.StructField("load", loads.T.StringType())]))
+    parted = df.withColumn(loads.SALT, loads.salt_of(("team_id", "player_id"), loads.GAME_PARTS))
+    assert len(loads._packed(parted).columns) == 5
+    back = loads._dealt(df).select(*parted.columns)
+    assert [f.dataType for f in back.schema] == [f.dataType for f in parted.schema]
+    assert back.exceptAll(parted).count() == parted.exceptAll(back).count() == 0 and back.count() == 66
