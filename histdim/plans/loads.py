@@ -22,6 +22,7 @@ a table of their own and are tried again by the next load.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,7 +37,7 @@ from ..sources import manifest
 from . import contracts
 from .publish import _load, _read_folders, publish
 from .skew import SALT, repeated, salt_of
-from .staging import stage, staged
+from .staging import delete, stage, staged, tidy
 
 SEASON = "dim_season"
 GRAIN = ("game_id", "dim_team_id", "dim_player_id")
@@ -56,6 +57,7 @@ SEP, ESC, NONE = "\x01", "\x02", "~"
 GAME_PARTS = 4  # parts that a game's rows are dealt over; each costs one copy of the games in the shuffle
 KEYS_A_BLOCK = 12  # keys that share a block of 256 bits, on average: one absent key in 1,000 seems present
 WORDS = 4
+SLICES = 16  # the first of so many slices of a batch's grains is probed before the others
 
 
 def _index_path(path: str) -> str:
@@ -227,18 +229,26 @@ def _folded(log: DataFrame, stored: DataFrame | None, known: DataFrame, on_malfo
                     (~new & F.col("_ahead") & F.col("season").isNotNull()).alias("beaten")))
 
 
-def _publish_folded(spark: SparkSession, path: str, folded: DataFrame, live: dict | None,
-                    enforce_key: bool) -> list[str]:
-    """Make what ``_folded`` gave the live loads and the waiting rows; the
-    load folders that were written anew."""
-    folders = {} if live is None else live["folders"]
-    folder = F.concat(F.lit(f"{SEASON}="), F.col(SEASON).cast("string"), F.lit(f"/{manifest.LOAD}="), F.col(manifest.LOAD))
-    rewritten = sorted(r[0] for r in folded.where("beaten").select(folder).distinct().collect())
-    new = F.col(manifest.LOAD).isNull()
-    rows = conform(folded.where((new & ~F.col("waits")) | (folder.isin(rewritten) & ~F.col("beaten"))), STORED)
-    unknown = conform(folded.where("waits").select(*[F.col(b).alias(a) for a, b in _stored_names().items()]), GAME_DETAILS)
-    if rows.limit(1).count():
-        new = _load(rows, path, STORED, [SEASON])
+def _as_waiting(stored: DataFrame) -> DataFrame:
+    return conform(stored.select(*[F.col(b).alias(a) for a, b in _stored_names().items()]), GAME_DETAILS)
+
+
+def _load_seasons(rows: DataFrame, path: str) -> dict[str, str]:
+    """Write rows that are staged by season as a load of its own, season by
+    season: rows of one season need no sort by it, which would spill."""
+    tag, spark = uuid.uuid4().hex, rows.sparkSession
+    for season in sorted(r[0] for r in rows.select(SEASON).distinct().collect()):  # a few dozen
+        own = rows.where(F.col(SEASON) == F.lit(season)).drop(SEASON)
+        own.write.parquet(f"{path.rstrip('/')}/{SEASON}={season}/{manifest.LOAD}={tag}")
+    return manifest.written(spark, path, tag, 1)
+
+
+def _switch(spark: SparkSession, path: str, new: dict[str, str], rewritten: list[str], live: dict | None,
+            enforce_key: bool) -> None:
+    """Index the load folders ``new`` and make them live instead of ``rewritten``."""
+    if new:
+        tidy(spark)
+        folders = {} if live is None else live["folders"]
         written = _with_load(spark, path, list(new.values()))
         _write_index(spark, path, written)
         _write_states(path, written)
@@ -252,11 +262,35 @@ def _publish_folded(spark: SparkSession, path: str, folded: DataFrame, live: dic
         manifest.commit(spark, path, alive, None, live, touched if live is not None else None)
     elif live is None:
         manifest.commit(spark, path, {}, None)
+
+
+def _publish_folded(spark: SparkSession, path: str, folded: DataFrame, live: dict, enforce_key: bool) -> list[str]:
+    """Publish what ``_folded`` gave of a batch and stored rows, staged by
+    season; the load folders that were written anew."""
+    folder = F.concat(F.lit(f"{SEASON}="), F.col(SEASON).cast("string"), F.lit(f"/{manifest.LOAD}="), F.col(manifest.LOAD))
+    rewritten = sorted(r[0] for r in folded.where("beaten").select(folder).distinct().collect())
+    new = F.col(manifest.LOAD).isNull()
+    rows = conform(folded.where((new & ~F.col("waits")) | (folder.isin(rewritten) & ~F.col("beaten"))), STORED)
+    _switch(spark, path, _load_seasons(rows, path), rewritten, live, enforce_key)
     # last: a load that stops before this tries the waiting rows again, which changes nothing
-    publish(unknown, _waiting_path(path), GAME_DETAILS)
+    publish(_as_waiting(folded.where("waits")), _waiting_path(path), GAME_DETAILS)
     return rewritten
 
 
+def _publish_apart(spark: SparkSession, path: str, folded: DataFrame, live: dict | None, enforce_key: bool) -> None:
+    """The same without stored rows: all are new, and are written at once,
+    those that wait as of no season."""
+    new = _load(folded, path, STORED, [SEASON])
+    held = new.pop(f"{SEASON}=__HIVE_DEFAULT_PARTITION__", None)
+    _switch(spark, path, new, [], live, enforce_key)
+    if held is None:
+        publish(spark.createDataFrame([], GAME_DETAILS), _waiting_path(path), GAME_DETAILS)
+    else:
+        held = f"{path.rstrip('/')}/{held}"
+        publish(_as_waiting(spark.read.schema(STORED).parquet(held)), _waiting_path(path), GAME_DETAILS)
+        delete(spark, held)
+
+
 def publish_fact_load(spark: SparkSession, path: str, details: DataFrame, games: DataFrame,
                       on_malformed: str = "error", enforce_key: bool = False) -> dict[str, int]:
     """Add the log rows ``details`` to the fact at ``path`` (created by the
@@ -279,11 +313,18 @@ def publish_fact_load(spark: SparkSession, path: str, details: DataFrame, games:
     known = first_games(conform(games, GAMES)).where("season is not null")
     # what is read twice is written once: with live loads the batch and the games, for their grains and for the fold
     with staged(log) if folders else nullcontext(log) as log, staged(known) if folders else nullcontext(known) as known:
-        found = []
-        if folders:
-            with staged(_season_grains(log, known)) as grains:
-                found = candidate_loads(spark, path, folders, grains)
-        stored = _with_load(spark, path, found) if found else None
-        with staged(_folded(log, stored, known, on_malformed)) as folded:
-            rewritten = _publish_folded(spark, path, folded, live, enforce_key)
+        found, slice_of = [], F.pmod(F.xxhash64(*DETAIL_GRAIN), F.lit(SLICES))
+        # most loads that meet a large batch show with a few of its grains; only the others are probed with the rest
+        for part in (slice_of == 0, slice_of != 0):
+            left = {k: x for k, x in folders.items() if x not in found}
+            if left:
+                with staged(_season_grains(log.where(part), known)) as grains:
+                    found += candidate_loads(spark, path, left, grains)
+        if found:
+            stored = _with_load(spark, path, sorted(found))
+            with staged(_folded(log, stored, known, on_malformed), SEASON) as folded:
+                rewritten = _publish_folded(spark, path, folded, live, enforce_key)
+        else:
+            rewritten = []
+            _publish_apart(spark, path, _folded(log, None, known, on_malformed), live, enforce_key)
     return {"live": len(folders), "candidates": len(found), "rewritten": len(rewritten)}

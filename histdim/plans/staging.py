@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -27,18 +27,26 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage: Spark's cleaner removes the shuffles of a
+    finished job only once the driver's references to them are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
+def staged(df: DataFrame, *partition_by: str) -> Iterator[DataFrame]:
     """``df`` written once to the same folder, as compressed columns, and
-    deleted when the block ends. The driver's garbage is collected after the
-    write: only then does Spark's cleaner remove the shuffles of ``df``."""
+    deleted when the block ends. The shuffles of ``df`` go after the write."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
     try:
-        df.write.option("compression", "zstd").parquet(path)
-        jvm.System.gc()
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        tidy(spark)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
